@@ -6,11 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def or_fail(value: Column, parsed: Column, what: str) -> Column:
-    """``parsed``, unless a present ``value`` came out as null."""
-    message = F.concat(F.lit(f"{what}: "), value.cast("string"))
-    return F.when(value.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+def or_fail(value: Column, parsed: Column, what: str, null_fails: bool = False) -> Column:
+    """``parsed``, with a failure where it is null although ``value`` is not.
 
-
-def not_null(value: Column, what: str) -> Column:
-    return F.when(value.isNull(), F.raise_error(F.lit(f"null in {what}"))).otherwise(value)
+    With ``null_fails`` a null ``value`` fails as well. The outcome is the same
+    with ANSI mode on and off.
+    """
+    shown = F.coalesce(value.cast("string"), F.lit("null"))
+    failure = F.raise_error(F.concat(F.lit(f"{what}: "), shown))
+    return F.coalesce(parsed, failure if null_fails else F.when(value.isNotNull(), failure))

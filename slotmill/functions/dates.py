@@ -14,10 +14,12 @@ def tolerant_date(text: Column, pattern: str) -> Column:
     return F.try_to_date(text, pattern)
 
 
-def strict_date(value: Column, pattern: str | None = None, label: str = "date") -> Column:
-    """Date; fails on text that is not one. Nulls stay null, whatever the ANSI setting."""
+def strict_date(
+    value: Column, pattern: str | None = None, label: str = "date", null_fails: bool = False
+) -> Column:
+    """Date; fails on text that is not one, and on nulls if asked to."""
     parsed = value.try_cast("date") if pattern is None else F.try_to_date(value, pattern)
-    return or_fail(value, parsed, f"not a {label}")
+    return or_fail(value, parsed, f"not a {label}", null_fails)
 
 
 def display_date(value: Column, pattern: str = fixed.DISPLAY_DATE_PATTERN) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotmill import fixed
-from slotmill.functions.checks import not_null
 from slotmill.functions.dates import display_date, strict_date
 from slotmill.functions.numbers import lenient_number, lenient_text, strict_int
 from slotmill.functions.text import null_text
@@ -50,12 +49,11 @@ def _column(name: str) -> Column:
 
 def _cleaned(field: T.StructField, spec: ReportSpec) -> list[Column]:
     name, value = field.name, _column(field.name)
-    if spec.on_null == "fail" and name in spec.date_columns + spec.int_columns:
-        value = not_null(value, name)
+    null_fails = spec.on_null == "fail"
     if name in spec.date_columns:
-        return [display_date(strict_date(value, label=f"date in {name}")).alias(name)]
+        return [display_date(strict_date(value, label=f"date in {name}", null_fails=null_fails)).alias(name)]
     if name in spec.int_columns:
-        return [strict_int(value, field.dataType, name).alias(name)]
+        return [strict_int(value, field.dataType, name, null_fails).alias(name)]
     if isinstance(field.dataType, T.StringType):
         value = null_text(value)
     if name in spec.lenient_columns:

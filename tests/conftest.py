@@ -17,6 +17,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

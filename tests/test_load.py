@@ -1,0 +1,131 @@
+from datetime import date
+
+import pytest
+from helpers import programme, write_drop
+from pyspark.sql import functions as F
+
+from slotmill.errors import CountMismatch, DuplicateFileId, EmptyLoad
+from slotmill.operators.replace import existing_rows, key_filter, replace_by_key, write_replacing
+from slotmill.plans.ingest import ingest, load_files
+from slotmill.sources.prelog import PRELOG_SCHEMA, read_loaded
+
+DAY = date(2024, 2, 26)
+NEXT_DAY = date(2024, 2, 27)
+
+
+def counts(spark, target):
+    grouped = read_loaded(spark, target).groupBy("file_name", "import_date").count()
+    return {(r.file_name, r.import_date): r["count"] for r in grouped.collect()}
+
+
+def test_first_load_rerun_and_neighbours(spark, tmp_path):
+    root, target = str(tmp_path / "landing"), str(tmp_path / "prelog")
+    write_drop(root, "2024-02-26", "F240223A.TXT", [programme(i) for i in range(3)])
+    first = ingest(spark, root, target, DAY)
+    assert (first.loaded_rows, first.replaced_rows, first.nonblank_lines, first.matched) == (3, 0, 3, True)
+
+    write_drop(root, "2024-02-26", "F240223B.TXT", [programme(i) for i in range(4)])
+    assert ingest(spark, root, target, DAY).replaced_rows == 0
+    assert ingest(spark, root, target, NEXT_DAY).replaced_rows == 0
+
+    write_drop(root, "2024-02-26", "F240223B.TXT", [programme(i) for i in range(5)])
+    again = ingest(spark, root, target, DAY)
+    assert (again.file_name, again.loaded_rows, again.replaced_rows) == ("F240223B", 5, 4)
+    assert counts(spark, target) == {("F240223A", DAY): 3, ("F240223B", DAY): 5, ("F240223B", NEXT_DAY): 4}
+
+
+def test_loaded_table_reads_back_typed(spark, tmp_path):
+    path = write_drop(tmp_path, "d", "20240223.TXT", [programme(1)])
+    load_files(spark, [path], str(tmp_path / "prelog"), DAY)
+    row = read_loaded(spark, str(tmp_path / "prelog")).first()
+    assert (row.file_name, row.import_date, row.TX_DATE) == ("20240223", DAY, date(2024, 2, 23))
+    assert read_loaded(spark, str(tmp_path / "prelog")).schema.names == PRELOG_SCHEMA.names
+
+
+def test_empty_load_replaces_nothing(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1)])
+    load_files(spark, [path], target, DAY)
+    write_drop(tmp_path, "d", "F240223A.TXT", ["", " "])
+    with pytest.raises(EmptyLoad):
+        load_files(spark, [path], target, DAY)
+    assert counts(spark, target) == {("F240223A", DAY): 1}
+
+
+def test_strict_load_stops_before_replacing(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1)])
+    load_files(spark, [path], target, DAY, strict=True)
+    write_drop(tmp_path, "d", "F240223A.TXT", [programme(1), programme(2), "\u00a0"])
+    with pytest.raises(CountMismatch, match="F240223A.TXT: 3 rows, 2 lines"):
+        load_files(spark, [path], target, DAY, strict=True)
+    assert counts(spark, target) == {("F240223A", DAY): 1}
+    loose = load_files(spark, [path], target, DAY)
+    assert (loose.loaded_rows, loose.nonblank_lines, loose.matched) == (3, 2, False)
+
+
+def test_many_files_in_one_load(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    paths = [
+        write_drop(tmp_path, "d", f"F2402{day:02d}A.TXT", [programme(i) for i in range(day)]) for day in range(1, 13)
+    ]
+    load = load_files(spark, paths, target, DAY)
+    assert (load.loaded_rows, load.nonblank_lines) == (78, 78)
+    assert counts(spark, target) == {(f"F2402{day:02d}A", DAY): day for day in range(1, 13)}
+    assert load_files(spark, paths[:2], target, DAY).replaced_rows == 3
+    assert sum(counts(spark, target).values()) == 78
+
+
+def test_names_with_one_id_are_refused(spark, tmp_path):
+    paths = [write_drop(tmp_path, "d", name, [programme(1)]) for name in ("F240223A.TXT", "F240223AA.TXT")]
+    with pytest.raises(DuplicateFileId):
+        load_files(spark, paths, str(tmp_path / "prelog"), DAY)
+    load = load_files(spark, paths, str(tmp_path / "prelog"), DAY, id_length=None)
+    assert load.loaded_rows == 2
+
+
+def test_replace_frame_keeps_other_keys(spark):
+    schema = "import_date date, file_name string, value int"
+    old = spark.createDataFrame([(DAY, "a", 1), (DAY, "a", 2), (DAY, "b", 3), (NEXT_DAY, "a", 4)], schema)
+    new = spark.createDataFrame([(DAY, "a", 9)], schema)
+    once = replace_by_key(old, new)
+    expected = [(DAY, "a", 9), (DAY, "b", 3), (NEXT_DAY, "a", 4)]
+    assert sorted(tuple(r) for r in once.collect()) == sorted(expected)
+    assert sorted(tuple(r) for r in replace_by_key(once, new).collect()) == sorted(expected)
+
+
+def test_replace_frame_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("slotmill.operators.replace.MAX_BROADCAST_KEYS", 1)
+    schema = "import_date date, file_name string, value int"
+    old = spark.range(1000).select(
+        F.lit(DAY).alias("import_date"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("file_name"),
+        F.col("id").cast("int").alias("value"),
+    )
+    new = spark.createDataFrame([(DAY, "hot", -1), (DAY, "1", -2)], schema)
+    result = replace_by_key(old, new)
+    assert result.count() == 1000 - 334 - 1 + 2
+    assert key_filter(result, file_name="hot").collect()[0].value == -1
+
+
+def test_existing_rows_compare_exactly(spark):
+    rows = spark.createDataFrame([("F240223A", DAY), ("f240223a", DAY), ("F240223A ", DAY)], "file_name string, import_date date")
+    assert existing_rows(rows, file_name="F240223A", import_date=DAY).first().existing_rows == 1
+
+
+def test_gathered_write_cuts_a_hot_key(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 16).select(
+        F.lit(DAY).alias("import_date"),
+        F.when(F.col("id") % 3 < 2, "hot").otherwise((F.col("id") % 40).cast("string")).alias("file_name"),
+        F.sha2(F.col("id").cast("string"), 256).alias("value"),
+    )
+    target = str(tmp_path / "hot")
+    previous = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        assert write_replacing(rows, target, gather=True) == 400_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", previous)
+    stored = spark.read.parquet(target)
+    assert stored.count() == 400_000
+    assert stored.filter("file_name = 'hot'").select(F.input_file_name()).distinct().count() > 4
