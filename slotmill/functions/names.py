@@ -1,4 +1,4 @@
-"""Parts of a drop-file name ``F<six date digits><version>.<ext>`` as column expressions."""
+"""File and column names; parts of a drop-file name ``F<six date digits><version>.<ext>``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,11 @@ from slotmill import fixed
 from slotmill.functions.dates import strict_date, tolerant_date
 
 
+def quoted(name: str) -> str:
+    """A column name as it has to be written when it holds blanks or dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

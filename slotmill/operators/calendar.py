@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotmill.operators.rows import one_row
 from slotmill.operators.sizing import broadcast_within
 
 WEEKEND = (1, 7)  # Spark counts Sunday as 1
@@ -26,5 +27,5 @@ def holiday_flags(df: DataFrame, day: str, holidays: DataFrame, include_weekend:
 
 
 def is_holiday(spark: SparkSession, ref_date: date, include_weekend: int, holidays: DataFrame) -> bool:
-    one_day = spark.createDataFrame([(ref_date,)], "day date")
+    one_day = one_row(spark, "day date", {"day": ref_date})
     return holiday_flags(one_day, "day", holidays, include_weekend).first().is_holiday

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotmill import fixed
@@ -23,9 +23,19 @@ def prerequisite_frame(spark: SparkSession, prerequisites: Mapping[str, Mapping[
     return spark.createDataFrame(rows, PREREQUISITE_SCHEMA)
 
 
+def _faults() -> tuple[Column, Column, Column]:
+    """No task id; no allowed statuses; allowed statuses that are not known."""
+    known = F.array(*[F.lit(code) for code in fixed.STATUS_CODES])
+    return (
+        F.col("log_task_id").isNull(),
+        F.col("allowed_status").isNull(),
+        F.array_except("allowed_status", known),
+    )
+
+
 def missing_fields(prerequisites: DataFrame) -> DataFrame:
     """Prerequisites without a task id or a list of allowed statuses."""
-    task, allowed = F.col("log_task_id").isNull(), F.col("allowed_status").isNull()
+    task, allowed, _ = _faults()
     return prerequisites.filter(task | allowed).select(
         "name", task.alias("no_task_id"), allowed.alias("no_allowed_status")
     )
@@ -33,20 +43,19 @@ def missing_fields(prerequisites: DataFrame) -> DataFrame:
 
 def invalid_allowed(prerequisites: DataFrame) -> DataFrame:
     """Prerequisites that allow a status outside the known codes, with those statuses."""
-    known = F.array(*[F.lit(code) for code in fixed.STATUS_CODES])
-    return prerequisites.withColumn("invalid", F.array_except("allowed_status", known)).filter(
-        F.size("invalid") > 0
-    )
+    *_, invalid = _faults()
+    return prerequisites.withColumn("invalid", invalid).filter(F.size("invalid") > 0)
 
 
 def check_prerequisites(prerequisites: DataFrame) -> None:
     """Raise with some of the offending names."""
-    missing = missing_fields(prerequisites).take(5)
-    if missing:
-        raise BadRequirement("missing fields in " + ", ".join(row.name for row in missing))
-    invalid = invalid_allowed(prerequisites).take(5)
-    if invalid:
-        raise BadRequirement("; ".join(f"{row.name} allows {row.invalid}" for row in invalid))
+    task, allowed, invalid = _faults()
+    faults = prerequisites.select("name", (task | allowed).alias("missing"), invalid.alias("invalid"))
+    found = faults.filter("missing OR size(invalid) > 0").take(5)
+    if found:
+        raise BadRequirement(
+            "; ".join(f"{f.name} lacks a field" if f.missing else f"{f.name} allows {f.invalid}" for f in found)
+        )
 
 
 def gate_rows(prerequisites: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -78,6 +87,9 @@ def tasks_passed(
     prerequisites: Mapping[str, Mapping[str, object]],
     as_of: bool = False,
 ) -> bool:
+    """The gate for named tasks; their ids are part of the filter on the log, so they reach its scan."""
     frame = prerequisite_frame(spark, prerequisites)
     check_prerequisites(frame)
-    return task_gate(log, frame, ref_date, as_of).first().passed
+    task_ids = sorted({p["log_task_id"] for p in prerequisites.values()})
+    statuses = latest_status(log.filter(F.col("log_task_id").isin(task_ids)), ref_date, as_of)
+    return gate_total(gate_rows(frame, statuses)).first().passed

@@ -12,20 +12,33 @@ from pyspark.sql import functions as F
 from slotmill import fixed
 from slotmill.errors import UnknownLogId
 from slotmill.operators.newest import newest_by
+from slotmill.operators.rows import one_row
 
-LOG_SCHEMA = (
-    "log_id string, log_task_id int, status_flag int, log_msg string, "
-    "event_ts timestamp, seq bigint, event_date date"
+VERSION_SCHEMA = (
+    "log_id string, log_task_id int, status_flag int, log_msg string, event_ts timestamp, seq bigint"
 )
+LOG_SCHEMA = f"{VERSION_SCHEMA}, event_date date"
 
 
-def _write_version(
+def append_versions(versions: DataFrame, path: str, gather: bool = False) -> None:
+    """Append log rows, stored by day. ``gather`` brings the days of a large frame together first."""
+    dated = versions.withColumn("event_date", F.to_date("event_ts"))
+    rows = dated.hint("rebalance", "event_date") if gather else dated
+    rows.write.mode("append").partitionBy("event_date").parquet(path)
+
+
+def _append_one(
     spark: SparkSession, path: str, log_id: str, log_task_id: int, status_flag: int, log_msg: str, event_ts: datetime | None
 ) -> None:
-    at = event_ts or datetime.now(timezone.utc)
-    row = [(log_id, log_task_id, status_flag, log_msg, at, time.time_ns())]
-    version = spark.createDataFrame(row, LOG_SCHEMA.rsplit(",", 1)[0])
-    version.withColumn("event_date", F.to_date("event_ts")).write.mode("append").partitionBy("event_date").parquet(path)
+    version = {
+        "log_id": log_id,
+        "log_task_id": log_task_id,
+        "status_flag": status_flag,
+        "log_msg": log_msg,
+        "event_ts": event_ts or datetime.now(timezone.utc),
+        "seq": time.time_ns(),
+    }
+    append_versions(one_row(spark, VERSION_SCHEMA, version), path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -37,7 +50,7 @@ def append_log(
 ) -> tuple[int, str]:
     """Add a row; returns the fixed status 1 and the new id, to be handed to ``update_log``."""
     log_id = str(uuid.uuid4())
-    _write_version(spark, path, log_id, log_task_id, status_flag, log_msg, event_ts)
+    _append_one(spark, path, log_id, log_task_id, status_flag, log_msg, event_ts)
     return fixed.INSERT_RETURN_STATUS, log_id
 
 
@@ -55,7 +68,7 @@ def update_log(
         raise ValueError("log_id is missing")
     if read_log(spark, path).filter(F.col("log_id") == log_id).isEmpty():
         raise UnknownLogId(log_id)
-    _write_version(spark, path, log_id, log_task_id, status_flag, log_msg, event_ts)
+    _append_one(spark, path, log_id, log_task_id, status_flag, log_msg, event_ts)
 
 
 def current_log(log: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slotmill.operators.rows import one_row
 from slotmill.plans.ingest import Load
 
 SUCCESS, WARNING, ERROR = "success", "warning", "error"
@@ -21,11 +22,17 @@ def record_run(
     spark: SparkSession, path: str, import_date: date, outcome: str, load: Load | None = None, message: str | None = None
 ) -> str:
     """Append the outcome; returns the run id."""
-    run_id = str(uuid.uuid4())
-    counts = (load.loaded_rows, load.replaced_rows, load.nonblank_lines) if load else (None, None, None)
-    row = (run_id, datetime.now(timezone.utc), load.file_name if load else None, import_date, outcome, *counts, message)
-    spark.createDataFrame([row], AUDIT_SCHEMA).write.mode("append").parquet(path)
-    return run_id
+    run = {
+        "run_id": str(uuid.uuid4()),
+        "run_ts": datetime.now(timezone.utc),
+        "import_date": import_date,
+        "outcome": outcome,
+        "message": message,
+    }
+    if load:
+        run.update((name, getattr(load, name)) for name in ("file_name", "loaded_rows", "replaced_rows", "nonblank_lines"))
+    one_row(spark, AUDIT_SCHEMA, run).write.mode("append").parquet(path)
+    return run["run_id"]
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

@@ -15,6 +15,7 @@ from slotmill.errors import CountMismatch
 from slotmill.functions.names import base_name, file_id
 from slotmill.operators.reconcile import reconcile
 from slotmill.operators.replace import write_replacing
+from slotmill.operators.rows import one_row
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.sources.landing import find_latest_drop, require_distinct_ids
 from slotmill.sources.prelog import line_profile, read_lines, read_loaded, read_prelog
@@ -39,7 +40,7 @@ class Load:
     matched: bool
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([asdict(self)], LOAD_SCHEMA)
+        return one_row(spark, LOAD_SCHEMA, asdict(self))
 
 
 def typed_rows(

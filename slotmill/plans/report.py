@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from slotmill import fixed
 from slotmill.functions.dates import display_date, strict_date
+from slotmill.functions.names import quoted
 from slotmill.functions.numbers import lenient_number, lenient_text, strict_int
 from slotmill.functions.text import null_text
 from slotmill.sources.prelog import read_loaded
@@ -43,12 +44,8 @@ class ReportSpec:
             raise ValueError(f"on_null must be fail or keep, not {self.on_null!r}")
 
 
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _cleaned(field: T.StructField, spec: ReportSpec) -> list[Column]:
-    name, value = field.name, _column(field.name)
+    name, value = field.name, F.col(quoted(field.name))
     null_fails = spec.on_null == "fail"
     if name in spec.date_columns:
         return [display_date(strict_date(value, label=f"date in {name}", null_fails=null_fails)).alias(name)]

@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotmill import fixed
-from slotmill.functions.dates import display_date, retype_date, strict_date
+from slotmill.functions.dates import display_date, strict_date
 from slotmill.functions.numbers import lenient_number, lenient_text, strict_int
 from slotmill.operators import gate, runlog
 from slotmill.operators.calendar import holiday_flags
-from slotmill.operators.newest import newest_by
 from slotmill.operators.reconcile import reconcile as reconcile_files
 from slotmill.operators.replace import existing_rows as count_existing
 from slotmill.operators.replace import replace_by_key, write_replacing
+from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.operators.titles import rows_with_titles
 from slotmill.plans.audit import SUCCESS, read_audit, record_run
@@ -113,6 +113,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("log_task_id"),
         status.alias("status_flag"),
+        F.col("event_type").alias("log_msg"),
         F.col("ts").alias("event_ts"),
         F.col("event_id").alias("seq"),
     )
@@ -289,7 +290,7 @@ def report_dates(spark, sf_dir):
 def retype_dates(spark, sf_dir):
     shown = F.when(F.col("o_orderkey") % 5 == 0, fixed.NULL_SENTINEL).otherwise(display_date(F.col("o_orderdate")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", shown.alias("shown"))
-    return orders.withColumn("order_date", retype_date(F.col("shown")))
+    return retype_date_columns(orders, ["shown"])
 
 
 def strict_int_cast(spark, sf_dir):
@@ -356,8 +357,28 @@ def top_log_rows(spark, sf_dir):
 
 
 def log_current_state(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return newest_by(events, ["user_id"], ["event_type", "value"], ["ts", "event_id"])
+    """The events of a user as versions of one log row."""
+    log = event_log(spark, sf_dir).withColumn("log_id", F.col("log_task_id").cast("string"))
+    return runlog.current_log(log)
+
+
+def log_append(spark, sf_dir):
+    """Every event appended as a log row, then a second version of each failed one."""
+    path = work_folder(spark, "task_log")
+    rows = event_log(spark, sf_dir).select(
+        F.col("seq").cast("string").alias("log_id"),
+        F.col("log_task_id").cast("int"),
+        "status_flag",
+        "log_msg",
+        F.col("event_ts").cast("timestamp"),
+        "seq",
+    )
+    runlog.append_versions(rows, path, gather=True)
+    retried = rows.filter("status_flag = 2").withColumns(
+        {"status_flag": F.lit(1), "log_msg": F.concat("log_msg", F.lit(" again")), "seq": F.col("seq") + 1}
+    )
+    runlog.append_versions(retried, path, gather=True)
+    return runlog.current_log(runlog.read_log(spark, path)).select("log_id", "log_task_id", "status_flag", "log_msg")
 
 
 def latest_status(spark, sf_dir):
@@ -469,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_semi": title_rows,
     "top_log_rows": top_log_rows,
     "log_current_state": log_current_state,
+    "log_append": log_append,
     "latest_status": latest_status,
     "latest_status_as_of": latest_status_as_of,
     "missing_fields": missing_fields,

@@ -105,7 +105,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "report_dates": "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS order_date FROM orders",
     "retype_dates": """
-        SELECT o_orderkey, shown, CAST(try_strptime(shown, '%d/%m/%Y') AS DATE) AS order_date
+        SELECT o_orderkey, shown, CAST(try_strptime(shown, '%d/%m/%Y') AS DATE) AS "shown_DATE"
         FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'NULL'
                      ELSE strftime(o_orderdate, '%d/%m/%Y') END AS shown FROM orders)
     """,
@@ -135,10 +135,18 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "title_semi": "SELECT p_partkey, p_name FROM part WHERE p_name IN ('red plate', 'small widget', 'hot ring')",
     "top_log_rows": "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 10",
-    "log_current_state": """
-        SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value
+    "log_current_state": f"""
+        SELECT CAST(user_id AS VARCHAR) AS log_id, user_id AS log_task_id,
+               arg_max({_STATUS}, (ts, event_id)) AS status_flag,
+               arg_max(event_type, (ts, event_id)) AS log_msg, max(ts) AS event_ts
         FROM events GROUP BY user_id
     """,
+    "log_append": f"""
+        SELECT CAST(event_id AS VARCHAR) AS log_id, CAST(user_id AS INTEGER) AS log_task_id,
+               CASE WHEN event_type = 'error' THEN 1 ELSE {_STATUS} END AS status_flag,
+               CASE WHEN event_type = 'error' THEN 'error again' ELSE event_type END AS log_msg
+        FROM events
+    """,
     "latest_status": f"""
         SELECT user_id AS log_task_id, arg_max({_STATUS}, (ts, event_id)) AS status
         FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15' GROUP BY user_id

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from slotmill import fixed
 from slotmill.errors import MissingInput
+from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.titles import exclusive_titles
 from slotmill.plans.audit import ERROR, SUCCESS, WARNING, record_run
 from slotmill.plans.ingest import Load, ingest
@@ -22,7 +23,9 @@ def weekly_reports(
     register_loaded(spark, target)
     args = {"file_name": load.file_name, "import_date": load.import_date}
     chosen = [secondary_spec(load.file_name)] if specs is None else specs
-    datasets = {spec.name: run_report(spark, spec, args) for spec in chosen}
+    datasets = {
+        spec.name: retype_date_columns(run_report(spark, spec, args), spec.date_columns) for spec in chosen
+    }
     return export_datasets({**datasets, fixed.TITLE_DATASET: exclusive_titles(spark)}, out)
 
 

@@ -2,6 +2,8 @@
 
 Spark cannot delete by key over JDBC, so a keyed replace is two steps: the rows
 go to a staging table here, and the database swaps them in one transaction.
+``existing_rows(read_table(...), file_name=..., import_date=...)`` counts the
+rows that the swap will take away.
 """
 
 from __future__ import annotations
@@ -58,6 +60,12 @@ def read_query(
     return spark.read.format("jdbc").options(**query_options(database, query, split, fetch_size)).load()
 
 
+def read_table(spark: SparkSession, database: Database, table: str, split: Split | None = None) -> DataFrame:
+    """A whole table; filters on it are passed on to the database."""
+    options = {**database.options(), "dbtable": table, **(split.options() if split else {})}
+    return spark.read.format("jdbc").options(**options).load()
+
+
 def write_options(database: Database, table: str, connections: int = 8, batch_size: int = 10_000) -> dict[str, str]:
     return {
         **database.options(),

@@ -84,9 +84,11 @@ def test_gate(spark):
 
 
 def test_gate_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("slotmill.operators.gate.MAX_BROADCAST_TASKS", 0)
-    log = log_frame(spark, [(88, 3, NOON)])
-    assert gate.tasks_passed(spark, log, DAY, {"a": {"log_task_id": 88, "allowed_status": [3]}})
+    log = log_frame(spark, [(88, 3, NOON), (89, 1, NOON)])
+    tasks = gate.prerequisite_frame(spark, {"a": {"log_task_id": 88, "allowed_status": [3]}})
+    for bound in (10, 0):
+        monkeypatch.setattr("slotmill.operators.gate.MAX_BROADCAST_TASKS", bound)
+        assert gate.task_gate(log, tasks, DAY).first().passed
 
 
 def test_requirements(spark):

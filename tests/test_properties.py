@@ -12,7 +12,7 @@ from slotmill.operators.replace import replace_by_key
 from slotmill.sources.prelog import read_lines, read_prelog
 
 few = settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow]
 )
 # anything but line ends and the few blanks that the row reader keeps as rows
 text = st.text(st.characters(codec="utf-8", exclude_categories=("Cc", "Cs", "Zs", "Zl", "Zp")), max_size=12)

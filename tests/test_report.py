@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slotmill import fixed
 from slotmill.functions.dates import retype_date
 from slotmill.functions.numbers import lenient_number, lenient_text, strict_int
+from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.titles import exclusive_titles, rows_with_titles
 from slotmill.plans.ingest import load_files
 from slotmill.plans.report import ReportSpec, clean_report, export_datasets, main_spec, register_loaded, run_report, secondary_spec
@@ -105,6 +106,13 @@ def test_display_text_back_to_dates(spark):
     assert [r[0] for r in frame.select(retype_date(F.col("t"))).collect()] == [date(2024, 2, 3), None, None]
 
 
+def test_named_columns_that_exist_get_dates(spark):
+    frame = spark.createDataFrame([("03/02/2024", datetime(2024, 2, 4, 5), "x")], "`Start Date` string, at timestamp, t string")
+    typed = retype_date_columns(frame, ["Start Date", "at", "absent"])
+    assert typed.columns == ["Start Date", "at", "t", "Start Date_DATE", "at_DATE"]
+    assert tuple(typed.first())[3:] == (date(2024, 2, 3), date(2024, 2, 4))
+
+
 def test_title_list(spark):
     titles = [r[0] for r in exclusive_titles(spark).collect()]
     assert titles == fixed.EXCLUSIVE_TITLES and len(titles) == 15

@@ -32,6 +32,7 @@ def test_success_rerun_and_missing_file(spark, places):
     assert weekly_run(spark, **places, import_date=DAY) == "success"
     report = spark.read.parquet(f"{places['out']}/F240223B")
     assert report.count() == 2 and dict(report.dtypes)["START_TIME"] == "bigint"
+    assert {(r.TX_DATE, r.TX_DATE_DATE) for r in report.collect()} == {("23/02/2024", date(2024, 2, 23))}
     assert spark.read.parquet(f"{places['out']}/{fixed.TITLE_DATASET}").count() == 15
 
     write_drop(places["root"], "2024-03-04", "G240301A.TXT", [programme(1)])
