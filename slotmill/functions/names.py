@@ -24,7 +24,8 @@ def parent_name(path: Column) -> Column:
 
 def plain_name(encoded: Column) -> Column:
     """``_metadata`` names are percent-encoded; give back the name on disk."""
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(encoded.contains("%"), decoded).otherwise(encoded)
 
 
 def file_id(name: Column, length: int | None = fixed.FILE_ID_LENGTH) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,8 +99,11 @@ def main_spec(sql: str) -> ReportSpec:
     )
 
 
-def register_loaded(spark: SparkSession, target: str, view: str = "prelog") -> DataFrame:
-    table = read_loaded(spark, target)
+def register_loaded(
+    spark: SparkSession, target: str, import_date: date | None = None, view: str = "prelog"
+) -> DataFrame:
+    """The loaded table as a view; with ``import_date`` only that day's folders are listed."""
+    table = read_loaded(spark, target, import_date)
     table.createOrReplaceTempView(view)
     return table
 

@@ -19,8 +19,11 @@ from slotmill.plans.report import ReportSpec, export_datasets, register_loaded,
 def weekly_reports(
     spark: SparkSession, load: Load, target: str, out: str, specs: Sequence[ReportSpec] | None = None
 ) -> dict[str, str]:
-    """Write every report of the load and the title list; returns the folder of each dataset."""
-    register_loaded(spark, target)
+    """Write every report of the load and the title list; returns the folder of each dataset.
+
+    Reports of the caller's see the whole table as ``prelog``, the built-in one only its import day.
+    """
+    register_loaded(spark, target, load.import_date if specs is None else None)
     args = {"file_name": load.file_name, "import_date": load.import_date}
     chosen = [secondary_spec(load.file_name)] if specs is None else specs
     datasets = {

@@ -58,6 +58,26 @@ def test_own_report_specs(spark, places):
     assert {r.GENRE for r in spark.read.parquet(f"{places['out']}/genres").collect()} == {"NULL", "News"}
 
 
+def test_command_line(spark, places, tmp_path):
+    import run_weekly
+
+    write_drop(places["root"], "2024-02-26", "F240223B.TXT", [programme(1), programme(2)])
+    sql = tmp_path / "main.sql"
+    sql.write_text(
+        "SELECT TX_DATE AS `Broadcast Date`, TX_DATE AS `Start Date`, TX_DATE AS `End Date`, "
+        "PROGRAMME_ID AS `Program ID`, REFERENCE_ID AS `Notes`, START_TIME AS `Content ID` FROM prelog "
+        "WHERE file_name = :file_name AND import_date = :import_date"
+    )
+    argv = [f"--{name}={place}" for name, place in places.items()]
+    assert run_weekly.main(argv + ["--import-date=2024-02-26", f"--main-sql={sql}", "--strict"]) == "success"
+    main = spark.read.parquet(f"{places['out']}/{fixed.MAIN_DATASET}")
+    assert {(r["Broadcast Date"], r["Program ID"], r["Content ID"], r.Notes) for r in main.collect()} == {
+        ("23/02/2024", 1, 600, "NULL"), ("23/02/2024", 2, 600, "NULL"),
+    }
+    assert spark.read.parquet(f"{places['out']}/F240223B").count() == 2
+    assert run_weekly.arguments(argv).file_prefix == "F24"
+
+
 def run_stream(spark, places, checkpoint, **options):
     start_ingest(spark, places["root"], places["target"], checkpoint, DAY, **options).awaitTermination()
     rows = read_loaded(spark, places["target"]).groupBy("file_name").count().collect()
