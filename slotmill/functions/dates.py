@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from slotmill import fixed
 from slotmill.functions.checks import or_fail
 
 
+def as_day(day: date | str) -> date:
+    """A date, from a date or ``YYYY-MM-DD`` text."""
+    return date.fromisoformat(day) if isinstance(day, str) else day
+
+
 def tolerant_date(text: Column, pattern: str) -> Column:
     """Date, or null where the text does not fit the pattern."""
     return F.try_to_date(text, pattern)

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotmill.functions.dates import as_day
 from slotmill.operators.rows import one_row
 from slotmill.operators.sizing import broadcast_within
 
@@ -26,6 +27,6 @@ def holiday_flags(df: DataFrame, day: str, holidays: DataFrame, include_weekend:
     return joined.select(*df.columns, is_holiday.alias(flag))
 
 
-def is_holiday(spark: SparkSession, ref_date: date, include_weekend: int, holidays: DataFrame) -> bool:
-    one_day = one_row(spark, "day date", {"day": ref_date})
+def is_holiday(spark: SparkSession, ref_date: date | str, include_weekend: int, holidays: DataFrame) -> bool:
+    one_day = one_row(spark, "day date", {"day": as_day(ref_date)})
     return holiday_flags(one_day, "day", holidays, include_weekend).first().is_holiday

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.errors import BadRequirement
+from slotmill.functions.dates import as_day
 from slotmill.operators.runlog import latest_status
 from slotmill.operators.sizing import broadcast_within
 
@@ -83,7 +84,7 @@ def task_gate(log: DataFrame, prerequisites: DataFrame, ref_date: date, as_of: b
 def tasks_passed(
     spark: SparkSession,
     log: DataFrame,
-    ref_date: date,
+    ref_date: date | str,
     prerequisites: Mapping[str, Mapping[str, object]],
     as_of: bool = False,
 ) -> bool:
@@ -91,5 +92,5 @@ def tasks_passed(
     frame = prerequisite_frame(spark, prerequisites)
     check_prerequisites(frame)
     task_ids = sorted({p["log_task_id"] for p in prerequisites.values()})
-    statuses = latest_status(log.filter(F.col("log_task_id").isin(task_ids)), ref_date, as_of)
+    statuses = latest_status(log.filter(F.col("log_task_id").isin(task_ids)), as_day(ref_date), as_of)
     return gate_total(gate_rows(frame, statuses)).first().passed

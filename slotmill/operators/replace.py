@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.errors import EmptyLoad
-from slotmill.operators.sizing import broadcast_within
+from slotmill.operators.sizing import broadcast_within, gather_by
 
 # (file_name, import_date) pairs are a few dozen bytes, so this stays near 10 MB
 MAX_BROADCAST_KEYS = 200_000
@@ -43,11 +43,10 @@ def write_replacing(
 
     Rows read from drop files lie together by key already, so they are written
     where they are, without a shuffle. ``gather`` is for rows whose keys are
-    spread over all tasks: it brings keys together in adaptive partitions, and
-    a hot key is cut into several of them.
+    spread over all tasks: it brings keys together, a hot one in several parts.
     """
     written = Observation()
-    rows = df.hint("rebalance", *keys) if gather else df
+    rows = gather_by(df, keys) if gather else df
     (
         rows.observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")

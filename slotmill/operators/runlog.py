@@ -13,6 +13,7 @@ from slotmill import fixed
 from slotmill.errors import UnknownLogId
 from slotmill.operators.newest import newest_by
 from slotmill.operators.rows import one_row
+from slotmill.operators.sizing import gather_by
 
 VERSION_SCHEMA = (
     "log_id string, log_task_id int, status_flag int, log_msg string, event_ts timestamp, seq bigint"
@@ -23,7 +24,7 @@ LOG_SCHEMA = f"{VERSION_SCHEMA}, event_date date"
 def append_versions(versions: DataFrame, path: str, gather: bool = False) -> None:
     """Append log rows, stored by day. ``gather`` brings the days of a large frame together first."""
     dated = versions.withColumn("event_date", F.to_date("event_ts"))
-    rows = dated.hint("rebalance", "event_date") if gather else dated
+    rows = gather_by(dated, ["event_date"]) if gather else dated
     rows.write.mode("append").partitionBy("event_date").parquet(path)
 
 

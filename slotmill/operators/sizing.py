@@ -1,11 +1,17 @@
-"""Broadcast only what is known to be small."""
+"""Joins and shuffles that hold when a side is large or a key is hot."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# pieces per key where adaptive execution is off and cannot cut a hot key by itself
+PIECES = 16
+
+
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
@@ -14,3 +20,16 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     Meant for narrow rows: the caller picks the bound to suit the row width.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def gather_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring the rows of a key together, but never a hot key into one task.
+
+    Adaptive execution merges small keys and cuts large ones by size. Without it
+    a hash of the whole row spreads each key over a few tasks; the hash is the
+    same on a retry, so a lost executor neither drops nor repeats rows.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *keys)
+    piece = F.pmod(F.xxhash64(*df.columns), F.lit(PIECES))
+    return df.repartition(*keys, piece)

@@ -23,6 +23,7 @@ from slotmill.operators.reconcile import reconcile as reconcile_files
 from slotmill.operators.replace import existing_rows as count_existing
 from slotmill.operators.replace import replace_by_key, write_replacing
 from slotmill.operators.retype import retype_date_columns
+from slotmill.operators.sizing import gather_by
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.operators.titles import rows_with_titles
 from slotmill.plans.audit import SUCCESS, read_audit, record_run
@@ -128,7 +129,7 @@ def landing_folders(spark, sf_dir):
     days = table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("folder")
     )
-    days.hint("rebalance", "folder").write.mode("overwrite").partitionBy("folder").text(root)
+    gather_by(days, ["folder"]).write.mode("overwrite").partitionBy("folder").text(root)
     entries = landing.landing_entries(spark, root)
     named = entries.withColumn("name", F.substring_index("name", "=", -1))
     return landing.day_folders(named)

@@ -14,6 +14,7 @@ def spark():
         .appName("slotmill-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -76,7 +76,7 @@ def test_gate(spark):
     upload = {"log_task_id": 88, "allowed_status": [1, 3]}
     check = {"log_task_id": 89, "allowed_status": [1]}
     absent = {"log_task_id": 90, "allowed_status": [-1, 1]}
-    assert gate.tasks_passed(spark, log, DAY, {"upload": upload})
+    assert gate.tasks_passed(spark, log, "2022-04-28", {"upload": upload})
     assert not gate.tasks_passed(spark, log, DAY, {"upload": upload, "check": check})
     assert gate.tasks_passed(spark, log, DAY, {"upload": upload, "check": check}, as_of=True)
     assert gate.tasks_passed(spark, log, DAY, {"absent": absent, "again": upload})
@@ -113,6 +113,7 @@ def test_holiday_arguments_and_row_count(spark, monkeypatch):
     holidays = spark.createDataFrame([(date(2022, 5, 2),)] * 3, "date date")
     with pytest.raises(ValueError):
         is_holiday(spark, DAY, 2, holidays)
+    assert is_holiday(spark, "2022-05-02", 0, holidays)
     monkeypatch.setattr("slotmill.operators.calendar.MAX_BROADCAST_DAYS", 0)
     days = spark.createDataFrame([(date(2022, 5, 2), 1), (date(2022, 5, 3), 2)], "day date, n int")
     assert sorted(tuple(r) for r in holiday_flags(days, "day", holidays, 0).collect()) == [

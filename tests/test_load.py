@@ -113,19 +113,23 @@ def test_existing_rows_compare_exactly(spark):
     assert existing_rows(rows, file_name="F240223A", import_date=DAY).first().existing_rows == 1
 
 
-def test_gathered_write_cuts_a_hot_key(spark, tmp_path):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_gathered_write_cuts_a_hot_key(spark, tmp_path, adaptive):
     rows = spark.range(0, 400_000, 1, 16).select(
         F.lit(DAY).alias("import_date"),
         F.when(F.col("id") % 3 < 2, "hot").otherwise((F.col("id") % 40).cast("string")).alias("file_name"),
         F.sha2(F.col("id").cast("string"), 256).alias("value"),
     )
     target = str(tmp_path / "hot")
-    previous = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    changed = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m", "spark.sql.adaptive.enabled": adaptive}
+    previous = {key: spark.conf.get(key) for key in changed}
     try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
         assert write_replacing(rows, target, gather=True) == 400_000
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", previous)
+        for key, value in previous.items():
+            spark.conf.set(key, value)
     stored = spark.read.parquet(target)
     assert stored.count() == 400_000
     assert stored.filter("file_name = 'hot'").select(F.input_file_name()).distinct().count() > 4

@@ -114,6 +114,24 @@ def test_replayed_stream_leaves_the_same_table(spark, places, tmp_path):
         assert run_stream(spark, places, str(tmp_path / attempt)) == {"F240223A": 2}
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    class Context:
+        master = "yarn"
+        applicationId = "x"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = {}
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+    Session.conf = {"spark.checkpoint.dir": "hdfs:///shared"}
+    assert shared_root(Session()) == "hdfs:///shared"
+
+
 def test_work_folders_lie_below_the_shared_root(spark):
     folder = work_folder(spark, "x")
     assert folder.startswith(shared_root(spark)) and folder != work_folder(spark, "x")
