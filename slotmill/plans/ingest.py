@@ -17,6 +17,7 @@ from slotmill.operators.reconcile import reconcile
 from slotmill.operators.replace import write_replacing
 from slotmill.operators.rows import one_row
 from slotmill.operators.stamp import stamp, type_tx_date
+from slotmill.sources import storage
 from slotmill.sources.landing import find_latest_drop, require_distinct_ids
 from slotmill.sources.prelog import line_profile, read_lines, read_loaded, read_prelog
 
@@ -83,15 +84,17 @@ def load_files(
 ) -> Load:
     """Load files so that each (import date, file id) holds exactly the rows of this load.
 
+    ``paths`` are names of files or folders, not patterns.
     ``strict`` compares parsed rows and raw lines before anything is replaced;
     without it the rows are counted by the write itself and only reported.
     """
-    files = spark.read.format("binaryFile").load(list(paths)).select(base_name(F.col("path")).alias("file"))
+    places = [storage.literal(path) for path in paths]
+    files = spark.read.format("binaryFile").load(places).select(base_name(F.col("path")).alias("file"))
     require_distinct_ids(files, id_length=id_length)
-    rows = typed_rows(spark, paths, import_date, quote, id_length, strict_dates)
-    lines = read_lines(spark, paths)
+    rows = typed_rows(spark, places, import_date, quote, id_length, strict_dates)
+    lines = read_lines(spark, places)
     if strict:
-        wrong = reconcile(read_prelog(spark, paths, quote), lines).filter("NOT matched").take(5)
+        wrong = reconcile(read_prelog(spark, places, quote), lines).filter("NOT matched").take(5)
         if wrong:
             raise CountMismatch("; ".join(f"{w.file_name}: {w.loaded_rows} rows, {w.nonblank_lines} lines" for w in wrong))
     ids = files.select(file_id(F.col("file"), id_length).alias("file_name"))

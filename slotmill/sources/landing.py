@@ -52,7 +52,7 @@ def latest_folder(
 
 def folder_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files directly in one folder; contents are not read."""
-    listing = spark.read.format("binaryFile").load(folder)
+    listing = spark.read.format("binaryFile").load(storage.literal(folder))
     return listing.select(base_name(F.col("path")).alias("file"), "path", "length", "modificationTime")
 
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
+def literal(path: str) -> str:
+    """A path that Spark reads as it stands, although its name holds glob signs."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def _file_system(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def exists(spark: SparkSession, location: str) -> bool:
-    fs, path = _file_system(spark, location)
-    return fs.exists(path)
-
-
 def entries(spark: SparkSession, location: str) -> list[tuple[str, bool]]:
     """(name, is_folder) of everything directly below ``location``."""
     fs, path = _file_system(spark, location)

@@ -22,8 +22,14 @@ from slotmill.sources.landing import candidate_files, newest_copies
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arrivals(spark: SparkSession, root: str, file_prefix: str = fixed.FILE_PREFIX, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of new drop files below ``root``; contents are not read."""
+def arrivals(
+    spark: SparkSession,
+    root: str,
+    year_prefix: str = fixed.YEAR_PREFIX,
+    file_prefix: str = fixed.FILE_PREFIX,
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """Stream of new drop files in day folders below ``root``; contents are not read."""
     listing = (
         spark.readStream.format("binaryFile")
         .schema(ARRIVAL_SCHEMA)
@@ -32,7 +38,8 @@ def arrivals(spark: SparkSession, root: str, file_prefix: str = fixed.FILE_PREFI
         .load(root)
     )
     path = F.col("path")
-    return candidate_files(listing.select("path", base_name(path).alias("file"), parent_name(path).alias("folder")), file_prefix)
+    files = listing.select("path", base_name(path).alias("file"), parent_name(path).alias("folder"))
+    return candidate_files(files.filter(F.col("folder").startswith(year_prefix)), file_prefix)
 
 
 def start_ingest(
@@ -41,6 +48,7 @@ def start_ingest(
     target: str,
     checkpoint: str,
     import_date: date,
+    year_prefix: str = fixed.YEAR_PREFIX,
     file_prefix: str = fixed.FILE_PREFIX,
     files_per_batch: int = 1000,
     **load_options,
@@ -59,7 +67,7 @@ def start_ingest(
             load_files(batch.sparkSession, paths, target, import_date, **load_options)
 
     return (
-        arrivals(spark, root, file_prefix, files_per_batch)
+        arrivals(spark, root, year_prefix, file_prefix, files_per_batch)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -64,6 +64,16 @@ def test_strict_load_stops_before_replacing(spark, tmp_path):
     assert (loose.loaded_rows, loose.nonblank_lines, loose.matched) == (3, 2, False)
 
 
+@pytest.mark.parametrize("name", ["F240223A [1].TXT", "F240223A*.TXT", "F240223A{x}.TXT", "F240223A\\b?.TXT"])
+def test_file_names_are_not_patterns(spark, tmp_path, name):
+    root = str(tmp_path / "landing [old]")
+    write_drop(root, "2024-02-26", "F240223AA.TXT", [programme(1), programme(2)])
+    path = write_drop(root, "2024-02-26", name, [programme(1)])
+    load = load_files(spark, [path], str(tmp_path / "prelog"), DAY, strict=True)
+    assert (load.loaded_rows, load.nonblank_lines) == (1, 1)
+    assert ingest(spark, root, str(tmp_path / "prelog"), NEXT_DAY).file_name == "F240223A"
+
+
 def test_many_files_in_one_load(spark, tmp_path):
     target = str(tmp_path / "prelog")
     paths = [

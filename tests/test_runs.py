@@ -88,6 +88,7 @@ def test_stream_loads_each_file_once(spark, places, tmp_path):
     checkpoint = str(tmp_path / "progress")
     write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(1)])
     write_drop(places["root"], "2024-02-26", "G240223A.TXT", [programme(1)])
+    write_drop(places["root"], "archive", "F240222A.TXT", [programme(1)])
     assert run_stream(spark, places, checkpoint) == {"F240223A": 1}
     assert run_stream(spark, places, checkpoint) == {"F240223A": 1}
     write_drop(places["root"], "2024-02-27", "F240223B.TXT", [programme(i) for i in range(3)])
