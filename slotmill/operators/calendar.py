@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 
 from slotmill.functions.dates import as_day
 from slotmill.operators.rows import one_row
-from slotmill.operators.sizing import broadcast_within
+from slotmill.operators.sizing import lookup_join
 
 WEEKEND = (1, 7)  # Spark counts Sunday as 1
-MAX_BROADCAST_DAYS = 500_000  # 4-byte dates; more than a thousand years of them
+MAX_BROADCAST_DAYS = 500_000  # one date each; more than a thousand years of them
 
 
 def holiday_flags(df: DataFrame, day: str, holidays: DataFrame, include_weekend: int, flag: str = "is_holiday") -> DataFrame:
     """Adds ``flag``: the day is in ``holidays(date)``, or a weekend day when those count."""
     if include_weekend not in (0, 1):
         raise ValueError(f"include_weekend must be 0 or 1, not {include_weekend!r}")
-    listed = holidays.select(F.col("date").alias("_holiday")).filter("_holiday IS NOT NULL").distinct()
-    joined = df.join(broadcast_within(listed, MAX_BROADCAST_DAYS), F.col(day) == F.col("_holiday"), "left")
-    is_holiday = F.col("_holiday").isNotNull()
+    listed = holidays.select(F.col("date").alias(day)).distinct().withColumn("_listed", F.lit(True))
+    joined = lookup_join(df, listed, [day], "left", MAX_BROADCAST_DAYS)
+    is_holiday = F.col("_listed").isNotNull()
     if include_weekend:
         is_holiday = is_holiday | F.dayofweek(day).isin(*WEEKEND)
     return joined.select(*df.columns, is_holiday.alias(flag))

@@ -12,7 +12,7 @@ from slotmill import fixed
 from slotmill.errors import BadRequirement
 from slotmill.functions.dates import as_day
 from slotmill.operators.runlog import latest_status
-from slotmill.operators.sizing import broadcast_within
+from slotmill.operators.sizing import lookup_join, spread_join
 
 PREREQUISITE_SCHEMA = "name string, log_task_id int, allowed_status array<int>"
 MAX_BROADCAST_TASKS = 100_000
@@ -63,7 +63,7 @@ def gate_rows(prerequisites: DataFrame, statuses: DataFrame) -> DataFrame:
     """Each prerequisite with its latest status (-1 when the task has none) and whether it passed."""
     status = F.coalesce("status", F.lit(fixed.STATUS_WHEN_ABSENT))
     return (
-        prerequisites.join(statuses, "log_task_id", "left")
+        spread_join(prerequisites, statuses, ["log_task_id"], "left")
         .withColumn("status", status)
         .withColumn("passed", F.array_contains("allowed_status", F.col("status")))
     )
@@ -76,8 +76,8 @@ def gate_total(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def task_gate(log: DataFrame, prerequisites: DataFrame, ref_date: date, as_of: bool = False) -> DataFrame:
     """One row for a whole set of tasks, from one pass over the wanted part of the log."""
-    wanted = broadcast_within(prerequisites.select("log_task_id").distinct(), MAX_BROADCAST_TASKS)
-    relevant = log.join(wanted, "log_task_id", "left_semi")
+    wanted = prerequisites.select("log_task_id").distinct()
+    relevant = lookup_join(log, wanted, ["log_task_id"], "left_semi", MAX_BROADCAST_TASKS)
     return gate_total(gate_rows(prerequisites, latest_status(relevant, ref_date, as_of)))
 
 
@@ -93,4 +93,5 @@ def tasks_passed(
     check_prerequisites(frame)
     task_ids = sorted({p["log_task_id"] for p in prerequisites.values()})
     statuses = latest_status(log.filter(F.col("log_task_id").isin(task_ids)), as_day(ref_date), as_of)
-    return gate_total(gate_rows(frame, statuses)).first().passed
+    # at most one row per named task
+    return gate_total(gate_rows(frame, F.broadcast(statuses))).first().passed

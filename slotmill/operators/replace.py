@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.errors import EmptyLoad
-from slotmill.operators.sizing import broadcast_within, gather_by
+from slotmill.operators.sizing import gather_by, lookup_join
 
 # (file_name, import_date) pairs are a few dozen bytes, so this stays near 10 MB
 MAX_BROADCAST_KEYS = 200_000
@@ -29,8 +29,9 @@ def existing_rows(df: DataFrame, **key) -> DataFrame:
 
 def replace_by_key(target: DataFrame, new: DataFrame, keys: Sequence[str] = fixed.LOAD_KEY) -> DataFrame:
     """``target`` without the rows of any key in ``new``, plus ``new``."""
-    incoming = broadcast_within(new.select(*keys).distinct(), MAX_BROADCAST_KEYS)
-    return target.join(incoming, list(keys), "left_anti").select(target.columns).unionByName(new)
+    incoming = new.select(*keys).distinct()
+    kept = lookup_join(target, incoming, keys, "left_anti", MAX_BROADCAST_KEYS)
+    return kept.select(target.columns).unionByName(new)
 
 
 def write_replacing(

@@ -4,32 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# parts that a key is split into where nothing else splits it
+PIECES = 8
 
-# pieces per key where adaptive execution is off and cannot cut a hot key by itself
-PIECES = 16
 
+def _piece(df: DataFrame) -> Column:
+    """Part number of a row: a hash of all of it, so that a retried task repeats it exactly."""
+    return F.pmod(F.xxhash64(*df.columns), F.lit(PIECES)).cast("int")
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
-    The check reads no more than ``max_rows + 1`` rows. A larger side is handed
-    back unmarked, and the join is left to the optimizer and adaptive execution.
-    Meant for narrow rows: the caller picks the bound to suit the row width.
+def spread_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join to a ``side`` with one row per key, with the rows of each key in ``df`` split into parts.
+
+    Every part meets its own copy of the side's row. The side is shuffled on its
+    own for this, which also lets adaptive execution cut a part that is still large;
+    it cannot do so where an aggregate stands between shuffle and join.
+    """
+    copies = F.explode(F.array(*[F.lit(i) for i in range(PIECES)]))
+    parts = df.withColumn("_piece", _piece(df))
+    return parts.join(side.withColumn("_piece", copies), [*keys, "_piece"], how).drop("_piece")
+
+
+def lookup_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str, max_rows: int) -> DataFrame:
+    """Join to a ``side`` with one row per key: by broadcast up to ``max_rows``, else by ``spread_join``.
+
+    The check reads at most ``max_rows + 1`` rows of the side. The side's rows
+    have to be narrow; the caller picks a bound that suits their width.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if side.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(side), list(keys), how)
+    return spread_join(df, side, keys, how)
 
 
 def gather_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring the rows of a key together, but never a hot key into one task.
 
     Adaptive execution merges small keys and cuts large ones by size. Without it
-    a hash of the whole row spreads each key over a few tasks; the hash is the
-    same on a retry, so a lost executor neither drops nor repeats rows.
+    every key is split into parts.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", *keys)
-    piece = F.pmod(F.xxhash64(*df.columns), F.lit(PIECES))
-    return df.repartition(*keys, piece)
+    return df.repartition(*keys, _piece(df))
