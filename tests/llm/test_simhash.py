@@ -1,0 +1,138 @@
+"""SimHash components against brute force over all pairs."""
+
+import re
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+
+from slotmill.llm import simhash
+from slotmill.llm.components import connected, spanning_links
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain_fingerprint(text, words=4):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not parts:
+        return 0
+    grams = [" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(rows, max_bits=4):
+    """Component number of each row by breadth-first search."""
+    prints = np.array([plain_fingerprint(t) for _, t in rows], np.uint64)
+    seen, number = [-1] * len(rows), 0
+    for start in range(len(rows)):
+        if seen[start] >= 0:
+            continue
+        todo, seen[start] = [start], number
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= max_bits):
+                if seen[j] < 0:
+                    seen[j] = number
+                    todo.append(j)
+        number += 1
+    return [f"{p:016x}" for p in prints.tolist()], seen
+
+
+def expected(rows, max_bits=4):
+    prints, seen = brute_components(rows, max_bits)
+    lowest = {}
+    for (doc, _), c in zip(rows, seen):
+        if doc is not None:
+            lowest[c] = min(doc, lowest.get(c, doc))
+    return sorted(((d, p, lowest.get(c)) for (d, _), p, c in zip(rows, prints, seen)), key=str)
+
+
+def got(frame):
+    return sorted(((r[0], r[1], r[2]) for r in frame.collect()), key=str)
+
+
+ODD = [
+    (1, "One two three four five six"),
+    (2, "one TWO three four five six"),
+    (2, "one TWO three four five six"),
+    (3, None),
+    (4, ""),
+    (5, " \t\r\n\x0b\x0c"),
+    (6, "single"),
+    (7, "a b c"),
+    (8, "É é x y \x1cz ß"),
+    (None, "one two three four five six"),
+    (None, "quite another text of some words"),
+    (9, "word " * 60_000),
+]
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 4])
+def test_odd_rows(spark, block):
+    frame = spark.createDataFrame(ODD, SCHEMA)
+    assert got(simhash.near_copies(frame, block=block)) == expected(ODD)
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert simhash.near_copies(empty).collect() == []
+    assert simhash.without_near_copies(empty).collect() == []
+
+
+def test_extra_columns_may_clash(spark):
+    frame = spark.createDataFrame(
+        [(1, "a b c d e", 5, "x", 1), (2, "a b c d e", 6, "y", 2)],
+        "doc_id long, text string, fp int, component_id string, _id int",
+    )
+    kept = simhash.without_near_copies(frame)
+    assert kept.columns == frame.columns
+    assert [tuple(r) for r in kept.collect()] == [(1, "a b c d e", 5, "x", 1)]
+
+
+def test_one_row_of_each_component_stays(spark):
+    kept = simhash.without_near_copies(spark.createDataFrame(ODD, SCHEMA)).collect()
+    _, seen = brute_components(ODD)
+    assert len(kept) == len(set(seen))
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 3, 6, 7, 8, 9]
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 20])
+def test_all_documents(spark, block):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert got(simhash.near_copies(docs, block=block)) == expected(rows)
+
+
+def test_dense_cluster_links_nothing_too_much(spark):
+    """Thousands of fingerprints around one centre, and a chain whose ends are far apart."""
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 2**63, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (3000, 3)).astype(np.uint64)
+    dense = centre ^ np.bitwise_xor.reduce(flips, axis=1)
+    chain = np.bitwise_xor.accumulate(np.uint64(15) << np.arange(0, 64, 4, dtype=np.uint64)) ^ ~centre
+    lone = rng.integers(0, 2**63, 2000, dtype=np.uint64)
+    prints = np.unique(np.concatenate([dense, chain, lone]))
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 4
+    u, v = np.nonzero(near)
+    root, child = spanning_links(prints[u], prints[v])
+    want = dict(zip(prints.tolist(), prints.tolist())) | dict(zip(child.tolist(), root.tolist()))
+    nodes = spark.createDataFrame(pd.DataFrame({"fp": prints.view(np.int64)}))
+    for block in (simhash.BLOCK, 500):
+        links = simhash.near_links(nodes, block=block).toPandas().drop_duplicates()
+        a, b = (links[c].to_numpy().view(np.uint64) for c in "uv")
+        assert (np.bitwise_count(a ^ b) >= 0).all()
+        got_root, got_child = spanning_links(a, b)
+        have = dict(zip(prints.tolist(), prints.tolist())) | dict(zip(got_child.tolist(), got_root.tolist()))
+        assert have == want
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(100, 140)] + [(1, k) for k in range(2, 50)] + [(200, 200), (301, 300), (300, 301)]
+    links += [(60, None), (None, 61), (70, 71), (70, 71)]
+    found = {r.node: r.root for r in connected(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert {found[i] for i in range(100, 141)} == {100}
+    assert {found[i] for i in range(1, 50)} == {1}
+    assert found[300] == found[301] == 300 and found[70] == found[71] == 70
+    assert not {60, 61, 200} & set(found)
