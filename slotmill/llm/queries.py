@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slotmill.llm.quality_rules import op10_quality_rules
 from slotmill.llm.simhash import op3_simhash_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 #: none of them can be written in SQL; the tests compare with brute force, round trips or held-out rows
