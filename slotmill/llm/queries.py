@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slotmill.llm.language import op1_language_id
 from slotmill.llm.quality_pu import op4_quality_classifier
 from slotmill.llm.quality_rules import op10_quality_rules
+from slotmill.llm.sharding import op6_sharding
 from slotmill.llm.simhash import op3_simhash_near_dedup
 from slotmill.llm.toxicity import op7_toxicity
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
