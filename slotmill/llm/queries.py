@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slotmill.llm.decontaminate import op5_benchmark_decontamination
 from slotmill.llm.language import op1_language_id
 from slotmill.llm.quality_pu import op4_quality_classifier
 from slotmill.llm.quality_rules import op10_quality_rules
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op10_quality_rules": op10_quality_rules,
