@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotmill.llm.decontaminate import op5_benchmark_decontamination
 from slotmill.llm.language import op1_language_id
+from slotmill.llm.packing import op2_best_fit_packing
 from slotmill.llm.quality_pu import op4_quality_classifier
 from slotmill.llm.quality_rules import op10_quality_rules
 from slotmill.llm.sharding import op6_sharding
@@ -16,6 +17,7 @@ from slotmill.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
