@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotmill.llm.decontaminate import op5_benchmark_decontamination
 from slotmill.llm.language import op1_language_id
+from slotmill.llm.licences import op8_licence_scan
 from slotmill.llm.packing import op2_best_fit_packing
 from slotmill.llm.quality_pu import op4_quality_classifier
 from slotmill.llm.quality_rules import op10_quality_rules
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
+    "op8_licence_scan": op8_licence_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 
