@@ -15,6 +15,7 @@ from slotmill.llm.quality_rules import op10_quality_rules
 from slotmill.llm.sharding import op6_sharding
 from slotmill.llm.simhash import op3_simhash_near_dedup
 from slotmill.llm.toxicity import op7_toxicity
+from slotmill.llm.wrappers import op9_html_extraction
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_licence_scan": op8_licence_scan,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
 
