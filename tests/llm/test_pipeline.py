@@ -1,0 +1,72 @@
+"""The pipeline against a plain version of its stages, and odd documents."""
+
+import pytest
+
+import corpus_pipeline as pipeline
+from slotmill.llm import decontaminate, language, quality_rules
+from slotmill.llm.common import table
+from tests.llm.test_packing import verify
+from tests.llm.test_simhash import brute_components
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    out, docs = {}, table(spark, SF, "documents")
+    out["documents"] = docs
+    for name, stage in pipeline.STAGES:
+        docs = pipeline.materialise(stage(spark, docs, SF), name)
+        out[name] = docs
+    return out
+
+
+def ids(frame):
+    return {r.doc_id for r in frame.select("doc_id").collect()}
+
+
+def test_each_stage_decides_on_its_own_input(spark, stages):
+    names = list(stages)
+    rows = {n: {r.doc_id: r for r in stages[n].collect()} for n in names[:-1]}
+    for before, after in zip(names, names[1:-1]):
+        assert stages[after].columns == stages["documents"].columns
+        assert set(rows[after].items()) < set(rows[before].items()) or rows[after] == rows[before]
+        assert stages[after].count() == len(rows[after])
+    verdict = {r.doc_id: r.kept for r in quality_rules.op10_quality_rules(spark, SF).collect()}
+    assert set(rows["quality_rules"]) == {d for d, kept in verdict.items() if kept}
+    model = language.learn_languages(language.training_rows(stages["quality_rules"]))
+    known = {d for d, r in rows["quality_rules"].items() if not model.predict(r.text)[3]}
+    assert set(rows["language_id"]) == known and len(known) > 0.99 * len(rows["quality_rules"])
+    listed = [(d, r.text) for d, r in sorted(rows["language_id"].items())]
+    first = {}
+    for (doc, _), component in zip(listed, brute_components(listed)[1]):
+        first.setdefault(component, doc)
+    assert set(rows["simhash_near_dedup"]) == set(first.values()) and len(first) < len(listed)
+    items = [decontaminate.normal(r.text) for r in table(spark, SF, "benchmark").collect()]
+    clean = rows["benchmark_decontamination"]
+    gone = set(rows["simhash_near_dedup"]) - set(clean)
+    assert gone and not any(i in decontaminate.normal(r.text) for r in clean.values() for i in items)
+    parts = [p for i in items for p in decontaminate.passages(i)]
+    assert all(any(p in decontaminate.normal(rows["simhash_near_dedup"][d].text) for p in parts) for d in gone)
+    verify([(d, r.text, r.source) for d, r in clean.items()], stages["best_fit_packing"].collect(), 2048)
+
+
+def test_run_is_all_stages(spark, stages):
+    assert sorted(pipeline.run(spark, SF).collect()) == sorted(stages["best_fit_packing"].collect())
+
+
+def test_odd_documents(spark, tmp_path):
+    rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0)]
+    words = "the cat sat on the mat while the dog ran over green fields near old stone walls in summer rain".split()
+    for i in range(30):
+        rows.append((10 + i, " ".join(words[(i * 7 + k * (i % 5 + 1)) % len(words)] + str((i * k) % 97) for k in range(80)) + ".", "en", "s", 1))
+    rows += [rows[-1], (None, rows[-1][1], None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, SF, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = pipeline.run(spark, str(tmp_path)).collect()
+    assert len({(r.doc_id, r.piece) for r in out}) == len(out)
+    empty = tmp_path / "none"
+    spark.createDataFrame([], schema).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert pipeline.run(spark, str(empty)).collect() == []
