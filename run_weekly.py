@@ -9,7 +9,7 @@ import argparse
 from datetime import date
 
 from slotmill import fixed
-from slotmill.plans.report import main_spec, secondary_spec
+from slotmill.plans.report import main_spec
 from slotmill.plans.weekly import weekly_run
 from slotmill.session import build_session
 
@@ -21,8 +21,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="folder of the report datasets")
     parser.add_argument("--audit", required=True, help="folder of the run records")
     parser.add_argument("--import-date", type=date.fromisoformat, default=None, help="default: today")
-    parser.add_argument("--year-prefix", default=fixed.YEAR_PREFIX)
-    parser.add_argument("--file-prefix", default=fixed.FILE_PREFIX)
+    parser.add_argument("--year-prefix", help="default: any folder whose name is a date")
+    parser.add_argument("--file-prefix", help="default: F and six digits")
     parser.add_argument("--date-pattern", default=fixed.FILE_DATE_PATTERN)
     parser.add_argument("--main-sql", help="file with the main report's query over the view prelog")
     parser.add_argument("--strict", action="store_true", help="stop on a count mismatch before replacing rows")
@@ -32,10 +32,6 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> str:
     args = arguments(argv)
     main_sql = open(args.main_sql, encoding="utf-8").read() if args.main_sql else None
-
-    def specs(load):
-        return ([main_spec(main_sql)] if main_sql else []) + [secondary_spec(load.file_name)]
-
     outcome = weekly_run(
         build_session("slotmill-weekly"),
         root=args.root,
@@ -43,7 +39,7 @@ def main(argv: list[str] | None = None) -> str:
         out=args.out,
         audit=args.audit,
         import_date=args.import_date or date.today(),
-        specs=specs,
+        specs=[main_spec(main_sql)] if main_sql else None,
         year_prefix=args.year_prefix,
         file_prefix=args.file_prefix,
         date_pattern=args.date_pattern,

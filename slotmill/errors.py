@@ -14,11 +14,11 @@ class NoDayFolder(SlotmillError):
 
 
 class EmptyLoad(SlotmillError):
-    """A load produced no rows, so nothing was replaced."""
+    """A file or frame has no rows where some are demanded; nothing was replaced."""
 
 
 class DuplicateFileId(SlotmillError):
-    """Two different file names shorten to the same file id."""
+    """Two files of different names, or two copies of one, meet under one file id."""
 
 
 class CountMismatch(SlotmillError):
@@ -31,7 +31,3 @@ class BadRequirement(SlotmillError):
 
 class UnknownLogId(SlotmillError):
     """An update names a log row that does not exist."""
-
-
-class ResultTooLarge(SlotmillError):
-    """A result asked for as a row list is larger than the stated bound."""

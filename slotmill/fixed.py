@@ -30,8 +30,7 @@ PRELOG_COLUMNS = [
 ]
 
 # --- fixed values: drop-file naming ----------------------------------------
-YEAR_PREFIX = "2024"
-FILE_PREFIX = "F24"
+FILE_PREFIX = "F"
 FOLDER_DATE_PATTERN = "yyyy-MM-dd"
 FILE_DATE_PATTERN = "yyMMdd"  # how the names are built
 FILE_DATE_PATTERN_DAY_FIRST = "ddMMyy"  # the other reading of the same six digits
@@ -39,7 +38,6 @@ FILE_DATE_START = 2
 FILE_DATE_LENGTH = 6
 FILE_VERSION_START = 8
 FILE_EXTENSION_LENGTH = 4
-FILE_ID_LENGTH = 8
 
 # --- fixed values: load key and date formats -------------------------------
 LOAD_KEY = ["import_date", "file_name"]

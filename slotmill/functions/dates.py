@@ -31,8 +31,3 @@ def strict_date(
 
 def display_date(value: Column, pattern: str = fixed.DISPLAY_DATE_PATTERN) -> Column:
     return F.date_format(value, pattern)
-
-
-def retype_date(text: Column, pattern: str = fixed.DISPLAY_DATE_PATTERN) -> Column:
-    """Typed date beside display text; null where the text is not a date, so the text is kept apart."""
-    return F.try_to_date(text, pattern)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,9 +30,22 @@ def plain_name(encoded: Column) -> Column:
     return F.when(encoded.contains("%"), decoded).otherwise(encoded)
 
 
-def file_id(name: Column, length: int | None = fixed.FILE_ID_LENGTH) -> Column:
-    """First ``length`` characters, or the whole name when ``length`` is None."""
-    return name if length is None else F.substring(name, 1, length)
+def file_stem(name: Column) -> Column:
+    """Name without its extension."""
+    return F.regexp_replace(name, r"(?s)(.)\.[^.]*$", "$1")
+
+
+def file_id(name: Column, length: int | None = None) -> Column:
+    """Name without its extension, or its first ``length`` characters.
+
+    Names of one version letter have eight characters before the extension, so that both agree on them.
+    """
+    return file_stem(name) if length is None else F.substring(name, 1, length)
+
+
+def id_text(name: str, length: int | None = None) -> str:
+    """``file_id`` of one name."""
+    return (re.sub(r"(?s)(.)\.[^.]*$", r"\1", name)) if length is None else name[:length]
 
 
 def file_version(name: Column) -> Column:

@@ -24,6 +24,15 @@ def lenient_text(value: Column) -> Column:
     return F.coalesce(value.try_cast("bigint").cast("string"), value)
 
 
+# an integer, decimal or exponent form; no words such as NaN, no type letters
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def lenient_double(value: Column) -> Column:
+    """The number behind any numeric text, with fraction or exponent or beyond 64 bits; null for other text."""
+    return F.when(value.rlike(NUMBER), F.trim(value).try_cast("double"))
+
+
 def lenient_number(value: Column) -> Column:
-    """The number behind ``lenient_text``, null where the text is not one."""
+    """The 64-bit integer behind ``lenient_text``, null where the text is not one."""
     return value.try_cast("bigint")

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from slotmill.functions.dates import as_day
 from slotmill.operators.rows import one_row
-from slotmill.operators.sizing import lookup_join
 
 WEEKEND = (1, 7)  # Spark counts Sunday as 1
-MAX_BROADCAST_DAYS = 500_000  # one date each; more than a thousand years of them
 
 
 def holiday_flags(df: DataFrame, day: str, holidays: DataFrame, include_weekend: int, flag: str = "is_holiday") -> DataFrame:
@@ -20,7 +18,7 @@ def holiday_flags(df: DataFrame, day: str, holidays: DataFrame, include_weekend:
     if include_weekend not in (0, 1):
         raise ValueError(f"include_weekend must be 0 or 1, not {include_weekend!r}")
     listed = holidays.select(F.col("date").alias(day)).distinct().withColumn("_listed", F.lit(True))
-    joined = lookup_join(df, listed, [day], "left", MAX_BROADCAST_DAYS)
+    joined = df.join(listed, day, "left")
     is_holiday = F.col("_listed").isNotNull()
     if include_weekend:
         is_holiday = is_holiday | F.dayofweek(day).isin(*WEEKEND)

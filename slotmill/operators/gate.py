@@ -12,10 +12,8 @@ from slotmill import fixed
 from slotmill.errors import BadRequirement
 from slotmill.functions.dates import as_day
 from slotmill.operators.runlog import latest_status
-from slotmill.operators.sizing import lookup_join, spread_join
 
 PREREQUISITE_SCHEMA = "name string, log_task_id int, allowed_status array<int>"
-MAX_BROADCAST_TASKS = 100_000
 
 
 def prerequisite_frame(spark: SparkSession, prerequisites: Mapping[str, Mapping[str, object]]) -> DataFrame:
@@ -60,12 +58,16 @@ def check_prerequisites(prerequisites: DataFrame) -> None:
 
 
 def gate_rows(prerequisites: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Each prerequisite with its latest status (-1 when the task has none) and whether it passed."""
+    """Each prerequisite with its latest status (-1 when the task has none) and whether it passed.
+
+    One without a task id or a list of allowed statuses never passes, and a null in a list allows nothing.
+    """
     status = F.coalesce("status", F.lit(fixed.STATUS_WHEN_ABSENT))
+    allowed = F.coalesce(F.array_contains("allowed_status", F.col("status")), F.lit(False))
     return (
-        spread_join(prerequisites, statuses, ["log_task_id"], "left")
+        prerequisites.join(statuses, "log_task_id", "left")
         .withColumn("status", status)
-        .withColumn("passed", F.array_contains("allowed_status", F.col("status")))
+        .withColumn("passed", allowed & F.col("log_task_id").isNotNull())
     )
 
 
@@ -75,10 +77,8 @@ def gate_total(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def task_gate(log: DataFrame, prerequisites: DataFrame, ref_date: date, as_of: bool = False) -> DataFrame:
-    """One row for a whole set of tasks, from one pass over the wanted part of the log."""
-    wanted = prerequisites.select("log_task_id").distinct()
-    relevant = lookup_join(log, wanted, ["log_task_id"], "left_semi", MAX_BROADCAST_TASKS)
-    return gate_total(gate_rows(prerequisites, latest_status(relevant, ref_date, as_of)))
+    """One row for a whole set of tasks. The log is reduced to one row per task before it meets them."""
+    return gate_total(gate_rows(prerequisites, latest_status(log, ref_date, as_of)))
 
 
 def tasks_passed(

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.errors import EmptyLoad
-from slotmill.operators.sizing import gather_by, lookup_join
-
-# (file_name, import_date) pairs are a few dozen bytes, so this stays near 10 MB
-MAX_BROADCAST_KEYS = 200_000
+from slotmill.operators.sizing import gather_by
 
 
 def key_filter(df: DataFrame, **key) -> DataFrame:
@@ -28,10 +27,10 @@ def existing_rows(df: DataFrame, **key) -> DataFrame:
 
 
 def replace_by_key(target: DataFrame, new: DataFrame, keys: Sequence[str] = fixed.LOAD_KEY) -> DataFrame:
-    """``target`` without the rows of any key in ``new``, plus ``new``."""
-    incoming = new.select(*keys).distinct()
-    kept = lookup_join(target, incoming, keys, "left_anti", MAX_BROADCAST_KEYS)
-    return kept.select(target.columns).unionByName(new)
+    """``target`` without the rows of any key in ``new``, plus ``new``. A null in a key equals a null."""
+    incoming = new.select(*[F.col(key).alias(f"_new_{n}") for n, key in enumerate(keys)]).distinct()
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_new_{n}")) for n, key in enumerate(keys)])
+    return target.join(incoming, same, "left_anti").unionByName(new)
 
 
 def write_replacing(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotmill.functions.dates import retype_date
+from slotmill import fixed
+from slotmill.functions.dates import tolerant_date
 from slotmill.functions.names import quoted
 
 DATE_SUFFIX = "_DATE"
@@ -21,5 +22,5 @@ def retype_date_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if field.name in columns:
             value = F.col(quoted(field.name))
             is_text = isinstance(field.dataType, T.StringType)
-            typed[field.name + DATE_SUFFIX] = retype_date(value) if is_text else value.cast("date")
+            typed[field.name + DATE_SUFFIX] = tolerant_date(value, fixed.DISPLAY_DATE_PATTERN) if is_text else value.cast("date")
     return df.withColumns(typed)

@@ -14,6 +14,7 @@ from slotmill.errors import UnknownLogId
 from slotmill.operators.newest import newest_by
 from slotmill.operators.rows import one_row
 from slotmill.operators.sizing import gather_by
+from slotmill.sources import storage
 
 VERSION_SCHEMA = (
     "log_id string, log_task_id int, status_flag int, log_msg string, event_ts timestamp, seq bigint"
@@ -29,19 +30,39 @@ def append_versions(versions: DataFrame, path: str, gather: bool = False) -> Non
 
 
 def _append_one(
-    spark: SparkSession, path: str, log_id: str, log_task_id: int, status_flag: int, log_msg: str, event_ts: datetime | None
+    spark: SparkSession, path: str, log_id: str, log_task_id: int, status_flag: int, log_msg: str, event_ts: datetime, after: int = 0
 ) -> None:
     version = {
         "log_id": log_id,
         "log_task_id": log_task_id,
         "status_flag": status_flag,
         "log_msg": log_msg,
-        "event_ts": event_ts or datetime.now(timezone.utc),
-        "seq": time.time_ns(),
+        "event_ts": event_ts,
+        "seq": max(time.time_ns(), after + 1),
     }
     append_versions(one_row(spark, VERSION_SCHEMA, version), path)
 
 
+def _day_of(log_id: str) -> date | None:
+    """The day that ``append_log`` put in front of an id; None for an id from elsewhere."""
+    try:
+        return datetime.strptime(log_id[:9], "%Y%m%d-").date()
+    except ValueError:
+        return None
+
+
+def versions_of(log: DataFrame, log_id: str, *days: date) -> DataFrame:
+    """Versions of an id. An id that carries its day needs only the folders of that day and of ``days``.
+
+    Folder dates follow the writer's time zone, so a day more on each side is looked at.
+    """
+    own = _day_of(log_id)
+    if own is not None:
+        near = sorted({day + timedelta(days=n) for day in (own, *days) for n in (-1, 0, 1)})
+        log = log.filter(F.col("event_date").isin(near))
+    return log.filter(F.col("log_id") == log_id)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
@@ -50,8 +71,9 @@ def append_log(
     spark: SparkSession, path: str, log_task_id: int, status_flag: int, log_msg: str, event_ts: datetime | None = None
 ) -> tuple[int, str]:
     """Add a row; returns the fixed status 1 and the new id, to be handed to ``update_log``."""
-    log_id = str(uuid.uuid4())
-    _append_one(spark, path, log_id, log_task_id, status_flag, log_msg, event_ts)
+    at = event_ts or datetime.now(timezone.utc)
+    log_id = f"{at:%Y%m%d}-{uuid.uuid4()}"
+    _append_one(spark, path, log_id, log_task_id, status_flag, log_msg, at)
     return fixed.INSERT_RETURN_STATUS, log_id
 
 
@@ -64,21 +86,40 @@ def update_log(
     log_msg: str,
     event_ts: datetime | None = None,
 ) -> None:
-    """New status and message for an existing id."""
+    """New status and message for an existing id, whatever time they carry."""
     if log_id is None:
         raise ValueError("log_id is missing")
-    if read_log(spark, path).filter(F.col("log_id") == log_id).isEmpty():
+    at = event_ts or datetime.now(timezone.utc)
+    last = versions_of(read_log(spark, path), log_id, at.date()).agg(F.max("seq")).first()[0]
+    if last is None:
         raise UnknownLogId(log_id)
-    _append_one(spark, path, log_id, log_task_id, status_flag, log_msg, event_ts)
+    _append_one(spark, path, log_id, log_task_id, status_flag, log_msg, at, after=last)
 
 
 def current_log(log: DataFrame) -> DataFrame:
-    """One row per ``log_id``: its newest version."""
+    """One row per ``log_id``: the version that was written last."""
     return newest_by(
-        log, ["log_id"], ["log_task_id", "status_flag", "log_msg", "event_ts"], ["event_ts", "seq"]
+        log, ["log_id"], ["log_task_id", "status_flag", "log_msg", "event_ts"], ["seq", "event_ts"]
     )
 
 
+def merge_files(spark: SparkSession, path: str, day: date, files: int = 1) -> None:
+    """Rewrite the folder of one day as ``files`` files, with the same rows.
+
+    Appends of single rows leave a file each. Nobody may append to the day meanwhile: run it for days
+    that are over.
+    """
+    folder, staging = f"event_date={day.isoformat()}", f"{path}/_merge-{uuid.uuid4().hex}"
+    if not storage.exists(spark, f"{path}/{folder}"):
+        return
+    rows = spark.read.schema(VERSION_SCHEMA).parquet(f"{path}/{folder}")
+    try:
+        rows.repartition(files).write.parquet(f"{staging}/{folder}")
+        storage.replace_folders(spark, staging, path, [folder])
+    finally:
+        storage.remove(spark, staging)
+
+
 def latest_status(log: DataFrame, ref_date: date, as_of: bool = False) -> DataFrame:
     """Newest status of each task on ``ref_date``, or up to the end of it with ``as_of``.
 

@@ -1,50 +1,30 @@
-"""Joins and shuffles that hold when a side is large or a key is hot."""
+"""Gathering rows by key without handing a hot key to one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-# parts that a key is split into where nothing else splits it
-PIECES = 8
-
-
-def _piece(df: DataFrame) -> Column:
-    """Part number of a row: a hash of all of it, so that a retried task repeats it exactly."""
-    return F.pmod(F.xxhash64(*df.columns), F.lit(PIECES)).cast("int")
-
-
-def spread_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join to a ``side`` with one row per key, with the rows of each key in ``df`` split into parts.
-
-    Every part meets its own copy of the side's row. The side is shuffled on its
-    own for this, which also lets adaptive execution cut a part that is still large;
-    it cannot do so where an aggregate stands between shuffle and join.
-    """
-    copies = F.explode(F.array(*[F.lit(i) for i in range(PIECES)]))
-    parts = df.withColumn("_piece", _piece(df))
-    return parts.join(side.withColumn("_piece", copies), [*keys, "_piece"], how).drop("_piece")
-
-
-def lookup_join(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str, max_rows: int) -> DataFrame:
-    """Join to a ``side`` with one row per key: by broadcast up to ``max_rows``, else by ``spread_join``.
-
-    The check reads at most ``max_rows + 1`` rows of the side. The side's rows
-    have to be narrow; the caller picks a bound that suits their width.
-    """
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return df.join(F.broadcast(side), list(keys), how)
-    return spread_join(df, side, keys, how)
+from pyspark.sql import types as T
 
 
 def gather_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring the rows of a key together, but never a hot key into one task.
 
-    Adaptive execution merges small keys and cuts large ones by size. Without it
-    every key is split into parts.
+    Adaptive execution merges small keys and cuts large ones by size. Without it every key is split
+    into as many parts as there are shuffle partitions, by a hash of the row.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", *keys)
-    return df.repartition(*keys, _piece(df))
+    hashed = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    place = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(int(conf.get("spark.sql.shuffle.partitions"))))
+    return df.repartition(*keys, place)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Maps cannot be hashed."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)

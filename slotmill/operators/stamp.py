@@ -16,7 +16,7 @@ def stamp(
     df: DataFrame,
     import_date: date,
     source: Column | None = None,
-    id_length: int | None = fixed.FILE_ID_LENGTH,
+    id_length: int | None = None,
 ) -> DataFrame:
     """``file_name`` and ``import_date`` in front of the other columns.
 

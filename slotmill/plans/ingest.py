@@ -1,31 +1,52 @@
-"""From drop files to the loaded table: read, stamp, type, replace, reconcile."""
+"""From drop files to the loaded table: list, read, stamp, type, count, replace, register.
+
+A load is written beside the table first. Its counts are taken by that one
+write, so everything that may be wrong with it is known before any row of the
+table is replaced. Then the folder of each file is put in place of its older
+one; a file that has no rows any more leaves none behind.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotmill import fixed
-from slotmill.errors import CountMismatch
-from slotmill.functions.names import base_name, file_id
-from slotmill.operators.reconcile import reconcile
-from slotmill.operators.replace import write_replacing
+from slotmill.errors import CountMismatch, DuplicateFileId, EmptyLoad
+from slotmill.functions.names import id_text
+from slotmill.operators.newest import newest_by
 from slotmill.operators.rows import one_row
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.sources import storage
-from slotmill.sources.landing import find_latest_drop, require_distinct_ids
-from slotmill.sources.prelog import line_profile, read_lines, read_loaded, read_prelog
+from slotmill.sources.landing import find_latest_drop
+from slotmill.sources.prelog import parsed_lines, profile_columns, read_lines, read_loaded, read_prelog
 
 LOAD_SCHEMA = (
-    "file_name string, import_date date, loaded_rows bigint, replaced_rows bigint, "
-    "nonblank_lines bigint, short_rows bigint, long_rows bigint, matched boolean"
+    "file_name string, import_date date, loaded_rows bigint, replaced_rows bigint, nonblank_lines bigint, "
+    "short_rows bigint, long_rows bigint, matched boolean, files bigint, empty_files bigint, skipped_files bigint"
 )
 
+#: what each file id of the table was loaded from; below the table in a folder that readers pass over
+REGISTER = "_loads"
+REGISTER_SCHEMA = "file_name string, source_file string, folder date, rows bigint, seq bigint, import_date date"
+
+
+@dataclass(frozen=True)
+class Source:
+    """One file of a load."""
+
+    path: str
+    name: str
+    file_id: str
+    folder: date | None
+    length: int
+
 
 @dataclass(frozen=True)
 class Load:
@@ -39,6 +60,9 @@ class Load:
     short_rows: int
     long_rows: int
     matched: bool
+    files: int = 1
+    empty_files: int = 0
+    skipped_files: int = 0
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return one_row(spark, LOAD_SCHEMA, asdict(self))
@@ -49,7 +73,7 @@ def typed_rows(
     paths: str | Sequence[str],
     import_date: date,
     quote: str = "",
-    id_length: int | None = fixed.FILE_ID_LENGTH,
+    id_length: int | None = None,
     strict_dates: bool = False,
 ) -> DataFrame:
     """The 27 columns of the loaded table, straight from the files."""
@@ -57,19 +81,58 @@ def typed_rows(
     return type_tx_date(stamp(raw, import_date, id_length=id_length), strict=strict_dates)
 
 
-def replaced_rows(spark: SparkSession, target: str, import_date: date, names: DataFrame) -> int:
-    """Rows of the import day that a load of the file ids in ``names`` takes the place of.
-
-    Only the one day is listed, and the count comes from partition values and file footers.
-    """
+def _folder_day(path: str) -> date | None:
     try:
-        day = read_loaded(spark, target, import_date)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
-    per_file = day.groupBy("file_name").agg(F.count("*").alias("rows"))
-    return per_file.join(names, "file_name", "left_semi").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        return date.fromisoformat(path.rstrip("/").rsplit("/", 2)[-2])
+    except (ValueError, IndexError):
+        return None
+
+
+def sources(spark: SparkSession, paths: Sequence[str], id_length: int | None = None) -> list[Source]:
+    """The files that ``paths`` (files or folders, not patterns) name, those without content included."""
+    found = [e for path in paths for e in storage.listing(spark, path)]
+    return [
+        Source(e.path, e.name, id_text(e.name, id_length), _folder_day(e.path), e.length)
+        for e in found
+        if not e.is_folder and not e.name.startswith(("_", "."))
+    ]
+
+
+def read_register(spark: SparkSession, target: str, import_date: date | None = None) -> DataFrame:
+    """The newest registration of each (import date, file id)."""
+    place = f"{target}/{REGISTER}"
+    if not storage.exists(spark, place):
+        return spark.createDataFrame([], REGISTER_SCHEMA)
+    rows = spark.read.schema(REGISTER_SCHEMA).parquet(place)
+    if import_date is not None:
+        rows = rows.filter(F.col("import_date") == F.lit(import_date))
+    return newest_by(rows, ["import_date", "file_name"], ["source_file", "folder", "rows"], ["seq"])
+
+
+def _chosen(spark: SparkSession, found: list[Source], target: str, import_date: date, skip_older: bool) -> list[Source]:
+    """One source for each id, and only sources that may replace what the register has."""
+    by_id: dict[str, Source] = {}
+    for source in sorted(found, key=lambda s: (s.folder or date.min, s.path)):
+        other = by_id.get(source.file_id)
+        if other and (other.name != source.name or not skip_older):
+            raise DuplicateFileId(f"{source.file_id}: {other.path}, {source.path}")
+        by_id[source.file_id] = source
+    # ids of this load only, so no more rows than it has files
+    ids = spark.createDataFrame([(i,) for i in by_id], "file_name string")
+    for row in read_register(spark, target, import_date).join(ids, "file_name", "left_semi").toLocalIterator():
+        source = by_id[row.file_name]
+        if source.name != row.source_file:
+            raise DuplicateFileId(f"{row.file_name}: loaded from {row.source_file}, not {source.name}")
+        if skip_older and row.folder is not None and (source.folder is None or source.folder < row.folder):
+            del by_id[row.file_name]
+    return list(by_id.values())
+
+
+def rows_per_file(spark: SparkSession, target: str, import_date: date) -> DataFrame:
+    """(file_name, rows) of one import day, from partition values and file footers."""
+    if not storage.exists(spark, f"{target}/import_date={import_date.isoformat()}"):
+        return spark.createDataFrame([], "file_name string, rows bigint")
+    return read_loaded(spark, target, import_date).groupBy("file_name").agg(F.count("*").alias("rows"))
 
 
 def load_files(
@@ -78,48 +141,78 @@ def load_files(
     target: str,
     import_date: date,
     quote: str = "",
-    id_length: int | None = fixed.FILE_ID_LENGTH,
+    id_length: int | None = None,
     strict: bool = False,
     strict_dates: bool = False,
+    skip_older: bool = False,
 ) -> Load:
     """Load files so that each (import date, file id) holds exactly the rows of this load.
 
-    ``paths`` are names of files or folders, not patterns.
-    ``strict`` compares parsed rows and raw lines before anything is replaced;
-    without it the rows are counted by the write itself and only reported.
+    A file without rows, zero bytes among them, takes away what its id held; ``strict`` raises
+    ``EmptyLoad`` instead, and ``CountMismatch`` where rows and non-blank lines differ, before anything
+    is replaced. An id that another file name was loaded under raises ``DuplicateFileId``.
+    ``skip_older`` is for arrivals in any order: of copies in several day folders the newest counts,
+    and a copy from an older folder than the loaded one is passed over.
+    The files are read once; with quoting on, and with ``strict``, lines are counted in a second scan.
     """
-    places = [storage.literal(path) for path in paths]
-    files = spark.read.format("binaryFile").load(places).select(base_name(F.col("path")).alias("file"))
-    require_distinct_ids(files, id_length=id_length)
-    rows = typed_rows(spark, places, import_date, quote, id_length, strict_dates)
-    lines = read_lines(spark, places)
-    if strict:
-        wrong = reconcile(read_prelog(spark, places, quote), lines).filter("NOT matched").take(5)
-        if wrong:
-            raise CountMismatch("; ".join(f"{w.file_name}: {w.loaded_rows} rows, {w.nonblank_lines} lines" for w in wrong))
-    ids = files.select(file_id(F.col("file"), id_length).alias("file_name"))
-    replaced = replaced_rows(spark, target, import_date, ids)
-    loaded = write_replacing(rows, target)
-    profile = line_profile(lines).first()
+    found = sources(spark, paths, id_length)
+    chosen = _chosen(spark, found, target, import_date, skip_older)
+    staging = f"{target}/_staging-{uuid.uuid4().hex}"
+    day = f"import_date={import_date.isoformat()}"
+    filled = [storage.literal(s.path) for s in chosen if s.length]
+    counted, lined = Observation(), Observation()
+    totals = {"rows": 0, "nonblank_lines": 0, "short_rows": 0, "long_rows": 0}
+    ids = {s.file_id: 0 for s in chosen}
+    try:
+        if filled:
+            lines = read_lines(spark, filled)
+            alone = not quote and not strict
+            raw = parsed_lines(lines.observe(lined, *profile_columns())) if alone else read_prelog(spark, filled, quote)
+            rows = type_tx_date(stamp(raw, import_date, id_length=id_length), strict=strict_dates)
+            rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*fixed.LOAD_KEY).parquet(staging)
+            totals.update(counted.get)
+            totals.update(lined.get if alone else lines.agg(*profile_columns()).first().asDict())
+            for row in rows_per_file(spark, staging, import_date).toLocalIterator():
+                ids[row.file_name] = row.rows
+        empty = [i for i, n in ids.items() if not n]
+        if strict and (empty or not chosen):
+            raise EmptyLoad(f"no rows in {', '.join(sorted(empty)[:5]) or paths}; nothing was replaced")
+        matched = totals["rows"] == totals["nonblank_lines"]
+        if strict and not matched:
+            raise CountMismatch(f"{_label(paths, chosen)}: {totals['rows']} rows, {totals['nonblank_lines']} lines")
+        names = spark.createDataFrame([(i,) for i in ids], "file_name string")
+        before = rows_per_file(spark, target, import_date).join(names, "file_name", "left_semi")
+        replaced = before.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        storage.replace_folders(spark, staging, target, [f"{day}/file_name={_escaped(spark, i)}" for i in ids])
+    finally:
+        storage.remove(spark, staging)
+    if chosen:
+        seq = time.time_ns()
+        register = [(s.file_id, s.name, s.folder, ids[s.file_id], seq, import_date) for s in chosen]
+        frame = spark.createDataFrame(register, REGISTER_SCHEMA).coalesce(1)
+        frame.write.mode("append").partitionBy("import_date").parquet(f"{target}/{REGISTER}")
     return Load(
-        paths[0].rsplit("/", 1)[-1][:id_length] if len(paths) == 1 else f"{len(paths)} files",
-        import_date,
-        loaded,
-        replaced,
-        profile.nonblank_lines,
-        profile.short_rows,
-        profile.long_rows,
-        loaded == profile.nonblank_lines,
+        _label(paths, chosen), import_date, totals["rows"], replaced, totals["nonblank_lines"], totals["short_rows"],
+        totals["long_rows"], matched, len(chosen), len(empty), len(found) - len(chosen),
     )
 
 
+def _label(paths: Sequence[str], chosen: list[Source]) -> str:
+    return chosen[0].file_id if len(chosen) == 1 else f"{len(chosen)} files"
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def ingest(
     spark: SparkSession,
     root: str,
     target: str,
     import_date: date,
-    year_prefix: str = fixed.YEAR_PREFIX,
-    file_prefix: str = fixed.FILE_PREFIX,
+    year_prefix: str | None = None,
+    file_prefix: str | None = None,
     date_pattern: str = fixed.FILE_DATE_PATTERN,
     **load_options,
 ) -> Load:

@@ -17,12 +17,12 @@ from pyspark.sql import types as T
 from slotmill import fixed
 from slotmill.functions.dates import display_date, strict_date
 from slotmill.functions.names import quoted
-from slotmill.functions.numbers import lenient_number, lenient_text, strict_int
+from slotmill.functions.numbers import lenient_double, lenient_number, lenient_text, strict_int
 from slotmill.functions.text import null_text
 from slotmill.sources.prelog import read_loaded
 from slotmill.sources.sql import query_table
 
-NUMBER_SUFFIX = "_NUMBER"
+NUMBER_SUFFIX, DOUBLE_SUFFIX = "_NUMBER", "_DOUBLE"
 
 
 @dataclass(frozen=True)
@@ -56,12 +56,16 @@ def _cleaned(field: T.StructField, spec: ReportSpec) -> list[Column]:
         value = null_text(value)
     if name in spec.lenient_columns:
         text = value.cast("string")
-        return [lenient_text(text).alias(name), lenient_number(text).alias(name + NUMBER_SUFFIX)]
+        return [
+            lenient_text(text).alias(name),
+            lenient_number(text).alias(name + NUMBER_SUFFIX),
+            lenient_double(text).alias(name + DOUBLE_SUFFIX),
+        ]
     return [value.alias(name)]
 
 
 def clean_report(df: DataFrame, spec: ReportSpec) -> DataFrame:
-    """Text nulls as sentinel, dates as display text, integers as bigint, mixed columns as text and number."""
+    """Text nulls as sentinel, dates as display text, integers as bigint, mixed columns as text, integer and number."""
     named = spec.date_columns + spec.int_columns + spec.lenient_columns
     unknown = [name for name in named if name not in df.columns]
     if unknown:

@@ -99,6 +99,24 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT DATE '2024-02-26', 'success', count(*), count(*), count(*) FROM orders
     """,
+    "keyed_replace_emptied": """
+        SELECT 'F240223F' AS file_name, count(*) FILTER (WHERE o_orderstatus = 'F') AS rows, 2 AS empty_files, 0 AS loaded_rows,
+               count(*) FILTER (WHERE o_orderstatus IN ('O', 'P')) AS replaced_rows
+        FROM orders
+    """,
+    "run_outcomes": """
+        SELECT DATE '2024-02-05' AS import_date, 'success' AS outcome, 'F240205A' AS file_name, count(*) AS loaded_rows,
+               count(*) AS nonblank_lines, CAST(0 AS BIGINT) AS short_rows, CAST(0 AS BIGINT) AS long_rows, true AS matched
+        FROM orders
+        UNION ALL
+        SELECT DATE '2024-02-12', 'error', 'F240212A', count(*) + count(*) FILTER (WHERE o_orderpriority = '1-URGENT'),
+               count(*), 0, 0, false
+        FROM orders
+        UNION ALL
+        SELECT DATE '2024-02-19', 'warning', NULL, NULL, NULL, NULL, NULL, NULL
+        UNION ALL
+        SELECT DATE '2024-02-26', 'error', 'F240226A', count(*), count(*), 0, 0, true FROM orders
+    """,
     "null_sentinel": """
         SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), 'NULL') AS quality, l.toxic
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
@@ -114,9 +132,14 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS padded FROM part)
     """,
     "lenient_numeric": """
-        SELECT p_partkey, coalesce(CAST(TRY_CAST(t AS BIGINT) AS VARCHAR), t) AS shown, TRY_CAST(t AS BIGINT) AS number
-        FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'AG' || p_partkey
-                     ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') END AS t FROM part)
+        SELECT p_partkey, coalesce(CAST(n AS VARCHAR), t) AS shown, n AS number, TRY_CAST(t AS DOUBLE) AS double
+        FROM (SELECT p_partkey, t, CASE WHEN regexp_full_match(t, '[0-9]+') THEN TRY_CAST(t AS BIGINT) END AS n
+              FROM (SELECT p_partkey, CASE p_partkey % 7
+                        WHEN 0 THEN 'AG' || p_partkey
+                        WHEN 1 THEN p_partkey || '.50'
+                        WHEN 2 THEN p_partkey || 'e3'
+                        WHEN 3 THEN '9' || lpad(CAST(p_partkey AS VARCHAR), 20, '0')
+                        ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') END AS t FROM part))
     """,
     "report_param": """
         SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%d/%m/%Y') AS l_shipdate,
@@ -162,6 +185,12 @@ ORACLE_SQL: dict[str, str] = {
     "latest_status_gate_rows": f"SELECT c_custkey, status, passed FROM ({_GATE_ROWS})",
     "gate_total": f"SELECT c_nationkey, c_mktsegment, bool_and(passed) AS passed FROM ({_GATE_ROWS}) GROUP BY 1, 2",
     "task_gate": f"SELECT coalesce(bool_and(passed), true) AS passed FROM ({_GATE_ROWS})",
+    "gate_faults": f"""
+        SELECT c_custkey, CASE WHEN c_custkey % 5 = 3 THEN -1 ELSE coalesce(status, -1) END AS status,
+               CASE c_custkey % 5 WHEN 1 THEN false WHEN 2 THEN coalesce(status, -1) = 2 WHEN 3 THEN false
+                    ELSE coalesce(status, -1) IN (-1, 1, 3) END AS passed
+        FROM customer LEFT JOIN ({_AS_OF}) s ON s.log_task_id = c_custkey
+    """,
     "holiday_flag": """
         SELECT event_id, CAST(ts AS DATE) AS day,
                CAST(ts AS DATE) IN (DATE '2024-01-01', DATE '2024-01-25') OR dayofweek(ts) IN (0, 6) AS is_holiday,
@@ -169,8 +198,13 @@ ORACLE_SQL: dict[str, str] = {
         FROM events
     """,
     "stream_ingest": """
-        SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day, strftime(ts, '%H%M') AS start_time, props, value
-        FROM events
+        SELECT CAST(n AS INTEGER) AS files_per_batch, event_id, user_id, event_type, CAST(ts AS DATE) AS day,
+               strftime(ts, '%H%M') AS start_time, props, value
+        FROM events, (VALUES (1), (1000)) AS batches(n)
     """,
 }
-ORACLE_SQL["report_export"] = ORACLE_SQL["report_param"]
+ORACLE_SQL["report_export"] = f"""
+    SELECT 'main' AS dataset, count(*) AS rows, sum(l_orderkey) AS keys, max(l_shipdate) AS last FROM ({ORACLE_SQL["report_param"]})
+    UNION ALL
+    SELECT 'second', count(*), sum(o_orderkey), max(file_name) FROM ({ORACLE_SQL["stamped_load"]})
+"""

@@ -13,7 +13,8 @@ from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.titles import exclusive_titles
 from slotmill.plans.audit import ERROR, SUCCESS, WARNING, record_run
 from slotmill.plans.ingest import Load, ingest
-from slotmill.plans.report import ReportSpec, export_datasets, register_loaded, run_report, secondary_spec
+from slotmill.plans.report import ReportSpec, export_datasets, run_report, secondary_spec
+from slotmill.sources.prelog import read_loaded
 
 
 def weekly_reports(
@@ -21,13 +22,17 @@ def weekly_reports(
 ) -> dict[str, str]:
     """Write every report of the load and the title list; returns the folder of each dataset.
 
-    Reports of the caller's see the whole table as ``prelog``, the built-in one only its import day.
+    Reports of the caller's see the whole table as ``prelog``; the built-in one, which is written
+    beside them, lists only its import day.
     """
-    register_loaded(spark, target, load.import_date if specs is None else None)
     args = {"file_name": load.file_name, "import_date": load.import_date}
-    chosen = [secondary_spec(load.file_name)] if specs is None else specs
+    built_in = secondary_spec(load.file_name)
+    frames = {built_in: read_loaded(spark, target, load.import_date)}
+    if specs:
+        frames.update(dict.fromkeys(specs, read_loaded(spark, target)))
     datasets = {
-        spec.name: retype_date_columns(run_report(spark, spec, args), spec.date_columns) for spec in chosen
+        spec.name: retype_date_columns(run_report(spark, spec, args, {"prelog": frame}), spec.date_columns)
+        for spec, frame in frames.items()
     }
     return export_datasets({**datasets, fixed.TITLE_DATASET: exclusive_titles(spark)}, out)
 

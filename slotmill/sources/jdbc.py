@@ -8,9 +8,10 @@ rows that the swap will take away.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 
 @dataclass(frozen=True)
@@ -45,24 +46,33 @@ class Split:
         }
 
 
-def query_options(database: Database, query: str, split: Split | None = None, fetch_size: int = 10_000) -> dict[str, str]:
+#: stands in place of a split where one task may read the whole result
+ONE_TASK = "one task"
+
+
+def query_options(database: Database, query: str, split: Split | str, fetch_size: int = 10_000) -> dict[str, str]:
     options = {**database.options(), "fetchsize": str(fetch_size)}
-    if split is None:
+    if split == ONE_TASK:
         return {**options, "query": query}
     # ranges only work on a table expression
     return {**options, **split.options(), "dbtable": f"({query}) q"}
 
 
 def read_query(
-    spark: SparkSession, database: Database, query: str, split: Split | None = None, fetch_size: int = 10_000
+    spark: SparkSession, database: Database, query: str, split: Split | str, fetch_size: int = 10_000
 ) -> DataFrame:
-    """A query as a DataFrame; give ``split`` for anything that one task should not read alone."""
+    """A query as a DataFrame, read in the ranges of ``split``, or alone with ``ONE_TASK``."""
     return spark.read.format("jdbc").options(**query_options(database, query, split, fetch_size)).load()
 
 
-def read_table(spark: SparkSession, database: Database, table: str, split: Split | None = None) -> DataFrame:
-    """A whole table; filters on it are passed on to the database."""
-    options = {**database.options(), "dbtable": table, **(split.options() if split else {})}
+def read_rows(spark: SparkSession, database: Database, query: str, fetch_size: int = 10_000) -> Iterator[Row]:
+    """All rows of a query, in its order, a partition at a time; meant for results that one task can read."""
+    return read_query(spark, database, query, ONE_TASK, fetch_size).toLocalIterator()
+
+
+def read_table(spark: SparkSession, database: Database, table: str, split: Split | str) -> DataFrame:
+    """A whole table, read like a query; filters on it are passed on to the database."""
+    options = {**database.options(), "dbtable": table, **({} if split == ONE_TASK else split.options())}
     return spark.read.format("jdbc").options(**options).load()
 
 
@@ -75,12 +85,17 @@ def write_options(database: Database, table: str, connections: int = 8, batch_si
     }
 
 
+def narrowed(df: DataFrame, connections: int) -> DataFrame:
+    """Rows in as many partitions as connections, by a shuffle, so that what comes before keeps all its tasks."""
+    return df.repartition(connections)
+
+
 def append_table(df: DataFrame, database: Database, table: str, connections: int = 8, batch_size: int = 10_000) -> None:
     """Append rows. A failed job may leave rows of finished tasks behind."""
-    df.write.format("jdbc").options(**write_options(database, table, connections, batch_size)).mode("append").save()
+    narrowed(df, connections).write.format("jdbc").options(**write_options(database, table, connections, batch_size)).mode("append").save()
 
 
 def fill_staging(df: DataFrame, database: Database, table: str, connections: int = 8, batch_size: int = 10_000) -> None:
     """Empty the staging table and fill it, so that a repeated job starts clean."""
     options = {**write_options(database, table, connections, batch_size), "truncate": "true"}
-    df.write.format("jdbc").options(**options).mode("overwrite").save()
+    narrowed(df, connections).write.format("jdbc").options(**options).mode("overwrite").save()

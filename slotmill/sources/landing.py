@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.errors import DuplicateFileId, MissingInput, NoDayFolder
-from slotmill.functions.dates import strict_date
-from slotmill.functions.names import base_name, file_date, file_id, file_version
+from slotmill.functions.dates import strict_date, tolerant_date
+from slotmill.functions.names import file_date, file_id, file_version, id_text
 from slotmill.sources import storage
 
 
@@ -35,29 +35,40 @@ def landing_entries(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(storage.entries(spark, root), "name string, is_folder boolean")
 
 
-def day_folders(entries: DataFrame, year_prefix: str = fixed.YEAR_PREFIX) -> DataFrame:
-    return entries.filter(F.col("is_folder") & F.col("name").startswith(year_prefix)).select(
-        F.col("name").alias("folder")
-    )
+def in_day_folder(folder: Column, year_prefix: str | None = None) -> Column:
+    """The name is a date; with ``year_prefix`` it begins with that, whatever follows."""
+    if year_prefix is None:
+        return tolerant_date(folder, fixed.FOLDER_DATE_PATTERN).isNotNull()
+    return folder.startswith(year_prefix)
 
 
-def latest_folder(
-    folders: DataFrame, year_prefix: str = fixed.YEAR_PREFIX, by: Sequence[str] = ()
-) -> DataFrame:
-    """Newest folder date among names with the prefix; one unparseable name fails the job."""
-    kept = folders.filter(F.col("folder").startswith(year_prefix))
+def day_folders(entries: DataFrame, year_prefix: str | None = None) -> DataFrame:
+    kept = entries.filter(F.col("is_folder") & in_day_folder(F.col("name"), year_prefix))
+    return kept.select(F.col("name").alias("folder"))
+
+
+def latest_folder(folders: DataFrame, year_prefix: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Newest folder date. Without a prefix names that are no dates are passed over, with one they fail the job."""
+    kept = folders.filter(in_day_folder(F.col("folder"), year_prefix))
     day = strict_date(F.col("folder"), fixed.FOLDER_DATE_PATTERN, label="folder date")
     return kept.groupBy(*by).agg(F.max(day).alias("latest_folder"))
 
 
 def folder_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files directly in one folder; contents are not read."""
-    listing = spark.read.format("binaryFile").load(storage.literal(folder))
-    return listing.select(base_name(F.col("path")).alias("file"), "path", "length", "modificationTime")
+    """Files directly in one folder, those without content too; contents are not read."""
+    files = [(e.name, e.path, e.length) for e in storage.listing(spark, folder) if not e.is_folder]
+    return spark.createDataFrame(files, "file string, path string, length long")
+
 
+def is_candidate(file: Column, file_prefix: str | None = None) -> Column:
+    """The name begins with the prefix; without one, with the letter and six digits of a drop file."""
+    if file_prefix is None:
+        return file.rlike(f"^{fixed.FILE_PREFIX}[0-9]{{{fixed.FILE_DATE_LENGTH}}}")
+    return file.startswith(file_prefix)
 
-def candidate_files(files: DataFrame, file_prefix: str = fixed.FILE_PREFIX) -> DataFrame:
-    return files.filter(F.col("file").startswith(file_prefix))
+
+def candidate_files(files: DataFrame, file_prefix: str | None = None) -> DataFrame:
+    return files.filter(is_candidate(F.col("file"), file_prefix))
 
 
 def newest_version(
@@ -73,13 +84,13 @@ def newest_version(
     return files.groupBy(*by).agg(F.max_by(name, order).alias("latest_file"))
 
 
-def shared_file_ids(files: DataFrame, file: str = "file", id_length: int | None = fixed.FILE_ID_LENGTH) -> DataFrame:
+def shared_file_ids(files: DataFrame, file: str = "file", id_length: int | None = None) -> DataFrame:
     """File ids that stand for more than one distinct name."""
     names = files.select(file_id(F.col(file), id_length).alias("file_id"), F.col(file).alias("name")).distinct()
     return names.groupBy("file_id").agg(F.count("*").alias("names")).filter(F.col("names") > 1)
 
 
-def require_distinct_ids(files: DataFrame, file: str = "file", id_length: int | None = fixed.FILE_ID_LENGTH) -> None:
+def require_distinct_ids(files: DataFrame, file: str = "file", id_length: int | None = None) -> None:
     clash = shared_file_ids(files, file, id_length).take(5)
     if clash:
         raise DuplicateFileId(", ".join(row.file_id for row in clash))
@@ -88,24 +99,18 @@ def require_distinct_ids(files: DataFrame, file: str = "file", id_length: int |
 def find_latest_drop(
     spark: SparkSession,
     root: str,
-    year_prefix: str = fixed.YEAR_PREFIX,
-    file_prefix: str = fixed.FILE_PREFIX,
+    year_prefix: str | None = None,
+    file_prefix: str | None = None,
     date_pattern: str = fixed.FILE_DATE_PATTERN,
+    id_length: int | None = None,
 ) -> Drop:
     """The newest file of the newest day folder, or ``MissingInput``."""
     folder = latest_folder(day_folders(landing_entries(spark, root), year_prefix), year_prefix).first()[0]
     if folder is None:
-        raise NoDayFolder(f"no folder starting with {year_prefix} in {root}")
+        raise NoDayFolder(f"no day folder{f' starting with {year_prefix}' if year_prefix else ''} in {root}")
     location = f"{root.rstrip('/')}/{folder.isoformat()}"
     candidates = candidate_files(folder_files(spark, location), file_prefix)
     newest = newest_version(candidates, date_pattern=date_pattern).first()[0]
     if newest is None:
-        raise MissingInput(f"no {file_prefix} file in {location}")
-    return Drop(f"{location}/{newest}", newest, newest[: fixed.FILE_ID_LENGTH], folder)
-
-
-def newest_copies(files: DataFrame, path: Column, folder: Column, name: Column) -> DataFrame:
-    """One path per file name: the copy in the newest day folder."""
-    listed = files.select(path.alias("path"), folder.alias("folder"), name.alias("file"))
-    day = strict_date(F.col("folder"), fixed.FOLDER_DATE_PATTERN, label="folder date")
-    return listed.groupBy("file").agg(F.max_by("path", F.struct(day, F.col("path"))).alias("path"))
+        raise MissingInput(f"no {file_prefix or fixed.FILE_PREFIX} file in {location}")
+    return Drop(f"{location}/{newest}", newest, id_text(newest, id_length), folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,16 +46,31 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return lines.select("value", plain_name(F.col("_metadata.file_name")).alias("source_file"))
 
 
-def line_profile(lines: DataFrame, by: Sequence[str] = (), width: int = len(fixed.PRELOG_COLUMNS)) -> DataFrame:
-    """Total and non-blank lines, and non-blank lines with too few or too many fields."""
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """``read_prelog``'s rows out of ``read_lines``' lines, so that one scan gives both.
+
+    A line of nothing but characters up to the space is no row, as for the row reader.
+    """
+    options = {"sep": "\t", "quote": "", "mode": "PERMISSIVE"}
+    row = F.from_csv("value", RAW_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    return lines.filter(F.col("value").rlike(r"[^\x00-\x20]")).select(row.alias("_row"), "source_file").select("_row.*", "source_file")
+
+
+def profile_columns(width: int = len(fixed.PRELOG_COLUMNS)) -> list[Column]:
+    """Aggregates over ``value``: lines, non-blank ones, and those with too few or too many fields."""
     filled = is_nonblank(F.col("value"))
     fields = field_count(F.col("value"))
-    return lines.groupBy(*by).agg(
-        F.count("*").alias("lines"),
+    return [
+        F.count(F.lit(1)).alias("lines"),
         F.count_if(filled).alias("nonblank_lines"),
         F.count_if(filled & (fields < width)).alias("short_rows"),
         F.count_if(filled & (fields > width)).alias("long_rows"),
-    )
+    ]
+
+
+def line_profile(lines: DataFrame, by: Sequence[str] = (), width: int = len(fixed.PRELOG_COLUMNS)) -> DataFrame:
+    """Total and non-blank lines, and non-blank lines with too few or too many fields."""
+    return lines.groupBy(*by).agg(*profile_columns(width))
 
 
 def read_loaded(spark: SparkSession, target: str, import_date: date | None = None) -> DataFrame:

@@ -1,12 +1,13 @@
-"""SQL text in, DataFrame or row list out. Values are bound, never spliced into the text."""
+"""SQL text in, DataFrame or rows out. Values are bound, never spliced into the text."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from slotmill.errors import ResultTooLarge
+from slotmill.functions.names import quoted
 
 
 def query_table(
@@ -15,10 +16,20 @@ def query_table(
     args: Mapping[str, object] | None = None,
     tables: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Run a query with ``:name`` markers over registered views and the given ``tables``."""
-    for name, table in (tables or {}).items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(sql, args=dict(args or {}))
+    """Run a query with ``:name`` markers over registered views and the given ``tables``.
+
+    The tables are names of this query alone: views of the session are neither replaced nor added.
+    """
+    views = {name: f"slotmill_{uuid.uuid4().hex}" for name in tables or {}}
+    try:
+        for name, view in views.items():
+            tables[name].createOrReplaceTempView(view)
+        named = ", ".join(f"{quoted(name)} AS (SELECT * FROM {view})" for name, view in views.items())
+        # the newline ends a comment in the query's last line
+        return spark.sql(f"WITH {named} SELECT * FROM ({sql.strip().rstrip(';')}\n)" if views else sql, args=dict(args or {}))
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def query_rows(
@@ -26,10 +37,6 @@ def query_rows(
     sql: str,
     args: Mapping[str, object] | None = None,
     tables: Mapping[str, DataFrame] | None = None,
-    max_rows: int = 10_000,
-) -> list[Row]:
-    """All rows of a small result. A larger one raises instead of being cut."""
-    rows = query_table(spark, sql, args, tables).take(max_rows + 1)
-    if len(rows) > max_rows:
-        raise ResultTooLarge(f"more than {max_rows} rows; use query_table")
-    return rows
+) -> Iterator[Row]:
+    """All rows of a result, one partition in the driver's memory at a time."""
+    return query_table(spark, sql, args, tables).toLocalIterator()

@@ -3,9 +3,23 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+#: metadata calls that are under way at a time
+THREADS = 16
+
+
+@dataclass(frozen=True)
+class Entry:
+    path: str
+    name: str
+    is_folder: bool
+    length: int
+
 
 def literal(path: str) -> str:
     """A path that Spark reads as it stands, although its name holds glob signs."""
@@ -17,9 +31,63 @@ def _file_system(spark: SparkSession, location: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def entries(spark: SparkSession, location: str) -> list[tuple[str, bool]]:
-    """(name, is_folder) of everything directly below ``location``."""
+def exists(spark: SparkSession, location: str) -> bool:
+    fs, path = _file_system(spark, location)
+    return fs.exists(path)
+
+
+def listing(spark: SparkSession, location: str) -> list[Entry]:
+    """Everything directly below a folder, files without content included; of a file, the file itself."""
     fs, path = _file_system(spark, location)
     if not fs.exists(path):
         raise FileNotFoundError(location)
-    return [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(path)]
+    found = []
+    for status in fs.listStatus(path):
+        at = status.getPath()
+        found.append(Entry(at.toString(), at.getName(), status.isDirectory(), status.getLen()))
+    return found
+
+
+def entries(spark: SparkSession, location: str) -> list[tuple[str, bool]]:
+    """(name, is_folder) of everything directly below ``location``."""
+    return [(e.name, e.is_folder) for e in listing(spark, location)]
+
+
+def replace_folders(spark: SparkSession, source: str, target: str, folders: Iterable[str]) -> None:
+    """Put each of the relative ``folders`` of ``source`` in the place of its namesake in ``target``.
+
+    One that ``source`` lacks is taken away. Every folder changes by a removal and a move, which is not
+    one step, and other folders may be done before one fails; doing it all again makes it right.
+    """
+    fs, _ = _file_system(spark, target)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+
+    def swap(folder: str) -> None:
+        new, old = at(f"{source}/{folder}"), at(f"{target}/{folder}")
+        if fs.exists(old):
+            fs.delete(old, True)
+        if fs.exists(new):
+            fs.mkdirs(old.getParent())
+            if not fs.rename(new, old):
+                raise OSError(f"could not move {new.toString()} to {old.toString()}")
+
+    with ThreadPoolExecutor(THREADS) as pool:
+        for _ in pool.map(swap, folders):
+            pass
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    fs, path = _file_system(spark, location)
+    fs.delete(path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, path = _file_system(spark, source)
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def create_empty(spark: SparkSession, location: str) -> None:
+    """A file of zero bytes."""
+    fs, path = _file_system(spark, location)
+    fs.create(path, True).close()

@@ -2,22 +2,26 @@
 
 The stream carries file arrivals, not rows: each micro-batch is a bounded list
 of new paths, and the batch load then reads those files once, with the same
-plan as a scheduled run. A batch that is repeated after a failure replaces its
-own partitions, so the table ends up the same.
+plan as a scheduled run. The table's register says from which day folder a file
+was loaded, so the result does not depend on how arrivals fall into batches. A
+batch that is repeated after a failure replaces its own rows and its own run
+record.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from slotmill import fixed
 from slotmill.functions.names import base_name, parent_name
-from slotmill.plans.ingest import load_files
-from slotmill.sources.landing import candidate_files, newest_copies
+from slotmill.plans.audit import SUCCESS, record_run
+from slotmill.plans.ingest import load_files, read_register, sources
+from slotmill.sources import storage
+from slotmill.sources.landing import candidate_files, day_folders, in_day_folder, landing_entries
 
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -25,21 +29,44 @@ ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, conten
 def arrivals(
     spark: SparkSession,
     root: str,
-    year_prefix: str = fixed.YEAR_PREFIX,
-    file_prefix: str = fixed.FILE_PREFIX,
+    year_prefix: str | None = None,
+    file_prefix: str | None = None,
     files_per_batch: int = 1000,
 ) -> DataFrame:
-    """Stream of new drop files in day folders below ``root``; contents are not read."""
+    """Stream of new drop files in day folders below ``root``; contents are not read.
+
+    Files of zero bytes do not show up here, see ``emptied_files``.
+    """
     listing = (
         spark.readStream.format("binaryFile")
         .schema(ARRIVAL_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(root)
+        .load(storage.literal(root))
     )
     path = F.col("path")
     files = listing.select("path", base_name(path).alias("file"), parent_name(path).alias("folder"))
-    return candidate_files(files.filter(F.col("folder").startswith(year_prefix)), file_prefix)
+    return candidate_files(files.filter(in_day_folder(F.col("folder"), year_prefix)), file_prefix)
+
+
+def emptied_files(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    import_date: date,
+    year_prefix: str | None = None,
+    file_prefix: str | None = None,
+    id_length: int | None = None,
+) -> list[str]:
+    """Drop files of zero bytes that the register does not have as empty yet."""
+    folders = [r.folder for r in day_folders(landing_entries(spark, root), year_prefix).toLocalIterator()]
+    empty = [s for f in folders for s in sources(spark, [f"{root.rstrip('/')}/{f}"], id_length) if not s.length]
+    if not empty:
+        return []
+    rows = [(s.path, s.name, s.file_id, s.folder) for s in empty]
+    files = candidate_files(spark.createDataFrame(rows, "path string, file string, file_name string, at date"), file_prefix)
+    known = read_register(spark, target, import_date).filter("rows = 0").select("file_name", F.col("folder").alias("at"))
+    return [r.path for r in files.join(known, ["file_name", "at"], "left_anti").toLocalIterator()]
 
 
 def start_ingest(
@@ -48,23 +75,31 @@ def start_ingest(
     target: str,
     checkpoint: str,
     import_date: date,
-    year_prefix: str = fixed.YEAR_PREFIX,
-    file_prefix: str = fixed.FILE_PREFIX,
+    year_prefix: str | None = None,
+    file_prefix: str | None = None,
     files_per_batch: int = 1000,
+    audit: str | None = None,
     **load_options,
 ) -> StreamingQuery:
     """Load everything that arrived since the last run over the same checkpoint, then stop.
 
-    Copies of one name in several day folders of a batch count once, newest
-    folder first; between batches the later arrival replaces the earlier.
+    Copies of one name in several day folders count once, newest folder first, in whatever batches they
+    come. With ``audit`` every batch leaves one run record, however often it is repeated.
     """
+    options = {"skip_older": True, **load_options}
+    emptied = emptied_files(spark, root, target, import_date, year_prefix, file_prefix, options.get("id_length"))
+    if emptied:
+        load_files(spark, emptied, target, import_date, **options)
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        chosen = newest_copies(batch, F.col("path"), F.col("folder"), F.col("file"))
         # at most files_per_batch paths
-        paths = [row.path for row in chosen.select("path").collect()]
-        if paths:
-            load_files(batch.sparkSession, paths, target, import_date, **load_options)
+        paths = [row.path for row in batch.select("path").collect()]
+        if not paths:
+            return
+        load = load_files(batch.sparkSession, paths, target, import_date, **options)
+        if audit:
+            record_run(batch.sparkSession, audit, import_date, SUCCESS, load, run_id=f"stream-{stream}-{batch_id}", batch_id=batch_id)
 
     return (
         arrivals(spark, root, year_prefix, file_prefix, files_per_batch)

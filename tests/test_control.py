@@ -5,10 +5,10 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from slotmill.errors import BadRequirement, ResultTooLarge, UnknownLogId
+from slotmill.errors import BadRequirement, UnknownLogId
 from slotmill.operators import gate, runlog
 from slotmill.operators.calendar import holiday_flags, is_holiday
-from slotmill.sources.jdbc import Database, Split, query_options, write_options
+from slotmill.sources.jdbc import ONE_TASK, Database, Split, narrowed, query_options, write_options
 from slotmill.sources.sql import query_rows, query_table
 
 DAY = date(2022, 4, 28)
@@ -23,7 +23,7 @@ def log_frame(spark, rows):
 def test_log_rows_and_updates(spark, tmp_path):
     path = str(tmp_path / "task_log")
     status, log_id = runlog.append_log(spark, path, -99, 2, "it's started", NOON)
-    assert status == 1 and uuid.UUID(log_id)
+    assert status == 1 and log_id.startswith("20220428-") and uuid.UUID(log_id[9:])
     runlog.append_log(spark, path, 88, 1, "other", NOON)
     runlog.update_log(spark, path, log_id, -99, 1, "this is 't '' test 123", NOON + timedelta(hours=1))
     current = {r.log_id: r for r in runlog.current_log(runlog.read_log(spark, path)).collect()}
@@ -40,6 +40,28 @@ def test_same_time_updates_keep_their_order(spark, tmp_path):
     assert runlog.current_log(runlog.read_log(spark, path)).first().status_flag == 1
 
 
+def test_an_update_with_an_earlier_time_shows(spark, tmp_path):
+    path = str(tmp_path / "task_log")
+    _, log_id = runlog.append_log(spark, path, 1, 2, "a", NOON)
+    runlog.update_log(spark, path, log_id, 1, 1, "b", NOON - timedelta(days=3))
+    row = runlog.current_log(runlog.read_log(spark, path)).first()
+    assert (row.status_flag, row.log_msg, row.event_ts) == (1, "b", NOON - timedelta(days=3))
+    plan = runlog.versions_of(runlog.read_log(spark, path), log_id)._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan[plan.index("PartitionFilters:"):].split("PushedFilters")[0]
+
+
+def test_merged_files_hold_the_same_rows(spark, tmp_path):
+    path = str(tmp_path / "task_log")
+    for i in range(5):
+        runlog.append_log(spark, path, i, 1, "a", NOON)
+    before = sorted(runlog.read_log(spark, path).collect())
+    runlog.merge_files(spark, path, DAY)
+    runlog.merge_files(spark, path, DAY + timedelta(days=9))
+    assert sorted(runlog.read_log(spark, path).collect()) == before
+    assert len(list((tmp_path / "task_log" / "event_date=2022-04-28").glob("*.parquet"))) == 1
+    assert not list((tmp_path / "task_log").glob("_merge*"))
+
+
 def test_update_needs_a_known_id(spark, tmp_path):
     path = str(tmp_path / "task_log")
     runlog.append_log(spark, path, 1, 2, "a", NOON)
@@ -83,12 +105,15 @@ def test_gate(spark):
     assert gate.tasks_passed(spark, log, DAY, {})
 
 
-def test_gate_without_broadcast(spark, monkeypatch):
+@pytest.mark.parametrize("task, allowed, passed", [
+    (88, [3], True), (88, None, False), (88, [1, None], False), (88, [], False), (None, [-1, 3], False), (88, [3, None], True),
+])
+def test_gate_is_shut_where_a_field_is_missing(spark, task, allowed, passed):
     log = log_frame(spark, [(88, 3, NOON), (89, 1, NOON)])
-    tasks = gate.prerequisite_frame(spark, {"a": {"log_task_id": 88, "allowed_status": [3]}})
-    for bound in (10, 0):
-        monkeypatch.setattr("slotmill.operators.gate.MAX_BROADCAST_TASKS", bound)
-        assert gate.task_gate(log, tasks, DAY).first().passed
+    tasks = gate.prerequisite_frame(spark, {"a": {"log_task_id": task, "allowed_status": allowed}})
+    assert gate.task_gate(log, tasks, DAY).first().passed is passed
+    rows = gate.gate_rows(tasks, runlog.latest_status(log, DAY))
+    assert rows.first().passed is passed and gate.gate_total(rows).first().passed is passed
 
 
 def test_requirements(spark):
@@ -109,12 +134,11 @@ def test_holidays(spark, day, weekend, expected):
     assert is_holiday(spark, day, weekend, holidays) is expected
 
 
-def test_holiday_arguments_and_row_count(spark, monkeypatch):
+def test_holiday_arguments_and_row_count(spark):
     holidays = spark.createDataFrame([(date(2022, 5, 2),)] * 3, "date date")
     with pytest.raises(ValueError):
         is_holiday(spark, DAY, 2, holidays)
     assert is_holiday(spark, "2022-05-02", 0, holidays)
-    monkeypatch.setattr("slotmill.operators.calendar.MAX_BROADCAST_DAYS", 0)
     days = spark.createDataFrame([(date(2022, 5, 2), 1), (date(2022, 5, 3), 2)], "day date, n int")
     assert sorted(tuple(r) for r in holiday_flags(days, "day", holidays, 0).collect()) == [
         (date(2022, 5, 2), 1, True), (date(2022, 5, 3), 2, False),
@@ -125,19 +149,24 @@ def test_queries_bind_values(spark):
     names = spark.createDataFrame([("it's", 1), ("x' OR '1'='1", 2)], "name string, n int")
     sql = "SELECT n FROM names WHERE name = :name"
     assert [r.n for r in query_rows(spark, sql, {"name": "it's"}, {"names": names})] == [1]
-    assert query_table(spark, sql, {"name": "' OR ''='"}).count() == 0
+    assert query_table(spark, sql, {"name": "' OR ''='"}, {"names": names}).count() == 0
 
 
-def test_row_lists_are_bounded_by_failure(spark):
-    assert len(query_rows(spark, "SELECT * FROM range(10)", max_rows=10)) == 10
-    with pytest.raises(ResultTooLarge):
-        query_rows(spark, "SELECT * FROM range(11)", max_rows=10)
+def test_views_of_the_session_are_left_alone(spark):
+    spark.range(3).createOrReplaceTempView("prelog")
+    own = spark.range(5)
+    before = {t.name for t in spark.catalog.listTables()}
+    for sql in ("SELECT * FROM prelog -- all", "WITH x AS (SELECT * FROM prelog) SELECT * FROM x ORDER BY id;"):
+        assert query_table(spark, sql, tables={"prelog": own}).count() == 5
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert sum(1 for _ in query_rows(spark, "SELECT * FROM prelog")) == 3
+    spark.catalog.dropTempView("prelog")
 
 
 def test_jdbc_options():
     database = Database("jdbc:x://host", "x.Driver", "me", "secret", {"encrypt": "true"})
     assert "secret" not in repr(database)
-    plain = query_options(database, "SELECT 1 AS n")
+    plain = query_options(database, "SELECT 1 AS n", ONE_TASK)
     assert plain["query"] == "SELECT 1 AS n" and "dbtable" not in plain
     split = query_options(database, "SELECT * FROM t", Split("n", 0, 100, 4))
     assert split["dbtable"] == "(SELECT * FROM t) q" and "query" not in split
@@ -145,3 +174,8 @@ def test_jdbc_options():
     write = write_options(database, "prelog", connections=3)
     assert (write["dbtable"], write["numPartitions"], write["user"], write["encrypt"]) == ("prelog", "3", "me", "true")
     assert "user" not in Database("jdbc:x://host", "x.Driver").options()
+
+
+def test_jdbc_writes_keep_the_tasks_before_them(spark):
+    plan = narrowed(spark.range(0, 100, 1, 20), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(3)" in plan

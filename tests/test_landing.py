@@ -33,6 +33,7 @@ def test_missing_root_raises(spark, tmp_path):
 def test_newest_version_of_newest_folder(spark, root):
     drop = landing.find_latest_drop(spark, root)
     assert (drop.file, drop.file_id, drop.folder) == ("F240223B.TXT", "F240223B", date(2024, 2, 26))
+    assert landing.find_latest_drop(spark, root, "2024", "F24", id_length=7).file_id == "F240223"
     assert drop.path.endswith("/2024-02-26/F240223B.TXT")
 
 
@@ -54,7 +55,19 @@ def test_no_folder_of_the_year(spark, root):
 def test_unparseable_folder_fails(spark, root, tmp_path):
     (tmp_path / "landing area" / "2024-bad").mkdir()
     with pytest.raises(Exception, match="not a folder date: 2024-bad"):
-        landing.find_latest_drop(spark, root)
+        landing.find_latest_drop(spark, root, year_prefix="2024")
+    assert landing.find_latest_drop(spark, root).file == "F240223B.TXT"
+
+
+def test_any_year_without_prefixes(spark, root):
+    write_drop(root, "2026-11-30", "F261129A.TXT", [programme(1)])
+    write_drop(root, "2026-11-30", "Final notes.TXT", [programme(1)])
+    assert landing.find_latest_drop(spark, root).file == "F261129A.TXT"
+
+
+def test_a_newest_version_without_bytes_is_seen(spark, root):
+    write_drop(root, "2024-02-26", "F240224A.TXT", [])
+    assert landing.find_latest_drop(spark, root).file == "F240224A.TXT"
 
 
 def test_newest_folder_without_match_is_missing_input(spark, root):
@@ -83,7 +96,7 @@ def test_versions_compare_as_text(spark):
 
 def test_shared_ids(spark):
     files = spark.createDataFrame([("F240223A.TXT",), ("F240223AA.TXT",), ("F240223B.TXT",)] * 2, "file string")
-    assert [tuple(r) for r in landing.shared_file_ids(files).collect()] == [("F240223A", 2)]
+    assert [tuple(r) for r in landing.shared_file_ids(files, id_length=8).collect()] == [("F240223A", 2)]
     with pytest.raises(DuplicateFileId, match="F240223A"):
-        landing.require_distinct_ids(files)
-    landing.require_distinct_ids(files, id_length=None)
+        landing.require_distinct_ids(files, id_length=8)
+    landing.require_distinct_ids(files)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from slotmill.errors import CountMismatch, DuplicateFileId, EmptyLoad
 from slotmill.operators.replace import existing_rows, key_filter, replace_by_key, write_replacing
 from slotmill.plans.ingest import ingest, load_files
-from slotmill.sources.prelog import PRELOG_SCHEMA, read_loaded
+from slotmill.sources.prelog import PRELOG_SCHEMA, parsed_lines, read_lines, read_loaded, read_prelog
 
 DAY = date(2024, 2, 26)
 NEXT_DAY = date(2024, 2, 27)
@@ -42,14 +42,66 @@ def test_loaded_table_reads_back_typed(spark, tmp_path):
     assert read_loaded(spark, str(tmp_path / "prelog")).schema.names == PRELOG_SCHEMA.names
 
 
-def test_empty_load_replaces_nothing(spark, tmp_path):
+@pytest.mark.parametrize("lines", [["", " "], []])
+@pytest.mark.parametrize("alone", [True, False])
+def test_an_emptied_file_leaves_no_rows(spark, tmp_path, lines, alone):
     target = str(tmp_path / "prelog")
-    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1)])
-    load_files(spark, [path], target, DAY)
-    write_drop(tmp_path, "d", "F240223A.TXT", ["", " "])
-    with pytest.raises(EmptyLoad):
-        load_files(spark, [path], target, DAY)
-    assert counts(spark, target) == {("F240223A", DAY): 1}
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(i) for i in range(3)])
+    other = write_drop(tmp_path, "d", "F240223B.TXT", [programme(i) for i in range(2)])
+    load_files(spark, [path, other], target, DAY)
+    write_drop(tmp_path, "d", "F240223A.TXT", lines)
+    paths = [path] if alone else [path, other]
+    with pytest.raises(EmptyLoad, match="F240223A"):
+        load_files(spark, paths, target, DAY, strict=True)
+    assert counts(spark, target) == {("F240223A", DAY): 3, ("F240223B", DAY): 2}
+    load = load_files(spark, paths, target, DAY)
+    assert (load.loaded_rows, load.replaced_rows, load.empty_files, load.matched) == (0 if alone else 2, 3 if alone else 5, 1, True)
+    assert counts(spark, target) == {("F240223B", DAY): 2}
+
+
+def test_an_id_keeps_its_file_name_across_loads(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    one, two = (write_drop(tmp_path, "d", f"F240223{v}.TXT", [programme(i) for i in range(3)]) for v in ("A", "AA"))
+    load_files(spark, [one], target, DAY, id_length=8)
+    with pytest.raises(DuplicateFileId, match="F240223A"):
+        load_files(spark, [two], target, DAY, id_length=8)
+    assert counts(spark, target) == {("F240223A", DAY): 3}
+    load_files(spark, [two], target, DAY)
+    assert counts(spark, target) == {("F240223A", DAY): 3, ("F240223AA", DAY): 3}
+
+
+def test_folders_are_named_by_their_files(spark, tmp_path):
+    write_drop(tmp_path, "c", "F240223A.TXT", [programme(1)])
+    for place in (f"{tmp_path}/c/", f"{tmp_path}/c"):
+        assert load_files(spark, [place], str(tmp_path / "prelog"), DAY).file_name == "F240223A"
+
+
+def test_a_load_reads_its_files_once(spark, tmp_path, monkeypatch):
+    from slotmill.plans import ingest as module
+
+    scans = []
+    monkeypatch.setattr(module, "read_lines", lambda *a: scans.append("lines") or read_lines(*a))
+    monkeypatch.setattr(module, "read_prelog", lambda *a: scans.append("rows") or read_prelog(*a))
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1), " ", "short", programme(2) + "\tlong"])
+    load = load_files(spark, [path], str(tmp_path / "prelog"), DAY)
+    assert scans == ["lines"]
+    assert (load.loaded_rows, load.nonblank_lines, load.short_rows, load.long_rows) == (3, 3, 1, 1)
+
+
+def test_lines_parse_like_the_row_reader(spark, tmp_path):
+    odd = ["", " ", "\t\t", 'a "b\tc" d\t"', "x" * 5000, " lead\ttrail ", "\u00a0", "\x1c", "a\\\tb", "#c\td", programme(1) + "\textra\tmore", "é\tñ"]
+    path = write_drop(tmp_path, "d", "F240223A.TXT", odd + [programme(i) for i in range(3)])
+    rows = lambda frame: sorted(map(str, frame.collect()))
+    assert rows(parsed_lines(read_lines(spark, path))) == rows(read_prelog(spark, path))
+
+
+def test_many_small_files(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    for i in range(300):
+        write_drop(tmp_path, "d", f"F240223{i:03d}.TXT", [programme(i)])
+    for replaced in (0, 300):
+        load = load_files(spark, [str(tmp_path / "d")], target, DAY)
+        assert (load.loaded_rows, load.replaced_rows, load.files) == (300, replaced, 300)
 
 
 def test_strict_load_stops_before_replacing(spark, tmp_path):
@@ -57,7 +109,7 @@ def test_strict_load_stops_before_replacing(spark, tmp_path):
     path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1)])
     load_files(spark, [path], target, DAY, strict=True)
     write_drop(tmp_path, "d", "F240223A.TXT", [programme(1), programme(2), "\u00a0"])
-    with pytest.raises(CountMismatch, match="F240223A.TXT: 3 rows, 2 lines"):
+    with pytest.raises(CountMismatch, match="F240223A: 3 rows, 2 lines"):
         load_files(spark, [path], target, DAY, strict=True)
     assert counts(spark, target) == {("F240223A", DAY): 1}
     loose = load_files(spark, [path], target, DAY)
@@ -71,7 +123,8 @@ def test_file_names_are_not_patterns(spark, tmp_path, name):
     path = write_drop(root, "2024-02-26", name, [programme(1)])
     load = load_files(spark, [path], str(tmp_path / "prelog"), DAY, strict=True)
     assert (load.loaded_rows, load.nonblank_lines) == (1, 1)
-    assert ingest(spark, root, str(tmp_path / "prelog"), NEXT_DAY).file_name == "F240223A"
+    newest = max("F240223AA.TXT", name, key=lambda n: n[7:-4])
+    assert ingest(spark, root, str(tmp_path / "prelog"), NEXT_DAY).file_name == newest[:-4]
 
 
 def test_many_files_in_one_load(spark, tmp_path):
@@ -89,8 +142,8 @@ def test_many_files_in_one_load(spark, tmp_path):
 def test_names_with_one_id_are_refused(spark, tmp_path):
     paths = [write_drop(tmp_path, "d", name, [programme(1)]) for name in ("F240223A.TXT", "F240223AA.TXT")]
     with pytest.raises(DuplicateFileId):
-        load_files(spark, paths, str(tmp_path / "prelog"), DAY)
-    load = load_files(spark, paths, str(tmp_path / "prelog"), DAY, id_length=None)
+        load_files(spark, paths, str(tmp_path / "prelog"), DAY, id_length=8)
+    load = load_files(spark, paths, str(tmp_path / "prelog"), DAY)
     assert load.loaded_rows == 2
 
 
@@ -104,8 +157,13 @@ def test_replace_frame_keeps_other_keys(spark):
     assert sorted(tuple(r) for r in replace_by_key(once, new).collect()) == sorted(expected)
 
 
-def test_replace_frame_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("slotmill.operators.replace.MAX_BROADCAST_KEYS", 1)
+def test_null_keys_are_replaced_too(spark):
+    schema = "import_date date, file_name string, value int"
+    new = spark.createDataFrame([(DAY, None, 1), (None, "a", 2)], schema)
+    assert sorted(r.value for r in replace_by_key(new, new).collect()) == [1, 2]
+
+
+def test_replace_frame_with_a_hot_key(spark):
     schema = "import_date date, file_name string, value int"
     old = spark.range(1000).select(
         F.lit(DAY).alias("import_date"),

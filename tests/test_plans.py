@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from slotmill.operators import gate, runlog
 from slotmill.operators.calendar import holiday_flags
 from slotmill.operators.replace import existing_rows, replace_by_key
-from slotmill.operators.sizing import spread_join
 from slotmill.plans import showcase
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,49 +57,31 @@ def test_aggregates_combine_before_the_shuffle(spark):
         assert "partial_" in plan and plan.index("Exchange") < plan.index("partial_"), name
 
 
-def test_small_sides_are_broadcast_after_a_size_check(spark, no_auto_broadcast, monkeypatch):
+def test_building_a_plan_starts_no_job(spark):
     events = showcase.keyed_events(spark, SF_DIR)
-    new = events.filter("file_name = 'click'")
+    log, tasks = showcase.event_log(spark, SF_DIR), showcase.customer_tasks(spark, SF_DIR)
     holidays = spark.createDataFrame([(DAY,)], "date date")
-    assert "BroadcastHashJoin" in plan_of(replace_by_key(events, new))
-    assert "BroadcastHashJoin" in plan_of(holiday_flags(events, "import_date", holidays, 1))
-    monkeypatch.setattr("slotmill.operators.replace.MAX_BROADCAST_KEYS", 1)
-    monkeypatch.setattr("slotmill.operators.calendar.MAX_BROADCAST_DAYS", 0)
-    assert "Broadcast" not in plan_of(replace_by_key(events, new))
-    assert "Broadcast" not in plan_of(holiday_flags(events, "import_date", holidays, 1))
-
-
-def test_joins_split_a_key_where_nothing_is_broadcast(spark, no_auto_broadcast, monkeypatch):
-    monkeypatch.setattr("slotmill.operators.gate.MAX_BROADCAST_TASKS", 0)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    for frame in (
+        replace_by_key(events, events.filter("file_name = 'click'")),
+        holiday_flags(events, "import_date", holidays, 1),
+        gate.task_gate(log, tasks, DAY, as_of=True),
+    ):
+        plan_of(frame)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_the_log_is_aggregated_before_it_meets_the_tasks(spark, no_auto_broadcast):
     log, tasks = showcase.event_log(spark, SF_DIR), showcase.customer_tasks(spark, SF_DIR)
     plan = plan_of(gate.task_gate(log, tasks, DAY, as_of=True))
-    joined_on = [line for line in plan.splitlines() if "Exchange hashpartitioning(log_task_id" in line and "_piece" in line]
-    assert len(joined_on) == 4  # both sides of both joins
-
-
-def test_adaptive_execution_still_cuts_a_hot_part(spark, no_auto_broadcast):
-    changed = {
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
-        "spark.sql.shuffle.partitions": "64",
-    }
-    previous = {key: spark.conf.get(key, None) for key in changed}
-    for key, value in changed.items():
-        spark.conf.set(key, value)
-    try:
-        rows = spark.range(0, 300_000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("key"),
-            F.sha2(F.col("id").cast("string"), 256).alias("text"),
-        )
-        side = spark.range(5000).select(F.col("id").alias("key")).distinct()
-        joined = spread_join(rows, side, ["key"], "left_semi").agg(F.count("*").alias("n"), F.max("text"))
-        assert joined.collect()[0].n == 300_000
-        assert "skew=true" in plan_of(joined)
-    finally:
-        for key, value in previous.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert plan.index("SortMergeJoin") < plan.index("max_by") and "log_msg" not in plan
+    assert "Generate" not in plan
+
+
+def test_the_gate_reads_only_used_columns(spark):
+    plan = plan_of(showcase.QUERIES["latest_status_gate_rows"](spark, SF_DIR))
+    assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in plan
 
 
 def test_counting_a_key_needs_one_row_per_task(spark):

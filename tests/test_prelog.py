@@ -5,6 +5,7 @@ from helpers import programme, schedule_row, write_drop
 from pyspark.sql import functions as F
 
 from slotmill import fixed
+from slotmill.functions.names import id_text
 from slotmill.operators.reconcile import reconcile
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.plans.ingest import typed_rows
@@ -88,10 +89,12 @@ def test_source_names_with_blanks_and_signs(spark, tmp_path):
     assert prelog.read_prelog(spark, path).first().source_file == "F240223A+ é%41.TXT"
 
 
-def test_id_can_be_the_whole_name(spark):
-    named = spark.createDataFrame([("F240223AA.TXT", 1)], "source_file string, x int")
-    assert stamp(named, date(2024, 2, 26)).first().file_name == "F240223A"
-    assert stamp(named, date(2024, 2, 26), id_length=None).first().file_name == "F240223AA.TXT"
+def test_id_is_the_name_without_extension_or_a_part_of_it(spark):
+    names = {"F240223AA.TXT": "F240223AA", "F240223A.TXT": "F240223A", "a.b.c": "a.b", ".TXT": ".TXT", "plain": "plain"}
+    named = spark.createDataFrame([(n, 1) for n in names], "source_file string, x int")
+    assert [r.file_name for r in stamp(named, date(2024, 2, 26)).collect()] == list(names.values())
+    assert [id_text(n) for n in names] == list(names.values())
+    assert stamp(named, date(2024, 2, 26), id_length=8).first().file_name == id_text("F240223AA.TXT", 8) == "F240223A"
 
 
 def test_nonblank_lines_follow_python_strip(spark, tmp_path):

@@ -6,8 +6,8 @@ from helpers import programme, schedule_row, write_drop
 from pyspark.sql import functions as F
 
 from slotmill import fixed
-from slotmill.functions.dates import retype_date
-from slotmill.functions.numbers import lenient_number, lenient_text, strict_int
+from slotmill.functions.dates import tolerant_date
+from slotmill.functions.numbers import lenient_double, lenient_number, lenient_text, strict_int
 from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.titles import exclusive_titles, rows_with_titles
 from slotmill.plans.ingest import load_files
@@ -101,9 +101,15 @@ def test_lenient_numbers(spark):
     assert {row[0]: (row[1], row[2]) for row in rows} == cases
 
 
+def test_numbers_with_fraction_exponent_or_many_digits(spark):
+    cases = {"1.5": 1.5, "1.50": 1.5, "1e3": 1000.0, "007": 7.0, "9" * 30: 1e30, ".5": 0.5, "NaN": None, "1d": None, "": None, "A1": None}
+    frame = spark.createDataFrame([(text,) for text in cases], "t string")
+    assert {r.t: r.n for r in frame.select("t", lenient_double(F.col("t")).alias("n")).collect()} == cases
+
+
 def test_display_text_back_to_dates(spark):
     frame = spark.createDataFrame([("03/02/2024",), ("NULL",), ("31/02/2024",)], "t string")
-    assert [r[0] for r in frame.select(retype_date(F.col("t"))).collect()] == [date(2024, 2, 3), None, None]
+    assert [r[0] for r in frame.select(tolerant_date(F.col("t"), fixed.DISPLAY_DATE_PATTERN)).collect()] == [date(2024, 2, 3), None, None]
 
 
 def test_named_columns_that_exist_get_dates(spark):

@@ -75,7 +75,7 @@ def test_command_line(spark, places, tmp_path):
         ("23/02/2024", 1, 600, "NULL"), ("23/02/2024", 2, 600, "NULL"),
     }
     assert spark.read.parquet(f"{places['out']}/F240223B").count() == 2
-    assert run_weekly.arguments(argv).file_prefix == "F24"
+    assert run_weekly.arguments(argv).file_prefix is None
 
 
 def run_stream(spark, places, checkpoint, **options):
@@ -109,6 +109,35 @@ def test_copies_in_one_batch_count_once(spark, places, tmp_path):
     assert run_stream(spark, places, str(tmp_path / "progress")) == {"F240223A": 3}
 
 
+@pytest.mark.parametrize("files_per_batch", [1000, 1])
+def test_batches_do_not_change_the_table(spark, places, tmp_path, files_per_batch):
+    import os
+
+    newer = write_drop(places["root"], "2024-02-27", "F240223A.TXT", [programme(i) for i in range(3)])
+    older = write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(1)])
+    blank = write_drop(places["root"], "2024-02-26", "F240222A.TXT", [" "])
+    write_drop(places["root"], "2024-02-26", "F240223AA.TXT", [programme(1)])
+    for age, path in enumerate((older, blank, newer)):
+        os.utime(path, (1_700_000_000 - 100 * age,) * 2)
+    options = {"files_per_batch": files_per_batch, "audit": places["audit"]}
+    assert run_stream(spark, places, str(tmp_path / "one"), **options) == {"F240223A": 3, "F240223AA": 1}
+    records = read_audit(spark, places["audit"])
+    assert records.count() == (4 if files_per_batch == 1 else 1)
+    assert run_stream(spark, places, str(tmp_path / "one"), **options) == {"F240223A": 3, "F240223AA": 1}
+    assert read_audit(spark, places["audit"]).count() == records.count()
+    write_drop(places["root"], "2024-02-28", "F240223A.TXT", [])
+    for _ in range(2):
+        assert run_stream(spark, places, str(tmp_path / "one"), **options) == {"F240223AA": 1}
+
+
+def test_an_any_year_run_takes_the_newest_folder(spark, places):
+    write_drop(places["root"], "2024-12-30", "F241229A.TXT", [programme(1)])
+    write_drop(places["root"], "2026-11-30", "F261129A.TXT", [programme(1), programme(2)])
+    assert weekly_run(spark, **places, import_date=date(2026, 12, 1)) == "success"
+    row = read_audit(spark, places["audit"]).first()
+    assert (row.file_name, row.loaded_rows, row.matched, row.short_rows) == ("F261129A", 2, True, 0)
+
+
 def test_replayed_stream_leaves_the_same_table(spark, places, tmp_path):
     write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(1), programme(2)])
     for attempt in ("one", "two"):
