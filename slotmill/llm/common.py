@@ -40,6 +40,11 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts))
 
 
+def held_out(doc_id: Column, parts: int, remainder: int) -> Column:
+    """The id is of the fold with that remainder; false for a null id, which is of no fold."""
+    return F.coalesce(fold(doc_id, parts) == remainder, F.lit(False)).alias("held_out")
+
+
 def bounded_sample(df: DataFrame, rows: int, *key: Column) -> DataFrame:
     """About ``rows`` rows of ``df`` chosen by a hash of ``key``, and never over twice as many.
 

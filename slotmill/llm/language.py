@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from slotmill.llm.common import fold, fresh_name, rounded, table
+from slotmill.llm.common import fold, fresh_name, held_out, rounded, table
 
 UNDETERMINED = "und"
 BUCKETS = 4096
@@ -99,18 +99,19 @@ class LanguageModel:
 def fit_codes(vectors: np.ndarray, answers: np.ndarray, languages: tuple[str, ...], rounds: int = 80) -> LanguageModel:
     """One logistic classifier per bit, languages weighing the same; trust is each one's training accuracy."""
     code = codewords(len(languages))
-    x = np.concatenate([vectors, np.ones((len(vectors), 1), np.float32)], axis=1)
     y = code[answers]
     shares = np.bincount(answers, minlength=len(languages))[answers]
     weight = (1.0 / (len(languages) * shares))[:, None].astype(np.float32)
-    w = np.zeros((x.shape[1], code.shape[1]), np.float32)
+    w = np.zeros((vectors.shape[1] + 1, code.shape[1]), np.float32)  # the last row is the bias
     speed = np.zeros_like(w)
     for _ in range(rounds):
-        pull = 1.0 / (1.0 + np.exp(np.clip(y * (x @ w), -30, 30)))
-        slope = -x.T @ (weight * y * pull) + 1e-5 * w
+        pull = weight * y / (1.0 + np.exp(np.clip(y * (vectors @ w[:-1] + w[-1]), -30, 30)))
+        slope = 1e-5 * w
+        slope[:-1] -= vectors.T @ pull
+        slope[-1] -= pull.sum(axis=0)
         speed = 0.9 * speed - 4.0 * slope
         w += speed
-    right = (y * (x @ w) > 0).astype(np.float64)
+    right = (y * (vectors @ w[:-1] + w[-1]) > 0).astype(np.float64)
     trust = np.stack([right[answers == k].mean(axis=0) if (answers == k).any() else np.ones(code.shape[1]) for k in range(len(languages))])
     trust = np.maximum(trust, 1e-3)
     return LanguageModel(languages, code, w, trust / trust.sum(axis=1, keepdims=True))
@@ -134,7 +135,7 @@ def learn_languages(
 
     @pandas_udf("binary")
     def vector(texts: pd.Series) -> pd.Series:
-        return pd.Series([trigrams(t).astype(np.float16).tobytes() if has_letters(t) else None for t in texts], dtype=object)
+        return pd.Series([_packed(trigrams(t)) if has_letters(t) else None for t in texts], dtype=object)
 
     drawn_rows = known.filter(drawn).select("lang", vector("text").alias("v")).filter("v IS NOT NULL")
     sample = drawn_rows.limit(2 * sample_rows).collect()
@@ -142,8 +143,23 @@ def learn_languages(
     if not languages:
         return LanguageModel((), codewords(0), np.zeros((BUCKETS + 1, 1), np.float32), np.ones((0, 1)))
     sample.sort(key=lambda r: (r["lang"], bytes(r["v"])))  # the same model whatever the order of arrival
-    vectors = np.stack([np.frombuffer(r["v"], np.float16).astype(np.float32) for r in sample])
-    return fit_codes(vectors, np.array([languages.index(r["lang"]) for r in sample]), languages)
+    answers = np.array([languages.index(r["lang"]) for r in sample])
+    # one dense copy; the packed rows are let go as it fills
+    vectors = np.zeros((len(sample), BUCKETS), np.float32)
+    for i in range(len(sample) - 1, -1, -1):
+        _unpack(sample.pop()["v"], vectors[i])
+    return fit_codes(vectors, answers, languages)
+
+
+def _packed(vector: np.ndarray) -> bytes:
+    """The buckets of a vector that are not 0, and their values."""
+    used = np.flatnonzero(vector)
+    return used.astype(np.uint16).tobytes() + vector[used].astype(np.float16).tobytes()
+
+
+def _unpack(packed: bytes, vector: np.ndarray) -> None:
+    half = len(packed) // 2
+    vector[np.frombuffer(packed[:half], np.uint16)] = np.frombuffer(packed[half:], np.float16)
 
 
 def language_column(text: Column, model: LanguageModel) -> Column:
@@ -180,4 +196,4 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = learn_languages(training_rows(docs))
     found = with_language(docs.drop("lang"), model, name="language")
-    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "language.*")
+    return found.select("doc_id", held_out(F.col("doc_id"), 4, 2), "language.*")
