@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from slotmill.llm.common import bounded_sample, fold, rounded, sigmoid, table
+from slotmill.llm.common import bounded_sample, fold, held_out, rounded, sigmoid, table
 from slotmill.llm.quality_rules import MEASURES, profile
 
 #: bounds of the rows that the classifier is fitted on
@@ -192,4 +192,4 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = fold(F.col("doc_id"), 5) != 0
     model = learn_quality(docs.filter(learned), labels.filter(learned))
     found = with_quality(docs, model)
-    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", held_out(F.col("doc_id"), 5, 0), "score", "predicted")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from slotmill.llm.common import bounded_sample, fold, rounded, table
+from slotmill.llm.common import bounded_sample, fold, held_out, rounded, table
 
 BUCKETS = 1 << 18
 #: documents with a label that the model is fitted on, and the bytes of their texts
@@ -216,7 +216,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_toxicity(docs, model)
     return found.select(
         "doc_id",
-        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        held_out(F.col("doc_id"), 5, 0),
         "toxicity.score",
         (F.col("toxicity.score") >= THRESHOLD).cast("int").alias("predicted"),
         "toxicity.n_offending",
