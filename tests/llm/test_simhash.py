@@ -1,6 +1,7 @@
 """SimHash components against brute force over all pairs."""
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,13 +14,14 @@ from slotmill.llm.components import connected, spanning_links
 SCHEMA = "doc_id long, text string"
 
 
+@lru_cache(maxsize=None)
 def plain_fingerprint(text, words=4):
     parts = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not parts:
         return 0
     grams = [" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))]
-    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    hashes = np.array([xxhash.xxh64_intdigest(g.encode(), 42) for g in grams], np.uint64)
+    return sum(1 << b for b in range(64) if 2 * int((hashes >> np.uint64(b) & np.uint64(1)).sum()) > len(hashes))
 
 
 def brute_components(rows, max_bits=4):
