@@ -228,7 +228,8 @@ def labelled(rows: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> D
         F.coalesce("root", "fp").alias("component"),
         F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("component_id"),
     )
-    return rows.join(known, "fp")
+    # written down, so that only a shuffle stands below either side of the join and a hot fingerprint can be split
+    return rows.join(materialise(known, "known"), "fp")
 
 
 def near_copies(
