@@ -28,13 +28,24 @@ def spanning_links(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[root[child]], nodes[child]
 
 
+def ends_of(parents: DataFrame, label: str) -> DataFrame:
+    """(node, parent) with every pointer moved to where following them ends; every parent is a node too."""
+    while True:
+        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
+        jumped = materialise(parents.join(above, "parent").select("node", "parent", "grand"), label)
+        if jumped.filter("grand <> parent").isEmpty():
+            return parents
+        parents = jumped.select("node", F.col("grand").alias("parent"))
+
+
 def connected(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, root) for every node of a link (u, v); root is one node of the component.
 
-    Each round points every node at its smallest neighbour, if that is smaller than itself, and
-    carries the links over to what their ends point at. Paths halve or better, so the rounds grow
-    with the logarithm of the longest one. Self links and repeated links do no harm; null ends are
-    ignored. The maps of the rounds are then chained backwards.
+    Each round points every node at its smallest neighbour, if that is smaller than itself, follows
+    these pointers to their end, and carries the links over to the nodes found there. No two of those
+    are neighbours, so their number halves at least from round to round; following takes doubling
+    steps, so it grows with the logarithm of the longest way. Self links and repeated links do no
+    harm; null ends are ignored. The maps of the rounds are then chained backwards.
     """
     links = links.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
     maps = []
@@ -44,7 +55,7 @@ def connected(links: DataFrame, label: str = "components") -> DataFrame:
             break
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         parents = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("near"))
-        parents = materialise(parents.select("node", F.least("node", "near").alias("parent")), label)
+        parents = ends_of(materialise(parents.select("node", F.least("node", "near").alias("parent")), label), label)
         maps.append(parents)
         of_u = parents.select(F.col("node").alias("u"), F.col("parent").alias("pu"))
         of_v = parents.select(F.col("node").alias("v"), F.col("parent").alias("pv"))
