@@ -78,6 +78,17 @@ def test_command_line(spark, places, tmp_path):
     assert run_weekly.arguments(argv).file_prefix is None
 
 
+def test_the_command_lists_one_import_day(spark, places, monkeypatch):
+    import run_weekly
+    from slotmill.plans import weekly
+
+    days, real = [], weekly.read_loaded
+    monkeypatch.setattr(weekly, "read_loaded", lambda s, target, day=None: days.append(day) or real(s, target, day))
+    write_drop(places["root"], "2024-02-26", "F240223B.TXT", [programme(1)])
+    argv = [f"--{name}={place}" for name, place in places.items()] + ["--import-date=2024-02-26"]
+    assert run_weekly.main(argv) == "success" and days == [DAY]
+
+
 def run_stream(spark, places, checkpoint, **options):
     start_ingest(spark, places["root"], places["target"], checkpoint, DAY, **options).awaitTermination()
     rows = read_loaded(spark, places["target"]).groupBy("file_name").count().collect()
