@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from slotmill.llm.common import batches_of, fresh_name, table
+from slotmill.llm.common import batches_of, fresh_name, materialise, table
 
 #: parts that the pages of a host are dealt into before their wrappers are merged
 SPREAD = 64
@@ -386,6 +386,8 @@ def extracted(pages: DataFrame, url_col: str = "url", html_col: str = "html", na
 
     host, rule = fresh_name(pages, "_host"), fresh_name(pages, "_rule")
     found = wrappers(pages, url_col, html_col, spread).select(F.col("host").alias(host), rules("wrapper").alias(rule))
+    # written down, so that their size is known when the join is planned and the pages need no shuffle if it is small
+    found = materialise(found, "rules")
     joined = pages.withColumn(host, host_of(F.col(url_col))).join(found, host, "left")
     columns = [F.col(f"`{c}`") for c in pages.columns if c.lower() != name.lower()]
     return joined.select(*columns, extract(F.col(html_col).cast("string"), F.col(rule)).alias(name))
