@@ -32,9 +32,9 @@ def connected(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, root) for every node of a link (u, v); root is one node of the component.
 
     Each round points every node at its smallest neighbour, if that is smaller than itself, and
-    carries the links over to what their ends point at. Paths halve or better, so the rounds grow
-    with the logarithm of the longest one. Self links and repeated links do no harm; null ends are
-    ignored. The maps of the rounds are then chained backwards.
+    carries the links over to what their ends point at. Stars and short ways, which near copies make,
+    take a few rounds; a way of steadily growing ids takes as many as it has links. Self links and
+    repeated links do no harm; null ends are ignored. The maps of the rounds are then chained backwards.
     """
     links = links.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
     maps = []
