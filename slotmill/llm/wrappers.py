@@ -11,6 +11,7 @@ part of it that holds the article says which slots of a page are its main text.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -55,6 +56,10 @@ BESIDE_WORDS = frozenset(
     "sponsor sponsored subscribe toolbar widget masthead alert".split()
 )
 MAIN_WORDS = frozenset(("articlebody",))
+#: of these words no slot is an article's, however its text varies from page to page
+NEVER_WORDS = frozenset("ad ads advert advertisement adverts comment comments disqus respond sponsor sponsored".split())
+#: beside the article by a class or id only, which the pages of the host may contradict
+HINTED, BESIDE = 1, 2
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -67,10 +72,13 @@ _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 @dataclass(frozen=True)
 class Block:
-    """A run of text between two block tags: its path, whether it is beside the article, its text, characters in links."""
+    """A run of text between two block tags: its path, whether it is beside the article, its text, characters in links.
+
+    ``beside`` is 0, HINTED by a name within an article, or BESIDE.
+    """
 
     path: str
-    beside: bool
+    beside: int
     text: str
     linked: int
 
@@ -79,22 +87,24 @@ def _names(attributes: str) -> list[str]:
     return [w for groups in _NAME.findall(attributes) for value in groups for w in value.split()] if "=" in attributes else []
 
 
-def _is_beside(tag: str, names: list[str], in_article: bool) -> bool:
+def _is_beside(tag: str, names: list[str], in_article: bool) -> int:
     if tag in ("html", "body"):
-        return False
+        return 0
     if tag in BESIDE_TAGS and not (tag == "header" and in_article):
-        return True
+        return BESIDE
     words = {part.lower() for name in names for part in _PART.findall(name)}
     if tag in ("article", "main") or tag[0] == "h" and tag[1:].isdigit():
         words &= {"comment", "comments", "respond", "related", "sponsored", "ad", "advert", "advertisement"}
-    return not words.isdisjoint(BESIDE_WORDS)
+    if words.isdisjoint(BESIDE_WORDS):
+        return 0
+    return HINTED if in_article and words.isdisjoint(NEVER_WORDS) else BESIDE
 
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, white space collapsed and references decoded; empty ones left out."""
     out: list[Block] = []
     #: open block elements: (tag, key, beside, in an article)
-    stack: list[tuple[str, str, bool, bool]] = []
+    stack: list[tuple[str, str, int, bool]] = []
     parts: list[str] = []
     linked, in_link = 0, False
 
@@ -104,7 +114,7 @@ def blocks(page: str | None) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 path = "/".join(key for _, key, _, _ in stack)
-                out.append(Block(path, bool(stack) and stack[-1][2], text, min(linked, len(text))))
+                out.append(Block(path, stack[-1][2] if stack else 0, text, min(linked, len(text))))
             parts.clear()
         linked, in_link = 0, False
 
@@ -144,10 +154,10 @@ def blocks(page: str | None) -> list[Block]:
             if stack[depth][0] in SCOPE:
                 break
         names = _names(m[4])
-        beside = bool(stack) and stack[-1][2]
+        beside = stack[-1][2] if stack else 0
         article = bool(stack) and stack[-1][3]
         key = tag + "".join(f".{re.sub('[0-9]+', '', name)}" for name in names[:1])
-        beside = beside or _is_beside(tag, names, article)
+        beside = max(beside, _is_beside(tag, names, article))
         main = tag in ("article", "main") or any(n.lower() in MAIN_WORDS for n in names) or "main" in names and tag == "div"
         stack.append((tag, key.replace("/", "") + ("!" if main and not beside else ""), beside, article or main))
     if at < len(page):
@@ -164,16 +174,24 @@ class Item:
     paths: tuple[str, ...]
     repeated: bool = False
     optional: bool = False
-    beside: bool = False
+    beside: int = 0
     pages: int = 1
     chars: int = 0
     linked: int = 0
-    fixed: str | None = None  # the text, where all pages agree on it and it does not repeat
+    fixed: str | None = None  # the text where all pages agree on it; of a repeated group a digest of its texts
+
+
+def _digest(inside: list[Block]) -> str:
+    return "#" + hashlib.md5("\n".join(b.text for b in inside).encode("utf-8", "replace")).hexdigest()
 
 
 def items_of(page: list[Block]) -> list[Item]:
     """The stream of a page with its repetitions made repeated groups."""
-    out: list[Item] = []
+    return [item for item, _ in _items_with_blocks(page)]
+
+
+def _items_with_blocks(page: list[Block]) -> list[tuple[Item, list[Block]]]:
+    out: list[tuple[Item, list[Block]]] = []
     paths = [b.path for b in page]
     at = 0
     while at < len(page):
@@ -186,16 +204,15 @@ def items_of(page: list[Block]) -> list[Item]:
                 best = ((turns - 1) * width, width)
         covered, width = best
         inside = page[at : at + covered + width]
-        out.append(
-            Item(
-                tuple(paths[at : at + width]),
-                repeated=covered > 0,
-                beside=all(b.beside for b in inside),
-                chars=sum(len(b.text) for b in inside),
-                linked=sum(b.linked for b in inside),
-                fixed=None if covered else inside[0].text,
-            )
+        item = Item(
+            tuple(paths[at : at + width]),
+            repeated=covered > 0,
+            beside=min(b.beside for b in inside),
+            chars=sum(len(b.text) for b in inside),
+            linked=sum(b.linked for b in inside),
+            fixed=_digest(inside) if covered else inside[0].text,
         )
+        out.append((item, inside))
         at += covered + width
     return out
 
@@ -203,7 +220,7 @@ def items_of(page: list[Block]) -> list[Item]:
 def _met(a: Item, b: Item) -> Item:
     same = a.fixed is not None and a.fixed == b.fixed
     return Item(
-        a.paths, a.repeated or b.repeated, a.optional or b.optional, a.beside, a.pages + b.pages,
+        a.paths, a.repeated or b.repeated, a.optional or b.optional, min(a.beside, b.beside), a.pages + b.pages,
         a.chars + b.chars, a.linked + b.linked, a.fixed if same else None,
     )
 
@@ -252,22 +269,35 @@ def expression(items: list[Item]) -> str:
     """The wrapper as a readable regular expression; ``#`` is a text slot."""
     shown = []
     for item in items:
-        body = " ".join(f"<{p}>{'#' if item.fixed is None else json.dumps(item.fixed, ensure_ascii=False)}" for p in item.paths)
+        body = " ".join(f"<{p}>{'#' if item.fixed is None or item.repeated else json.dumps(item.fixed, ensure_ascii=False)}" for p in item.paths)
         shown.append(f"({body})" + "+" * item.repeated + "?" * item.optional if item.repeated or item.optional else body)
     return " ".join(shown)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Which slots are main text: those under ``main``; without it all but menus and fixed text."""
+    """Which slots are main text: those under ``main``, or without it all but menus; fixed text is no main text.
+
+    ``fixed`` has the paths and the text of template slots and groups, ``varied`` the paths of slots that a
+    name would put beside the article and whose text differs from page to page.
+    """
 
     main: str | None
     fixed: tuple[tuple[str, str], ...] = ()
     menus: tuple[str, ...] = ()
+    varied: tuple[str, ...] = ()
+
+
+def _under(path: str, main: str) -> bool:
+    return (path + "/").startswith(main + "/")
+
+
+def _menu(item: Item) -> bool:
+    return item.linked >= LINKED * max(item.chars, 1)
 
 
 def rule_of(items: list[Item]) -> Rule:
-    """The article of a wrapper: of its article and main elements the one with the most text."""
+    """Of the article and main elements of a wrapper the one with the most text, and what the pages share and do not share."""
     chars: dict[str, int] = {}
     for item in items:
         if item.beside:
@@ -278,30 +308,39 @@ def rule_of(items: list[Item]) -> Rule:
             if key.endswith("!"):
                 prefix = "/".join(keys)
                 chars[prefix] = chars.get(prefix, 0) + item.chars
+    fixed = tuple((" ".join(i.paths), i.fixed) for i in items if i.fixed is not None and i.pages >= FIXED_PAGES)
     if chars:
         best = max(chars, key=lambda p: (chars[p], -len(p)))
         # an article within main, if it has most of it
         inner = [p for p in chars if p.startswith(best + "/") and 2 * chars[p] > chars[best]]
-        return Rule(max(inner, key=lambda p: (chars[p], -len(p))) if inner else best)
-    fixed = tuple((i.paths[0], i.fixed) for i in items if i.fixed is not None and i.pages >= FIXED_PAGES)
-    menus = tuple({p for i in items if i.linked >= LINKED * max(i.chars, 1) for p in i.paths})
-    return Rule(None, fixed, menus)
+        if inner:
+            best = max(inner, key=lambda p: (chars[p], -len(p)))
+        within = [i for i in items if _under(i.paths[0], best) and i.pages >= FIXED_PAGES]
+        # without a slot that varies these are copies of one page, which say nothing of a template
+        if not any(i.fixed is None and i.beside < BESIDE for i in within):
+            return Rule(best)
+        varied = {p for i in within if i.beside == HINTED and i.fixed is None and not _menu(i) for p in i.paths}
+        return Rule(best, fixed, (), tuple(sorted(varied)))
+    return Rule(None, fixed, tuple({p for i in items if _menu(i) for p in i.paths}))
 
 
 def main_text(page: str | None, rule: Rule | None) -> str:
     """The blocks of the article, joined by two line ends. A page unlike its host's wrapper is judged by itself."""
     found = blocks(page)
-    inside = lambda r: [b for b in found if not b.beside and (b.path + "/").startswith(r.main + "/")]
+    items = _items_with_blocks(found)
+    fixed = set(rule.fixed) if rule else set()
+    free = [b for item, inside in items if (" ".join(item.paths), item.fixed) not in fixed for b in inside]
     if rule is not None and rule.main is not None:
-        kept = inside(rule)
-        if kept:
+        varied = set(rule.varied)
+        inside = [b for b in found if _under(b.path, rule.main)]
+        if any(not b.beside for b in inside):
+            kept = [b for b in free if _under(b.path, rule.main) and (not b.beside or b.beside == HINTED and b.path in varied)]
             return "\n\n".join(b.text for b in kept)
-    own = rule_of(items_of(found))
+    own = rule_of([item for item, _ in items])
     if own.main is not None:
-        return "\n\n".join(b.text for b in inside(own))
-    fixed = set(rule.fixed) if rule else set()
+        return "\n\n".join(b.text for b in found if not b.beside and _under(b.path, own.main))
     menus = set(rule.menus) & set(own.menus) if rule else set(own.menus)
-    return "\n\n".join(b.text for b in found if not b.beside and b.path not in menus and (b.path, b.text) not in fixed)
+    return "\n\n".join(b.text for b in free if not b.beside and b.path not in menus)
 
 
 def host_of(url: Column) -> Column:
@@ -317,45 +356,56 @@ def _unpacked(text: str) -> list[Item]:
     return [Item(**{**i, "paths": tuple(i["paths"])}) for i in json.loads(text)]
 
 
-def _aligned_runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int, str]]:
-    key, held = None, []
+def _aligned_runs(batches: Iterator[pd.DataFrame], copies: bool) -> Iterator[tuple[str, int, str]]:
+    key, held, last = None, [], None
     for frame in batches:
         for host, part, wrapper in zip(frame["host"], frame["part"], frame["wrapper"]):
             if (host, part) == key:
-                held = aligned(held, _unpacked(wrapper))
+                if not copies or wrapper != last:
+                    held, last = aligned(held, _unpacked(wrapper)), wrapper
                 continue
             if key is not None:
                 yield *key, _packed(held)
-            key, held = (host, part), _unpacked(wrapper)
+            key, held, last = (host, part), _unpacked(wrapper), wrapper
     if key is not None:
         yield *key, _packed(held)
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (host, part, wrapper) sorted by host and part: one row for each, their wrappers aligned in turn."""
-    for rows in batches_of(_aligned_runs(batches), 500):
-        yield pd.DataFrame(rows, columns=["host", "part", "wrapper"])
+def _fold(copies: bool):
+    """Rows (host, part, wrapper) sorted by host and part: one row for each, their wrappers aligned in turn.
+
+    With ``copies`` the rows are also sorted by wrapper, and equal ones are copies that count as one page.
+    """
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches_of(_aligned_runs(batches, copies), 500):
+            yield pd.DataFrame(rows, columns=["host", "part", "wrapper"])
+
+    return fold
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", spread: int = SPREAD) -> DataFrame:
     """(host, wrapper): the aligned pages of each host, as JSON of Items.
 
     The pages of a host are dealt into ``spread`` parts, so that a host with a third of all pages is
-    aligned in several tasks; a task holds one wrapper at a time. Then the parts are aligned.
+    aligned in several tasks; a task holds one wrapper at a time. Then the parts are aligned. Copies of
+    a page fall into one part and count as one page.
     """
 
-    @pandas_udf("string")
-    def stream(texts: pd.Series) -> pd.Series:
-        return pd.Series([_packed(items_of(blocks(t))) for t in texts], dtype=object)
+    def streams_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            wrapper = [_packed(items_of(blocks(t))) for t in frame["text"]]
+            yield pd.DataFrame({"host": frame["host"], "part": frame["part"], "wrapper": wrapper}).drop_duplicates()
 
     schema = "host string, part int, wrapper string"
-    part = F.pmod(F.xxhash64(F.col(html_col), F.col(url_col)), F.lit(spread)).cast("int")
-    streams = pages.filter(F.col(html_col).isNotNull()).select(
-        host_of(F.col(url_col)).alias("host"), part.alias("part"), stream(F.col(html_col).cast("string")).alias("wrapper")
+    part = F.pmod(F.xxhash64(F.col(html_col)), F.lit(spread)).cast("int")
+    texts = pages.filter(F.col(html_col).isNotNull()).select(
+        host_of(F.col(url_col)).alias("host"), part.alias("part"), F.col(html_col).cast("string").alias("text")
     )
-    parts = streams.repartition("host", "part").sortWithinPartitions("host", "part", "wrapper").mapInPandas(_fold, schema)
+    streams = texts.mapInPandas(streams_of, schema)
+    parts = streams.repartition("host", "part").sortWithinPartitions("host", "part", "wrapper").mapInPandas(_fold(True), schema)
     one = parts.select("host", F.lit(0).alias("part"), "wrapper", F.col("part").alias("turn"))
-    whole = one.repartition("host").sortWithinPartitions("host", "turn").select("host", "part", "wrapper").mapInPandas(_fold, schema)
+    whole = one.repartition("host").sortWithinPartitions("host", "turn").select("host", "part", "wrapper").mapInPandas(_fold(False), schema)
     return whole.select("host", "wrapper")
 
 
@@ -379,7 +429,7 @@ def extracted(pages: DataFrame, url_col: str = "url", html_col: str = "html", na
             if packed is not None:
                 if packed not in known:
                     read = json.loads(packed)
-                    known[packed] = Rule(read["main"], tuple(map(tuple, read["fixed"])), tuple(read["menus"]))
+                    known[packed] = Rule(read["main"], tuple(map(tuple, read["fixed"])), tuple(read["menus"]), tuple(read["varied"]))
                 rule = known[packed]
             out.append(main_text(text, rule))
         return pd.Series(out, dtype=object)

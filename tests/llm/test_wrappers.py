@@ -84,3 +84,25 @@ def test_odd_rows(spark):
     got = sorted((str(r.page_id), r.main_text[:4]) for r in out.collect())
     assert got == [("1", ""), ("2", "a"), ("2", "a"), ("3", ""), ("4", "x y\n"), ("None", "z")]
     assert w.extracted(frame.filter("false")).collect() == []
+
+
+def host_of_pages(page, n=6):
+    """Pages of one host with its article: ``page`` filled with words of each page's own."""
+    return [(i, f"http://h.example/{i}", page.format(*(f"{w}{'abcdef'[i % 6]}{i}" for w in ("first", "second", "third", "fourth")))) for i in range(n)]
+
+
+def test_the_wrapper_decides_within_an_article(spark):
+    page = (
+        "<article><h1>{0}</h1><p>{1} is told.</p><div class='teaserline'>Read more of our stories</div><ul class='tools'><li>Print</li><li>Save</li></ul>"
+        "<div class='alert'><p>{2} is in danger.</p></div><div class='share'>Share this page</div>"
+        "<div class='related'><a href=1>{3}</a></div><div class='comments'><p>{3} I like it</p></div></article>"
+    )
+    rows = host_of_pages(page)
+    copies = [(20 + i, f"http://copy.example/{i}", "<article><h1>Same</h1><p>Same text.</p></article>") for i in range(5)]
+    frame = spark.createDataFrame(rows + copies, "page_id long, url string, html string")
+    for spread in (1, 5):
+        got = {r.page_id: r.main_text for r in w.extracted(frame, spread=spread).collect()}
+        for i in range(6):
+            c = f"{'abcdef'[i]}{i}"
+            assert got[i] == f"first{c}\n\nsecond{c} is told.\n\nthird{c} is in danger."
+        assert {got[20 + i] for i in range(5)} == {"Same\n\nSame text."}
