@@ -35,7 +35,10 @@ LINKED = 0.8
 GROUP = 4
 
 # fixed values: what HTML elements are
-RAW = "script|style|textarea|title|noscript|template|svg|iframe|select|button|option|object|math"
+RAW = "script|style|textarea|title"
+#: elements whose text is not read; one without an end tag ends with the block around it
+SKIPPED = frozenset("noscript template svg iframe select button option optgroup datalist object math".split())
+OPTIONS = {"option": {"option", "optgroup"}, "optgroup": {"optgroup"}}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -62,7 +65,7 @@ NEVER_WORDS = frozenset("ad ads advert advertisement adverts comment comments di
 HINTED, BESIDE = 1, 2
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>(?:.*?</\1\s*>|(?<!/>).*\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*?)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -105,9 +108,39 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     #: open block elements: (tag, key, beside, in an article)
     stack: list[tuple[str, str, int, bool]] = []
+    #: open skipped elements, and the blocks open in them
+    skipped: list[str] = []
+    inner: list[str] = []
     parts: list[str] = []
     linked, in_link = 0, False
 
+    def in_skipped(tag: str, end: bool) -> bool:
+        """The tag belongs to the skipped elements that are open; if not, they end before it."""
+        if end:
+            for open_tags in (inner, skipped):
+                if tag in open_tags:
+                    while open_tags.pop() != tag:
+                        pass
+                    if not skipped:
+                        inner.clear()
+                    return True
+            if not any(tag == open_tag for open_tag, *_ in stack):
+                return True
+        else:
+            while skipped and tag in OPTIONS.get(skipped[-1], ()):
+                skipped.pop()
+            if tag in SKIPPED:
+                skipped.append(tag)
+                return True
+            content = tag in BLOCKS and tag != "hr" and not set(skipped) - OPTIONS.keys()
+            if not content and (tag not in ("article", "main") or not {"template", "noscript"}.isdisjoint(skipped)):
+                if tag in BLOCKS and tag not in VOID:
+                    inner.append(tag)
+                return True
+        skipped.clear()
+        inner.clear()
+        return False
+
     def flush() -> None:
         nonlocal linked, in_link
         if parts:
@@ -121,7 +154,7 @@ def blocks(page: str | None) -> list[Block]:
     page = page or ""
     at = 0
     for m in _TOKEN.finditer(page):
-        if m.start() > at:
+        if m.start() > at and not skipped:
             piece = page[at : m.start()]
             parts.append(piece)
             linked += len(piece) if in_link else 0
@@ -130,6 +163,15 @@ def blocks(page: str | None) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
+        if tag in ("svg", "math") and m[4].endswith("/"):
+            continue
+        if skipped:
+            if in_skipped(tag, bool(m[2])):
+                continue
+        elif tag in SKIPPED:
+            if not m[2]:
+                skipped.append(tag)
+            continue
         if tag not in BLOCKS:
             if tag == "br":
                 parts.append(" ")
@@ -160,7 +202,7 @@ def blocks(page: str | None) -> list[Block]:
         beside = max(beside, _is_beside(tag, names, article))
         main = tag in ("article", "main") or any(n.lower() in MAIN_WORDS for n in names) or "main" in names and tag == "div"
         stack.append((tag, key.replace("/", "") + ("!" if main and not beside else ""), beside, article or main))
-    if at < len(page):
+    if at < len(page) and not skipped:
         parts.append(page[at:])
         linked += len(page) - at if in_link else 0
     flush()

@@ -106,3 +106,22 @@ def test_the_wrapper_decides_within_an_article(spark):
             c = f"{'abcdef'[i]}{i}"
             assert got[i] == f"first{c}\n\nsecond{c} is told.\n\nthird{c} is in danger."
         assert {got[20 + i] for i in range(5)} == {"Same\n\nSame text."}
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div><datalist><option value='x'></datalist></div><article><p>whole</p></article>", "whole"),
+        ("<div><svg width='1'/></div><article><p>whole</p><math/></article>", "whole"),
+        ("<svg-icon name='a'></svg-icon><article><button-group>a</button-group><p>b</p><template-part></template-part><p>c</p></article>", "a\n\nb\n\nc"),
+        ("<div><button>Open<div>x</div></div><p>body</p>", "body"),
+        ("<option>a<option>b<article><p>whole</p></article>", "whole"),
+        ("<button>Open<article><p>whole</p></article>", "whole"),
+        ("<p>a <button>x</button> b <select><option>1<option>2</select> c <svg><svg></svg><p>d</p></svg> e</p>", "a b c e"),
+        ("<p>a</p><template><article><p>no</p></article></template><p>b</p>", "a\n\nb"),
+        ("<p>a</p><svg><title/><path/></svg><p>b</p>", "a\n\nb"),
+        ("<ul><li><object>x</li><li>b</li></ul>", "b"),
+    ],
+)
+def test_skipped_elements_end(page, want):
+    assert text(page) == want
