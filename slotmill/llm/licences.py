@@ -1,9 +1,10 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-A candidate is a line, a block of lines or the whole text. Its normal form is
-compared with the templates whose size leaves the wanted coefficient possible:
-with n bigrams in the template and m in the candidate, the coefficient is at
-most 2 min(n, m) / (n + m).
+A candidate is any run of words of a text. It is compared with the templates
+whose size leaves the wanted coefficient possible: with n bigrams in the
+template and m in the candidate, the coefficient is at most
+2 min(n, m) / (n + m). Runs are only begun where enough bigrams of the template
+follow.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,8 @@ from pyspark.sql.functions import pandas_udf
 from slotmill.llm.common import table
 
 LEAST_DICE = 0.8
+#: a template of fewer bigrams is only met by a shorter run if that begins and ends a line or sentence
+TRIMMED = 20
 
 #: fixed values: short notices and texts of public licences
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -84,16 +89,24 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 FOUND = "array<struct<licence:string,dice:double,start:int,end:int,unit:string>>"
 
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
-_STOP = re.compile(r"[.!?](?=\s|$)")
+_STOP = re.compile(r"[.!?][^\w\s]*(?=\s|$)")
 #: a notice names who holds the rights; that part differs from text to text
-_HOLDER = re.compile(r"(?im)^.*?copyright\s*(?:\(c\)|©)?\s*\d{4}.*$")
+_HOLDER = re.compile(
+    r"(?im)copyright[^\S\n]*(?:\(c\)|©)?[^\S\n]*\d{4}(?:[^\n.!?]|[.!?](?!\s|$))*?(?=[.!?](?:\s|$)|$|\b(?:licen[cs]|released|distributed|permission|this\b))"
+)
+_CLOSE = re.compile(r"[^\w\s]*")
+_BLANK = re.compile(r"\n[^\S\n]*\n")
+AMERICAN = {"licence": "license", "licenced": "licensed"}
+
+
+def without_holders(lower: str) -> str:
+    """Lower-case text with copyright statements, up to the sentence's end or the notice after it, as spaces."""
+    return _HOLDER.sub(lambda m: " " * len(m[0]), lower) if "copyright" in lower else lower
 
 
 def normal_words(text: str) -> list[str]:
-    """Lower-case words without the lines that name the holder; British spelling becomes American."""
-    if "opyright" in text or "OPYRIGHT" in text:
-        text = _HOLDER.sub(" ", text)
-    return [{"licence": "license", "licenced": "licensed"}.get(w, w) for w in _WORD.findall(text.lower())]
+    """Lower-case words without year and holder of copyright statements; British spelling becomes American."""
+    return [AMERICAN.get(w, w) for w in _WORD.findall(without_holders(text.lower()))]
 
 
 def bigrams(words: list[str]) -> Counter:
@@ -112,9 +125,24 @@ class Scanner:
         self.least = least
         rows = sorted((sum(grams.values()), name, grams) for name, texts in templates.items() for t in texts if (grams := bigrams(normal_words(t))))
         self.sizes, self.rows = [n for n, _, _ in rows], rows
+        self.known = {pair: i for i, pair in enumerate(sorted({p for _, _, grams in rows for p in grams}))}
+        self.counts = np.zeros((len(self.known), len(rows)), np.int16)
+        for number, (_, _, grams) in enumerate(rows):
+            for pair, count in grams.items():
+                self.counts[self.known[pair], number] = count
+        self.holds = self.counts > 0
+        # 2 shared / (n + m) >= least and m >= n least / (2 - least)
+        self.needed = np.ceil(np.array(self.sizes) * least / (2 - least) - 1e-9)
         self.words = {w for _, _, grams in rows for pair in grams for w in pair}
         self.largest = int((self.sizes[-1] + 1) * (2 - least) / least) + 1 if rows else 0
 
+    def _candidates(self, pairs: np.ndarray) -> list[int]:
+        """Templates of whose bigrams the text has enough."""
+        pairs = pairs[pairs >= 0]
+        if not len(pairs):
+            return []
+        return np.flatnonzero(self.holds[pairs].sum(axis=0) >= self.needed).tolist()
+
     def best(self, words: list[str]) -> tuple[float, str] | None:
         """The template with the largest coefficient of at least ``least``; of equal ones the first name."""
         m = len(words) - 1
@@ -132,48 +160,104 @@ class Scanner:
                 best = (value, name)
         return best
 
-    def units(self, text: str) -> Iterator[tuple[str, int, int, list[str]]]:
-        """(kind, start, end, words): lines, their sentences, blocks of two or more lines, and a text of several blocks."""
-        block: list[tuple[int, int, list[str]]] = []
-        whole: list[str] = []
-        blocks = at = 0
-        for line in [*text.split("\n"), ""]:
-            stop = at + len(line)
-            if line.strip():
-                words = normal_words(line)
-                yield "line", at, stop, words
-                ends = [m.end() for m in _STOP.finditer(line)]
-                # a sentence can only match if the line has some of the templates' words
-                if len(ends) > 1 and not self.words.isdisjoint(words):
-                    for a, b in zip([0, *ends], [*ends, len(line)]):
-                        if b > a:
-                            yield "sentence", at + a, at + b, normal_words(line[a:b])
-                block.append((at, stop, words))
-            elif block:
-                words = [w for _, _, part in block for w in part]
-                if len(block) > 1:
-                    yield "block", block[0][0], block[-1][1], words
-                if len(whole) <= self.largest:
-                    whole += words
-                blocks, block = blocks + 1, []
-            at = stop + 1
-        if blocks > 1:
-            yield "text", 0, len(text), whole
+    def _windows(self, number: int, doc: Words, first: int, last: int) -> Iterator[tuple[float, int, int]]:
+        """(dice, first word, last word) for each start between two words, its best run of words against a template."""
+        n, name, grams = self.rows[number]
+        low, high = ceil(n * self.least / (2 - self.least) - 1e-9), int(n * (2 - self.least) / self.least + 1e-9)
+        pairs = doc.pairs[first:last]
+        count = np.where(pairs >= 0, self.counts[pairs, number], 0)
+        hit = count > 0
+        held = np.concatenate([[0], np.cumsum(hit)])
+        at = np.arange(len(pairs))
+        possible = held[np.minimum(at + high, len(pairs))] - held[at] >= self.needed[number]
+        if n >= TRIMMED:  # a run that begins without a hit is better without its first word
+            possible &= hit
+        starts = np.flatnonzero(possible)
+        if not len(starts):
+            return
+        # a hit counts in runs that begin after the occurrence which already used up the template's
+        spent, seen = np.full(len(pairs), -1), {}
+        for i in np.flatnonzero(hit).tolist():
+            places = seen.setdefault(int(pairs[i]), [])
+            places.append(i)
+            if len(places) > count[i]:
+                spent[i] = places[-1 - count[i]]
+        for a in starts.tolist():
+            stop = min(a + high, len(pairs))
+            shared = np.cumsum(hit[a:stop] & (spent[a:stop] < a))
+            size = np.arange(1, stop - a + 1)
+            value = np.where(size >= low, 2 * shared / (n + size), 0)
+            if n < TRIMMED:
+                # else the word that tells one licence from another could be left out
+                ends = doc.ends[first + a + 1 : first + stop + 1] if doc.begins[first + a] else False
+                value = np.where((size >= n) | ends, value, 0)
+            best = int(value.argmax())
+            if value[best] >= self.least - 1e-12:
+                yield float(value[best]), first + a, first + a + best + 1
 
     def scan(self, text: str | None) -> list[dict]:
-        """The licences of a text, by place. Of overlapping units the better match stays, the larger of equal ones."""
-        found = []
-        for kind, a, b, words in self.units(text or ""):
-            hit = self.best(words)
-            if hit:
-                found.append((hit[0], b - a, a, b, hit[1], kind))
-        kept = []
-        for value, _, a, b, name, kind in sorted(found, key=lambda f: (-f[0], -f[1], f[2])):
-            if all(b <= k["start"] or a >= k["end"] for k in kept):
-                kept.append({"licence": name, "dice": value, "start": a, "end": b, "unit": kind})
+        """The licences of a text, by place. Of overlapping runs of words the better match stays, the longer of equal ones.
+
+        All runs of words are looked at, over lines, sentences and blocks.
+        """
+        doc = Words(text or "", self.known)
+        numbers = self._candidates(doc.pairs)
+        if not len(numbers):
+            return []
+        doc.place()
+        kept, open_parts = [], [(0, len(doc.pairs))]
+        while open_parts:
+            first, last = open_parts.pop()
+            found = []
+            for number in numbers:
+                for value, a, b in self._windows(number, doc, first, last):
+                    found.append((-value, a - b, a, b, self.rows[number][1]))
+            taken = np.zeros(last - first + 1, bool)
+            for value, _, a, b, name in sorted(found):
+                if not taken[a - first : b - first + 1].any():
+                    taken[a - first : b - first + 1] = True
+                    kept.append({"licence": name, "dice": -value, **doc.unit(a, b)})
+            if found:  # what lies between them may hold shorter runs
+                edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
+                open_parts += [(first + int(a), first + int(b) - 1) for a, b in zip(edges[::2], edges[1::2]) if b - a > 1]
         return sorted(kept, key=lambda k: k["start"])
 
 
+class Words:
+    """The words of a text as numbers of known bigrams (-1: not of a template), and where they stand."""
+
+    def __init__(self, text: str, known: dict[tuple[str, str], int]):
+        self.text = text
+        lower = text.lower()
+        if len(lower) != len(text):
+            lower = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+        self.plain = without_holders(lower)
+        words = [AMERICAN.get(w, w) for w in _WORD.findall(self.plain)]
+        self.pairs = np.fromiter((known.get(p, -1) for p in zip(words, words[1:])), np.int64, max(0, len(words) - 1))
+
+    def place(self) -> None:
+        """Where words stand, and which of them begin and end a line or sentence."""
+        self.spans = [m.span() for m in _WORD.finditer(self.plain)]
+        gaps = [self.plain[a[1] : b[0]] for a, b in zip(self.spans, self.spans[1:])]
+        parted = ["\n" in gap or _STOP.search(gap) is not None for gap in gaps]
+        self.begins, self.ends = np.array([True, *parted]), np.array([*parted, True])
+
+    def unit(self, a: int, b: int) -> dict:
+        """Place and kind of the words from ``a`` to ``b``."""
+        text, start, end = self.text, self.spans[a][0], self.spans[b][1]
+        end += len(_CLOSE.match(text, end)[0])
+        inside = text[start:end]
+        if _BLANK.search(inside):
+            kind = "text"
+        elif "\n" in inside:
+            kind = "block"
+        else:
+            before = a == 0 or "\n" in text[self.spans[a - 1][1] : start]
+            after = b + 1 == len(self.spans) or "\n" in text[end : self.spans[b + 1][0]]
+            kind = "line" if before and after else "sentence"
+        return {"start": start, "end": end, "unit": kind}
+
+
 def licence_column(text: Column, templates: dict[str, tuple[str, ...]] = TEMPLATES, least: float = LEAST_DICE) -> Column:
     @pandas_udf(FOUND)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -71,3 +71,39 @@ def test_odd_rows(spark):
     texts = dict(rows)
     for r in lic.licences(frame).collect():
         assert re.search("MIT License", texts[r.doc_id][r.start : r.end], re.I)
+
+
+def scanned(text):
+    return [(f["licence"], text[f["start"] : f["end"]]) for f in lic.Scanner(lic.TEMPLATES, 0.8).scan(text)]
+
+
+def test_runs_over_lines_sentences_and_blocks():
+    words = lic.TEMPLATES["MIT"][2].split()
+    at = [0, words.index("The"), words.index("THE"), len(words)]
+    parts = [" ".join(words[a:b]) for a, b in zip(at, at[1:])]
+    mit = "\n\n".join(parts)
+    for before, after in (("A library.\n\n", "\n\nUsage: call it."), ("code = 1\n", "\nx = 2"), ("In one paragraph. ", " And more of it.")):
+        assert scanned(before + mit + after) == [("MIT", mit)]
+    assert scanned(f"Some text that goes on. {' '.join(parts)} Then other things are told.") == [("MIT", " ".join(parts))]
+    wrapped = "All of this text is, as you know, released under the\n# MIT License. It goes on\nfor some more lines."
+    assert [name for name, _ in scanned(wrapped)] == ["MIT"]
+    assert [name for name, _ in scanned("Released under the MIT License. Hello there. Licensed under CC BY 4.0.\n" * 3)] == ["MIT", "CC-BY-4.0"] * 3
+    assert scanned("Licensed under CC BY-ND 4.0.") == [] and scanned("This was released under the apple tree.") == []
+
+
+def test_every_run_of_words_is_looked_at():
+    rng = random.Random(3)
+    short = {"A": ("one two three four five six seven",), "B": ("one two one two one three",)}
+    scanner = lic.Scanner(short, 0.7)
+    for _ in range(300):
+        words = rng.choices("one two three four five six seven x".split(), k=14)
+        grams = {n: lic.bigrams(t[0].split()) for n, t in short.items()}
+        want = 0.0
+        for name, gram in grams.items():
+            n = sum(gram.values())
+            for a in range(14):
+                for b in range(a + 1, 14):
+                    if b - a >= n or (a, b) == (0, 13):
+                        want = max(want, lic.dice(lic.bigrams(words[a : b + 1]), gram))
+        found = scanner.scan(" ".join(words))
+        assert max((f["dice"] for f in found), default=0) == (want if want >= 0.7 else 0)
