@@ -107,3 +107,13 @@ def test_every_run_of_words_is_looked_at():
                         want = max(want, lic.dice(lic.bigrams(words[a : b + 1]), gram))
         found = scanner.scan(" ".join(words))
         assert max((f["dice"] for f in found), default=0) == (want if want >= 0.7 else 0)
+
+
+def test_only_the_copyright_statement_is_left_out():
+    for text in (
+        "Copyright (c) 2020 Foo Inc. Licensed under the MIT License.",
+        "Copyright 2020 Foo and others, licensed under the MIT License.",
+        "It is \u00a9 by us, copyright 2020. " + "Words go on. " * 500 + "Licensed under the MIT License. More.",
+    ):
+        assert [name for name, _ in scanned(text)] == ["MIT"]
+    assert lic.normal_words("A copyright 2020 Foo 2.0 B.V. Now on\nCopyright \u00a9 1999-2020 Bar\nend") == ["a", "now", "on", "end"]
