@@ -13,6 +13,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from importlib.resources import files
 from math import ceil
 
 import numpy as np
@@ -27,7 +28,44 @@ LEAST_DICE = 0.8
 #: a template of fewer bigrams is only met by a shorter run if that begins and ends a line or sentence
 TRIMMED = 20
 
-#: fixed values: short notices and texts of public licences
+
+
+def _full(name: str) -> str:
+    return files("slotmill.llm").joinpath("licence_texts", f"{name}.txt").read_text("utf-8")
+
+
+def _header(what: str, name: str, version: str) -> str:
+    """The notice that goes on top of a file under a licence of the GNU family."""
+    name = f"GNU {name}General Public License"
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the {name} as published by "
+        f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+        f"{what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+        f"of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."
+    )
+
+
+_COPY = " You should have received a copy of the GNU {}General Public License along with this {}. If not, see <https://www.gnu.org/licenses/>."
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+#: fixed values: short notices, headers and texts of public licences
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -36,6 +74,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
         "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
         "specific language governing permissions and limitations under the License.",
+        _full("Apache-2.0"),
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -59,19 +98,43 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
         "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
         "License for more details.",
+        _header("program", "", "3") + _COPY.format("", "program"),
+        _full("GPL-3.0"),
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        _header("program", "", "2"),
+        _header("program", "", "2") + " You should have received a copy of the GNU General Public License along with this program; if "
+        "not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+        _full("GPL-2.0"),
+    ),
+    "LGPL-3.0": (
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        _header("library", "Lesser ", "3"),
+        _header("library", "Lesser ", "3") + _COPY.format("Lesser ", "library"),
+        _full("LGPL-3.0"),
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        _header("program", "Affero ", "3"),
+        _header("program", "Affero ", "3") + _COPY.format("Affero ", "program"),
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "LGPL-3.0": ("This library is licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        _full("MPL-2.0"),
     ),
-    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.",),
-    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.",),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", _BSD_2 + _BSD_END),
+    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", _BSD_2 + _BSD_3 + _BSD_END),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+        "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": (
@@ -82,8 +145,23 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
-    "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related rights to this work.",),
-    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related rights to this work.",
+        _full("CC0-1.0"),
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial "
+        "or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
+        "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "
+        "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+        "THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>",
+    ),
 }
 
 FOUND = "array<struct<licence:string,dice:double,start:int,end:int,unit:string>>"

@@ -117,3 +117,13 @@ def test_only_the_copyright_statement_is_left_out():
     ):
         assert [name for name, _ in scanned(text)] == ["MIT"]
     assert lic.normal_words("A copyright 2020 Foo 2.0 B.V. Now on\nCopyright \u00a9 1999-2020 Bar\nend") == ["a", "now", "on", "end"]
+
+
+def test_full_texts_and_headers_within_a_document():
+    scanner = lic.Scanner(lic.TEMPLATES, 0.8)
+    for name in lic.TEMPLATES:
+        for text in lic.TEMPLATES[name][1:]:
+            found = scanner.scan(f"A readme of a project.\n\n{text}\n\nUsage is told here.")
+            assert [(f["licence"], round(f["dice"], 9)) for f in found] == [(name, 1.0)], name
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC0-1.0", "Unlicense"):
+        assert max(len(lic.normal_words(t)) for t in lic.TEMPLATES[name]) > 100
