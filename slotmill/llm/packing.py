@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from slotmill.llm.common import materialise, table
+from slotmill.llm.simhash import fingerprint_column, labelled
 
 #: words of a training sequence
 CAPACITY = 2048
 #: pieces that one task packs at a time
 LOT_PIECES = 8192
+#: words of a shingle of the fingerprints that near copies are found by
+NEAR_WORDS = 4
 #: most frequent sources of a lot whose bins are kept in lists of their own
 APART = 5
 
@@ -107,11 +110,13 @@ def packed(
     source_col: str | None = "source",
     cluster_col: str | None = None,
     lot_pieces: int = LOT_PIECES,
+    near_bits: int | None = None,
 ) -> DataFrame:
     """(id, piece, start_word, n_words, bin_id, position, offset): where each piece of each document goes.
 
     A bin holds ``capacity`` words at most, and no two pieces of one source or one duplicate cluster
-    (without ``cluster_col``: of equal texts). A longer document is cut into full pieces, each a bin of
+    (without ``cluster_col``: of equal texts, or with ``near_bits`` of the component of near copies whose
+    fingerprints are linked by at most so many bits). A longer document is cut into full pieces, each a bin of
     its own, and a rest. ``offset`` is where the piece starts in the bin. A document without words (null
     and empty texts among them) is one row with piece 0, 0 words and null bin, position and offset. A
     null source or cluster conflicts with nothing. Null ids and repeated rows are packed like others;
@@ -125,9 +130,12 @@ def packed(
         (F.xxhash64(F.col(cluster_col).cast("string")) if cluster_col else F.xxhash64(text.cast("string"))).alias("cluster"),
         (F.col(cluster_col).isNull() if cluster_col else F.lit(False)).alias("alone"),
         F.monotonically_increasing_id().alias("uid"),
+        *([fingerprint_column(text, NEAR_WORDS).alias("fp")] if near_bits is not None and not cluster_col else []),
     )
     # written down, so that a lost task deals its rows out again as before
     rows = materialise(rows.withColumn("cluster", F.when(~F.col("alone"), F.col("cluster"))).drop("alone"), "sizes")
+    if "fp" in rows.columns:
+        rows = materialise(labelled(rows, near_bits).withColumn("cluster", F.col("component")).drop("fp", "component", "component_id"), "clusters")
     cut = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("words") / capacity) - 1, F.lit(0)).cast("int")))
     pieces = rows.select("id", "uid", "words", "source", "cluster", cut.alias("piece"))
     start = F.col("piece").cast("long") * capacity
@@ -159,4 +167,4 @@ def packed(
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 words."""
-    return packed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), 2048)
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), 2048, near_bits=4)

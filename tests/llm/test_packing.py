@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from slotmill.llm import packing
+from slotmill.llm.simhash import near_copies
 
 SF = "/root/testdata/sf0.01"
 
@@ -98,3 +99,24 @@ def test_odd_rows(spark):
     joined = packing.packed(same.selectExpr("*", "cast(null as string) AS c"), 10, source_col=None, cluster_col="c").collect()
     assert len({r.bin_id for r in joined}) == 1
     assert packing.packed(frame.filter("false"), 10).collect() == []
+
+
+def test_near_copies_of_several_sources_part(spark):
+    rng = random.Random(8)
+    base = [f"word{rng.randrange(5000)}" for _ in range(400)]
+    near = base[:200] + ["other"] + base[201:]
+    apart = [f"word{rng.randrange(5000)}" for _ in range(400)]
+    rows = [(1, " ".join(base), "a"), (2, " ".join(near), "b"), (3, " ".join(apart), "c"), (None, " ".join(near), "d"), (5, None, "e")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bins = {r.doc_id: r.bin_id for r in packing.packed(frame, 2048, near_bits=4).collect()}
+    assert len({bins[1], bins[2], bins[None]}) == 3 and bins[3] in (bins[1], bins[2], bins[None]) and bins[5] is None
+    assert packing.packed(frame.filter("false"), 2048, near_bits=4).collect() == []
+
+
+def test_query_parts_near_copies(spark):
+    component = {r.doc_id: r.component for r in near_copies(spark.read.parquet(f"{SF}/documents.parquet"), words=4, max_bits=4).collect()}
+    inside = defaultdict(list)
+    for r in packing.op2_best_fit_packing(spark, SF).collect():
+        if r.bin_id is not None:
+            inside[r.bin_id].append(component[r.doc_id])
+    assert all(len(c) == len(set(c)) for c in inside.values())
