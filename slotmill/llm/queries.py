@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from slotmill.llm.decontaminate import op5_benchmark_decontamination
+from slotmill.llm.hard_negatives import ORACLE as HARD_NEGATIVES_SQL
+from slotmill.llm.hard_negatives import op13_hard_negatives
 from slotmill.llm.language import op1_language_id
 from slotmill.llm.licences import op8_licence_scan
 from slotmill.llm.packing import op2_best_fit_packing
@@ -28,7 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licence_scan": op8_licence_scan,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-#: none of them can be written in SQL; the tests compare with brute force, round trips or held-out rows
-ORACLE_SQL: dict[str, str] = {}
+#: the others cannot be written in SQL; the tests compare with brute force, round trips or held-out rows
+ORACLE_SQL: dict[str, str] = {
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
+}
