@@ -9,14 +9,15 @@ the leaves below its node.
 
 A phrase is as frequent as its parts at most. So words are counted first, then
 pairs of words, and a suffix ends where a word or a pair is too rare. What is
-frequent goes to the tasks as a bit filter of fixed size. A hit that is none
-leaves a suffix longer than it had to be; all counts come from the suffixes.
+frequent goes to the tasks as a bit filter of fixed size. Pairs are only counted
+by their place in that filter, which is never less than the count of a pair. A
+hit that is none leaves a suffix longer than it had to be; all counts of phrases
+come from the suffixes.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,8 +42,8 @@ BUDGET = 1 << 14
 HELD_WORDS = 1 << 20
 #: bytes of text that are split at a time
 SPAN = 1 << 20
-#: bits of the filter of frequent words and pairs; 32,768 of them are one row of its aggregate
-FILTER_BITS = 1 << 26
+#: bits of the filter of frequent words and pairs, and those that one row holds while it is made
+FILTER_BITS, BUCKET = 1 << 26, 1 << 15
 #: parts of a language that are ranked by themselves first
 RANK_PARTS = 64
 
@@ -79,26 +80,30 @@ def split_words(text: bytes, span: int = SPAN) -> Iterator[list[bytes]]:
 
 
 class Filter:
-    """Bits of the phrases that may be frequent; one that is frequent always has its bit."""
+    """Bits of what may be frequent; all that is frequent has its bit."""
 
-    def __init__(self, packed: bytes):
-        self.packed = packed
+    def __init__(self, rows: Iterator):
+        """From rows (bucket, bits), each the bits of ``BUCKET`` places; of fixed size, whatever they stand for."""
+        packed = bytearray(FILTER_BITS // 8)
+        for row in rows:
+            packed[row.bucket * BUCKET // 8 : (row.bucket + 1) * BUCKET // 8] = row.bits
+        self.packed = bytes(packed)
 
     @staticmethod
-    def of(phrases: DataFrame) -> Filter:
-        """From (lang, phrase). The driver gets at most ``FILTER_BITS`` bits, whatever the number of phrases."""
+    def of_words(words: DataFrame) -> Filter:
+        """From (lang, phrase)."""
         place = F.pmod(F.crc32(F.concat_ws("\n", "lang", "phrase").cast("binary")), F.lit(FILTER_BITS)) + 1
-        rows = phrases.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-        packed = bytearray(FILTER_BITS // 8)
-        for row in rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).toLocalIterator():
-            at = (row.bucket - 1) * 4096
-            packed[at : at + 4096] = row.bits
-        return Filter(bytes(packed))
+        bucket = (F.bitmap_bucket_number("place") - 1).alias("bucket")
+        rows = words.select(place.alias("place")).groupBy(bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        return Filter(rows.toLocalIterator())
 
     def has(self, crc: int) -> bool:
         at = crc % FILTER_BITS
         return bool(self.packed[at >> 3] >> (at & 7) & 1)
 
+    def has_places(self, places: np.ndarray) -> np.ndarray:
+        return np.frombuffer(self.packed, np.uint8)[places >> 3] >> (places & 7).astype(np.uint8) & 1 != 0
+
 
 class Ids(dict):
     """Numbers for words from 1 on; 0 for a break and, with a filter, for words that are too rare; -1 for the empty word."""
@@ -158,30 +163,21 @@ def count_words(ids: Ids, numbers: np.ndarray, starts: int) -> Iterator[tuple[by
     return ((ids.words[i], int(counts[i])) for i in np.flatnonzero(counts) if i)
 
 
-def _pairs(numbers: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions before the end at which two words follow each other, and a number for each such pair."""
-    first, second = numbers[: len(numbers) - 1], numbers[1:]
-    at = np.flatnonzero((first > 0) & (second > 0))
-    return at, (first[at] << 32) | second[at]
-
-
-def count_pairs(ids: Ids, numbers: np.ndarray, starts: int) -> Iterator[tuple[bytes, int]]:
-    at, pairs = _pairs(numbers, starts)
-    found, counts = np.unique(pairs[at < starts], return_counts=True)
-    for pair, count in zip(found.tolist(), counts.tolist()):
-        yield ids.words[pair >> 32] + b" " + ids.words[pair & 0xFFFFFFFF], count
+def _pairs(ids: Ids, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions at which two words follow each other, and the place of the pair in the filter."""
+    at = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+    crc = np.array(ids.crcs, np.uint64)
+    mixed = crc[numbers[at]] * np.uint64(0x9E3779B97F4A7C15) + crc[numbers[at + 1]] * np.uint64(0xC2B2AE3D27D4EB4F)
+    return at, ((mixed ^ mixed >> np.uint64(31)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
 def count_suffixes(pairs_filter: Filter) -> Callable[[Ids, np.ndarray, int], Iterator[tuple[bytes, int]]]:
     """Suffixes of two words and more that end before the first pair that is too rare."""
 
     def of(ids: Ids, numbers: np.ndarray, starts: int) -> Iterator[tuple[bytes, int]]:
-        at, pairs = _pairs(numbers, starts)
-        found, which = np.unique(pairs, return_inverse=True)
-        crc = (zlib.crc32(b" " + ids.words[p & 0xFFFFFFFF], ids.crcs[p >> 32]) for p in found.tolist())
-        known = np.fromiter(map(pairs_filter.has, crc), bool, len(found))
+        at, places = _pairs(ids, numbers)
         goes_on = np.zeros(len(numbers) + DEPTH, bool)
-        goes_on[at] = known[which]
+        goes_on[at] = pairs_filter.has_places(places)
         start = np.flatnonzero(goes_on[:starts])
         if not len(start):
             return
@@ -199,39 +195,87 @@ def count_suffixes(pairs_filter: Filter) -> Callable[[Ids, np.ndarray, int], Ite
     return of
 
 
+def read_words(
+    batches: Iterator[pa.RecordBatch], words_filter: Filter | None, held_words: int
+) -> Iterator[tuple[bytes, Ids, np.ndarray, int]]:
+    """(lang, ids, numbers, starts) of the words of a task, about ``held_words`` of all languages at a time."""
+    held: dict[bytes, Corpus] = {}
+    total = 0
+    for batch in batches:
+        langs, texts = (batch.column(name).cast(pa.binary()) for name in ("lang", "text"))
+        for lang, text in zip(langs, texts):
+            name = lang.as_py()
+            if name not in held:
+                held[name] = Corpus(name, words_filter, held_words)
+            total -= held[name].held
+            for taken in held[name].add(text.as_py()):
+                yield name, *taken
+            total += held[name].held
+            if total >= held_words:
+                for corpus in held.values():
+                    yield corpus.lang, *corpus.take()
+                held, total = {}, 0
+    for corpus in held.values():
+        yield corpus.lang, *corpus.take()
+
+
 def counted(docs: DataFrame, count: Callable, words_filter: Filter | None = None, held_words: int = HELD_WORDS) -> DataFrame:
     """(lang, phrase, f) of what ``count`` finds in the texts of ``docs`` (lang, text), added up over all of them."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Corpus] = {}
-        total = 0
-
-        def added(corpus: Corpus, taken: tuple) -> Iterator[pa.RecordBatch]:
+        for lang, *taken in read_words(batches, words_filter, held_words):
             found = list(count(*taken))
             if found:
-                lang = pa.array([corpus.lang] * len(found), pa.binary()).cast(pa.string())
-                phrase = pa.array([p for p, _ in found], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([lang, phrase, pa.array([n for _, n in found], pa.int64())], schema=schema)
+                langs = pa.array([lang] * len(found), pa.binary()).cast(pa.string())
+                phrases = pa.array([p for p, _ in found], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([langs, phrases, pa.array([n for _, n in found], pa.int64())], schema=schema)
+
+    return docs.mapInArrow(tally, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def frequent_pairs(docs: DataFrame, words_filter: Filter, min_count: int, held_words: int = HELD_WORDS) -> Filter:
+    """The places of pairs of words that come ``min_count`` times or more.
+
+    What a task has counted goes out as one row for each bucket of places. The rows of a bucket are added up
+    one after the other, so a task holds the counts of one bucket.
+    """
+    kind = np.uint16 if min_count < 1 << 16 else np.uint32
+    schema = pa.schema([("bucket", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
+    summed = pa.schema([("bucket", pa.int32()), ("bits", pa.binary())])
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, ids, numbers, starts in read_words(batches, words_filter, held_words):
+            at, places = _pairs(ids, numbers)
+            found, counts = np.unique(places[at < starts], return_counts=True)
+            counts = np.minimum(counts, min_count).astype(kind)  # more makes no difference
+            buckets, first = np.unique(found // BUCKET, return_index=True)
+            low = (found % BUCKET).astype(np.uint16)
+            ends = np.append(first[1:], len(found))
+            parts = [[values[a:b].tobytes() for a, b in zip(first, ends)] for values in (low, counts)]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), *[pa.array(p, pa.binary()) for p in parts]], schema=schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, total = None, np.zeros(BUCKET, np.int64)
+
+        def bits() -> pa.RecordBatch:
+            packed = np.packbits(total >= min_count, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([packed], pa.binary())], schema=summed)
 
         for batch in batches:
-            langs, texts = (batch.column(name).cast(pa.binary()) for name in ("lang", "text"))
-            for lang, text in zip(langs, texts):
-                name = lang.as_py()
-                if name not in held:
-                    held[name] = Corpus(name, words_filter, held_words)
-                total -= held[name].held
-                for taken in held[name].add(text.as_py()):
-                    yield from added(held[name], taken)
-                total += held[name].held
-                if total >= held_words:  # of all languages together
-                    for corpus in held.values():
-                        yield from added(corpus, corpus.take())
-                    held, total = {}, 0
-        for corpus in held.values():
-            yield from added(corpus, corpus.take())
+            for number, places, counts in zip(*[column.to_pylist() for column in batch.columns]):
+                if number != bucket:
+                    if bucket is not None:
+                        yield bits()
+                    bucket = number
+                    total[:] = 0
+                total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, kind)
+        if bucket is not None:
+            yield bits()
 
-    return docs.mapInArrow(tally, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    parts = docs.mapInArrow(tally, "bucket int, places binary, counts binary")
+    rows = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "bucket int, bits binary")
+    return Filter(rows.toLocalIterator())
 
 
 def vertical_groups(suffixes: DataFrame, budget: int) -> DataFrame:
@@ -292,9 +336,9 @@ def phrase_counts(docs: DataFrame, min_count: int, budget: int, held_words: int
     words = materialise(counted(docs, count_words, held_words=held_words), "words")
     totals = materialise(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = words.filter(F.col("f") >= min_count)
-    words_filter = Filter.of(frequent)
-    pairs = counted(docs, count_pairs, words_filter, held_words).filter(F.col("f") >= min_count)
-    suffixes = materialise(counted(docs, count_suffixes(Filter.of(pairs)), words_filter, held_words), "suffixes")
+    words_filter = Filter.of_words(frequent)
+    pairs_filter = frequent_pairs(docs, words_filter, min_count, held_words)
+    suffixes = materialise(counted(docs, count_suffixes(pairs_filter), words_filter, held_words), "suffixes")
     grouped = vertical_groups(suffixes, budget).groupBy("lot", "number")
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
@@ -391,12 +435,18 @@ WITH pieces AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), lists AS (
-  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
-), starts AS (
-  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists
+  SELECT lang, row_number() OVER () AS number, regexp_extract_all(piece, '[^ \t]+') AS list FROM pieces
+), words AS (
+  SELECT lang, number, unnest(list) AS w, unnest(range(len(list))) AS i FROM lists
+), following AS (
+  SELECT lang, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c, lead(w, 3) OVER o AS d, lead(w, 4) OVER o AS e
+  FROM words WINDOW o AS (PARTITION BY number ORDER BY i)
 ), occurrences AS (
-  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
-  FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)
+  SELECT lang, 1 AS k, a AS phrase FROM following
+  UNION ALL SELECT lang, 2, a || ' ' || b FROM following WHERE b IS NOT NULL
+  UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c FROM following WHERE c IS NOT NULL
+  UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d FROM following WHERE d IS NOT NULL
+  UNION ALL SELECT lang, 5, a || ' ' || b || ' ' || c || ' ' || d || ' ' || e FROM following WHERE e IS NOT NULL
 ), counts AS (
   SELECT lang, k, phrase, count(*) AS f FROM occurrences GROUP BY ALL
 ), totals AS (

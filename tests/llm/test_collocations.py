@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,7 +101,7 @@ def test_spans_do_not_change_the_words(span):
 
 def test_the_filter_has_every_phrase(spark):
     phrases = [("en", "a"), ("en", "a b"), ("de", "é")] + [("en", str(i)) for i in range(2000)]
-    bits = co.Filter.of(spark.createDataFrame(phrases, "lang string, phrase string"))
+    bits = co.Filter.of_words(spark.createDataFrame(phrases, "lang string, phrase string"))
     for lang, phrase in phrases:
         ids = co.Ids(lang.encode(), bits)
         assert ids[phrase.encode()] > 0
@@ -108,6 +109,30 @@ def test_the_filter_has_every_phrase(spark):
     assert wrong < 5
 
 
+@pytest.mark.parametrize("held_words", [20, 1 << 20])
+def test_every_frequent_pair_has_its_place(spark, held_words):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    text = " ".join(words[min(int(rng.expovariate(0.2)), 39)] for _ in range(4000))
+    docs = spark.createDataFrame([("en", t) for t in text.split("w7 ")] + [("de", "w1 w2 " * 3)], "lang string, text string").repartition(5)
+    every = co.Filter.of_words(spark.createDataFrame([(lang, w) for lang in ("en", "de") for w in words], "lang string, phrase string"))
+    found = co.frequent_pairs(docs, every, 6, held_words)
+    counts = Counter()
+    for lang, part in docs.collect():
+        tokens = part.split()
+        counts.update((lang, a, b) for a, b in zip(tokens, tokens[1:]))
+    wrong = 0
+    for lang in ("en", "de"):
+        ids = co.Ids(lang.encode(), every)
+        for a in words:
+            for b in words:
+                numbers = np.array([ids[a.encode()], ids[b.encode()]])
+                known = bool(found.has_places(co._pairs(ids, numbers)[1])[0])
+                assert known or counts[lang, a, b] < 6
+                wrong += known and counts[lang, a, b] < 6
+    assert wrong <= 2 and max(counts.values()) > 20
+
+
 def test_groups_keep_to_the_budget(spark):
     rows = [("en", f"a b {i} {j}", 1) for i in range(6) for j in range(40)] + [("en", f"{i} x", 2) for i in range(50)]
     frame = spark.createDataFrame(rows, "lang string, phrase string, f long")
