@@ -32,8 +32,8 @@ BLOCK_ROWS = 2048
 PART_ROWS = 128
 #: parts that meet the zone maps together
 SLICE_PARTS = 8
-#: neighbouring blocks that one task holds at a time
-SHELF_BLOCKS = 16
+#: rows of the neighbouring blocks that one task holds at a time
+SHELF_ROWS = 16 * BLOCK_ROWS
 #: zone maps that one task holds at a time
 ZONES = 1024
 #: rows that the axes of the curve are fitted on; they do not change a result
@@ -256,14 +256,21 @@ def _first(rows: pd.DataFrame, k: int) -> pd.DataFrame:
 class Index:
     """Blocks, their zone maps, and the search for the first rows of score windows."""
 
-    def __init__(self, rows: DataFrame, block_rows: int = BLOCK_ROWS, shelf_blocks: int = SHELF_BLOCKS, zones: int = ZONES):
+    def __init__(self, rows: DataFrame, block_rows: int = BLOCK_ROWS, shelf_rows: int = SHELF_ROWS, zones: int = ZONES):
         self.blocks = blocks(rows, block_rows)
+        file, number = F.shiftright("block", 32), F.col("block").bitwiseAND((1 << 32) - 1)
+        sizes = dict(self.blocks.groupBy(file).agg(F.sum("n")).collect())  # one row for each task that wrote
+        before, starts = 0, []
+        for at in range(max(sizes, default=0) + 1):
+            starts.append(F.lit(before))
+            before += sizes.get(at, 0)
         chunks = max(1, -(-self.blocks.count() // zones))
         chunk = F.pmod(F.xxhash64("block"), F.lit(chunks)).cast("int")
         self.zones = self.blocks.select("block", "dim", "least_id", "low", "high", chunk.alias("chunk"))
         self.chunks = F.sequence(F.lit(0), F.lit(chunks - 1))
-        # neighbours on the curve lie on one shelf
-        self.shelf = F.expr(f"(block div {1 << 32}) * {1 << 32} + (block % {1 << 32}) div {shelf_blocks}")
+        # neighbours on the curve lie on one shelf, also where files are small
+        start = F.element_at(F.array(*starts), (file + 1).cast("int"))
+        self.shelf = F.floor((start + number * block_rows) / shelf_rows)
 
     def _round(self, parts: DataFrame, windows: DataFrame, k: int, same: bool, seed: int | None) -> DataFrame:
         """First ``k`` rows of each window in the blocks that may matter, or in ``seed`` of them for each window."""
