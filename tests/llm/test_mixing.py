@@ -120,7 +120,7 @@ def test_odd_rows(spark):
     sizes, wanted = targets(rows)
     assert len(got) == len(rows) and sorted(r.size for r in got if r.source == "y") == [2]
     for source in ("x", "y", "z"):
-        assert {r.target for r in got if r.source == source} == {pytest.approx(wanted[source])}
+        assert all(r.target == pytest.approx(wanted[source]) for r in got if r.source == source)
     taken = sum(r.taken for r in got if r.source == "z")
     assert abs(taken - wanted["z"]) <= 2 and len({r.copies for r in got if r.source == "z"}) <= 2
     assert [r.taken for r in got if r.source is None] == [0]
