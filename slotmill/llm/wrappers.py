@@ -27,8 +27,10 @@ from slotmill.llm.common import batches_of, fresh_name, materialise, table
 
 #: parts that the pages of a host are dealt into before their wrappers are merged
 SPREAD = 64
-#: text that so many pages have at the same place, and no page otherwise, belongs to the template
+#: text that so many pages have at the same place, and no page otherwise, may belong to the template,
 FIXED_PAGES = 3
+#: and does if they are this share of the host's pages: within the article, and where no tags tell an article
+FIXED_SHARE, FIXED_SHARE_OUTSIDE = 0.9, 0.5
 #: a slot with this share of its text in links is a menu, outside an article
 LINKED = 0.8
 #: longest run of slots that is looked for as a repeated group
@@ -334,6 +336,11 @@ def _under(path: str, main: str) -> bool:
     return (path + "/").startswith(main + "/")
 
 
+def _heading(path: str) -> bool:
+    key = path.rsplit("/", 1)[-1]
+    return key[:1] == "h" and key[1:2].isdigit() and key[2:3] in ("", ".", "!")
+
+
 def _menu(item: Item) -> bool:
     return item.linked >= LINKED * max(item.chars, 1)
 
@@ -350,7 +357,13 @@ def rule_of(items: list[Item]) -> Rule:
             if key.endswith("!"):
                 prefix = "/".join(keys)
                 chars[prefix] = chars.get(prefix, 0) + item.chars
-    fixed = tuple((" ".join(i.paths), i.fixed) for i in items if i.fixed is not None and i.pages >= FIXED_PAGES)
+    pages = max((i.pages for i in items), default=0)
+
+    def template(share: float) -> tuple[tuple[str, str], ...]:
+        """Fixed slots and groups that are on that share of the pages; a heading that pages share is still the article's."""
+        enough = [i for i in items if i.fixed is not None and i.pages >= max(FIXED_PAGES, share * pages)]
+        return tuple((" ".join(i.paths), i.fixed) for i in enough if not (chars and all(map(_heading, i.paths))))
+
     if chars:
         best = max(chars, key=lambda p: (chars[p], -len(p)))
         # an article within main, if it has most of it
@@ -362,8 +375,8 @@ def rule_of(items: list[Item]) -> Rule:
         if not any(i.fixed is None and i.beside < BESIDE for i in within):
             return Rule(best)
         varied = {p for i in within if i.beside == HINTED and i.fixed is None and not _menu(i) for p in i.paths}
-        return Rule(best, fixed, (), tuple(sorted(varied)))
-    return Rule(None, fixed, tuple({p for i in items if _menu(i) for p in i.paths}))
+        return Rule(best, template(FIXED_SHARE), (), tuple(sorted(varied)))
+    return Rule(None, template(FIXED_SHARE_OUTSIDE), tuple({p for i in items if _menu(i) for p in i.paths}))
 
 
 def main_text(page: str | None, rule: Rule | None) -> str:

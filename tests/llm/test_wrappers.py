@@ -125,3 +125,31 @@ def test_the_wrapper_decides_within_an_article(spark):
 )
 def test_skipped_elements_end(page, want):
     assert text(page) == want
+
+
+def texts_of(spark, pages, spread=5):
+    rows = [(i, f"http://h.example/{i}", page) for i, page in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.main_text for r in w.extracted(frame, spread=spread).collect()}
+
+
+@pytest.mark.parametrize("quoting", [2, 3, 5, 8])
+def test_a_quote_that_some_articles_share_is_kept(spark, quoting):
+    quote = "<blockquote>Nothing is built on stone, all is built on sand.</blockquote>"
+    pages = [f"<article><h1>Title {i}</h1><p>Story {i} begins.</p>{quote if i < quoting else ''}<p>It ends {i}.</p></article>" for i in range(10)]
+    for i, text in texts_of(spark, pages).items():
+        assert ("built on sand" in text) == (i < quoting) and text.startswith(f"Title {i}\n\nStory {i} begins.") and text.endswith(f"It ends {i}.")
+
+
+@pytest.mark.parametrize("count", [2, 5, 12])
+def test_a_headline_that_all_articles_share_is_kept(spark, count):
+    pages = [f"<article><h1>Weekly briefing</h1><p>News of week {i}.</p><div class='end'>Read on in our app</div></article>" for i in range(count)]
+    for i, text in texts_of(spark, pages).items():
+        line = "\n\nRead on in our app" if count < w.FIXED_PAGES else ""  # a template line, once there are pages enough to tell
+        assert text == f"Weekly briefing\n\nNews of week {i}.{line}"
+
+
+def test_text_that_half_of_the_pages_share_is_a_template_outside_articles(spark):
+    pages = [f"<div>Home of news</div><p>Story {i} is told here.</p>" + ("<p>A line of some.</p>" if i < 4 else "") for i in range(10)]
+    for i, text in texts_of(spark, pages).items():
+        assert text == f"Story {i} is told here." + ("\n\nA line of some." if i < 4 else "")
