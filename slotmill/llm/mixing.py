@@ -28,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 #: copies of a document at most, and how far a target may go beyond its source
 MOST_COPIES = 3
 #: different documents that are rounded together
-LOT_ROWS = 50_000
+LOT_ROWS = 4096
 #: a source is balanced when it is within this share of its target, or within half a word
 TOLERANCE = 1e-7
 #: rounds after which halving alone has brought the unknown to its last digit
