@@ -130,10 +130,10 @@ def test_shorter_runs_and_other_texts_are_none(spark):
 
 
 def test_short_items(spark):
-    items = ["What is the capital of France?", "Yes it is", "a rather short item, no?", "Name the tallest tower"]
+    items = ["What is the capital of France?", "Yes it is", "a rather short item indeed, no?", "Name the tallest tower"]
     texts = [
         "He asked: what is the capital of France, and why?", "What is the capital of France", "so what is the capital of Frances",
-        "yes, it IS!", "oh yes it is", "nowhat is the capital of France", "And a rather short item no other", "Name the tallest tower", "Name the tallest tower here",
+        "yes, it IS!", "oh yes it is", "nowhat is the capital of France", "And a rather short item indeed no other", "Name the tallest tower", "Name the tallest tower here",
     ]
     found = {n: set(hits) for n, hits in found_in(spark, items, texts).items()}
     assert found == {0: {0}, 1: {0}, 2: set(), 3: {1}, 4: set(), 5: set(), 6: {2}, 7: {3}, 8: set()}
