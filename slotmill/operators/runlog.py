@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ VERSION_SCHEMA = (
     "log_id string, log_task_id int, status_flag int, log_msg string, event_ts timestamp, seq bigint"
 )
 LOG_SCHEMA = f"{VERSION_SCHEMA}, event_date date"
+STATUS_COLUMNS = ["log_task_id", "status_flag", "event_ts", "seq"]
 
 
 def append_versions(versions: DataFrame, path: str, gather: bool = False) -> None:
@@ -120,20 +122,57 @@ def merge_files(spark: SparkSession, path: str, day: date, files: int = 1) -> No
         storage.remove(spark, staging)
 
 
-def latest_status(log: DataFrame, ref_date: date, as_of: bool = False) -> DataFrame:
+def current_of(log: DataFrame, kept: DataFrame) -> DataFrame:
+    """Current versions of the ids that ``kept``, a selection of ``log``, has rows of.
+
+    The rest of the log is only searched for those ids, which reads no messages and moves no rows that
+    belong to other ids. Rows without an id have no other versions.
+    """
+    ids = kept.select("log_id").distinct()
+    alone = kept.filter(F.col("log_id").isNull()).select("log_id", *STATUS_COLUMNS)
+    return alone.unionByName(newest_by(log.join(ids, "log_id", "left_semi"), ["log_id"], STATUS_COLUMNS, ["seq", "event_ts"]))
+
+
+def latest_status(log: DataFrame, ref_date: date, as_of: bool = False, task_ids: Sequence[int] | None = None) -> DataFrame:
     """Newest status of each task on ``ref_date``, or up to the end of it with ``as_of``.
 
-    The day is a range on ``event_ts``, which reaches the file statistics. On a
-    log stored by ``event_date`` folders are pruned too, a day wider on each side
-    because folder dates follow the writer's time zone.
+    A log with a ``log_id`` holds versions of rows, and only the current version of a row counts, with
+    the day and the task that it carries. The day is a range on ``event_ts``, which reaches the file
+    statistics. On a log stored by ``event_date`` folders are pruned too, a day wider on each side because
+    folder dates follow the writer's time zone; the versions of the rows found there are looked up in
+    the other days.
     """
     day = timedelta(days=1)
-    kept = log.filter(F.col("event_ts") < F.lit(ref_date + day))
-    if "event_date" in log.columns:
-        kept = kept.filter(F.col("event_date") <= F.lit(ref_date + day))
-    if not as_of:
-        kept = kept.filter(F.col("event_ts") >= F.lit(ref_date))
-        if "event_date" in log.columns:
-            kept = kept.filter(F.col("event_date") >= F.lit(ref_date - day))
+
+    def of_day(rows: DataFrame) -> DataFrame:
+        kept = rows.filter(F.col("event_ts") < F.lit(ref_date + day))
+        if "event_date" in rows.columns:
+            kept = kept.filter(F.col("event_date") <= F.lit(ref_date + day))
+        if not as_of:
+            kept = kept.filter(F.col("event_ts") >= F.lit(ref_date))
+            if "event_date" in rows.columns:
+                kept = kept.filter(F.col("event_date") >= F.lit(ref_date - day))
+        return kept if task_ids is None else kept.filter(F.col("log_task_id").isin(list(task_ids)))
+
+    kept = of_day(log)
+    if "log_id" in log.columns:
+        kept = of_day(current_of(log, kept))
     newest = F.max_by("status_flag", F.struct("event_ts", "seq"))
     return kept.groupBy("log_task_id").agg(newest.alias("status"))
+
+
+def status_spans(log: DataFrame, as_of: bool = False) -> DataFrame:
+    """(log_task_id, status, since, until): the days over which a task's latest status holds, the last one excluded.
+
+    With ``as_of`` a status holds until the day of the next, and the last one has no ``until``; without,
+    it holds on its own day. Only current versions count. A task's days are gathered in one list,
+    which a calendar bounds.
+    """
+    rows = current_of(log, log) if "log_id" in log.columns else log
+    newest = F.max_by("status_flag", F.struct("event_ts", "seq")).alias("status")
+    days = rows.filter(F.col("event_ts").isNotNull()).groupBy("log_task_id", F.to_date("event_ts").alias("since")).agg(newest)
+    if not as_of:
+        return days.select("log_task_id", "status", "since", F.date_add("since", 1).alias("until"))
+    listed = days.groupBy("log_task_id").agg(F.sort_array(F.collect_list(F.struct("since", "status"))).alias("days"))
+    spans = F.transform("days", lambda d, i: F.struct(d["status"].alias("status"), d["since"].alias("since"), F.get("days", i + 1)["since"].alias("until")))
+    return listed.select("log_task_id", F.inline(spans))

@@ -93,6 +93,75 @@ def test_stored_log_prunes_days(spark, tmp_path):
     assert "event_date" in plan[plan.index("PartitionFilters:"):].split("PushedFilters")[0]
 
 
+def test_an_update_with_an_earlier_time_decides(spark, tmp_path):
+    """Whichever way round: the version written last is the status, and the other is none."""
+    for first, second, passed in ((2, 1, True), (1, 2, False)):
+        path = str(tmp_path / f"task_log{first}")
+        _, log_id = runlog.append_log(spark, path, 88, first, "", NOON)
+        runlog.update_log(spark, path, log_id, 88, second, "", NOON - timedelta(hours=1))
+        log = runlog.read_log(spark, path)
+        assert [tuple(r) for r in runlog.latest_status(log, DAY).collect()] == [(88, second)]
+        task = {"upload": {"log_task_id": 88, "allowed_status": [1]}}
+        assert gate.tasks_passed(spark, log, DAY, task) is passed
+        assert gate.task_gate(log, gate.prerequisite_frame(spark, task), DAY).first().passed is passed
+
+
+def test_an_update_moves_a_row_to_its_day_and_task(spark, tmp_path):
+    path = str(tmp_path / "task_log")
+    _, moved = runlog.append_log(spark, path, 88, 1, "", NOON)
+    _, other = runlog.append_log(spark, path, 89, 1, "", NOON)
+    runlog.update_log(spark, path, moved, 88, 3, "", NOON + timedelta(days=40))
+    runlog.update_log(spark, path, other, 90, 2, "", NOON)
+    log = runlog.read_log(spark, path)
+    assert {tuple(r) for r in runlog.latest_status(log, DAY).collect()} == {(90, 2)}
+    assert runlog.latest_status(log, DAY, as_of=True, task_ids=[88, 89]).collect() == []
+    later = DAY + timedelta(days=40)
+    assert {tuple(r) for r in runlog.latest_status(log, later, as_of=True).collect()} == {(88, 3), (90, 2)}
+    assert not gate.tasks_passed(spark, log, DAY, {"a": {"log_task_id": 88, "allowed_status": [1, 3]}})
+
+
+def test_rows_without_an_id_are_rows_of_their_own(spark):
+    rows = [(None, 1, 2, "", NOON, 1), (None, 2, 3, "", NOON, 2), ("a", 1, 1, "", NOON - timedelta(hours=1), 3)]
+    log = spark.createDataFrame(rows, "log_id string, log_task_id int, status_flag int, log_msg string, event_ts timestamp, seq bigint")
+    assert {tuple(r) for r in runlog.latest_status(log, DAY).collect()} == {(1, 2), (2, 3)}
+
+
+CALENDAR_TASKS = [
+    ("x", 88, [1]), ("x", 89, [1, 3]), ("y", 88, [-1, 1]), ("y", 90, [-1]), ("z", None, [1]), ("z", 88, None), ("v", 91, [2, None]),
+]
+
+
+@pytest.mark.parametrize("as_of", [False, True])
+def test_gate_calendar_is_the_gate_of_each_day(spark, as_of):
+    rows = [
+        (88, 2, NOON), (88, 1, NOON + timedelta(hours=2)), (88, 3, NOON + timedelta(days=4)), (89, 3, NOON + timedelta(days=1)),
+        (90, 1, NOON + timedelta(days=2)), (91, 2, NOON - timedelta(days=1)), (88, 1, None), (None, 1, NOON),
+    ]
+    log = log_frame(spark, rows)
+    # the row of task 91 is replaced by one of another day
+    log = log.union(spark.createDataFrame([("5", 91, 2, "", NOON + timedelta(days=3), 99)], log.schema))
+    tasks = spark.createDataFrame(CALENDAR_TASKS, "set string, log_task_id int, allowed_status array<int>")
+    days = [DAY + timedelta(days=n) for n in range(-3, 7)]
+    references = spark.createDataFrame([(s, d) for s in ("x", "y", "z", "v", "w") for d in [*days, None, days[0]]], "set string, ref_date date")
+    found = {(r.set, r.ref_date): (r.tasks, r.passing, r.passed) for r in gate.gate_calendar(log, tasks, references, ["set"], as_of).collect()}
+    assert len(found) == 5 * len(days)
+    for day in days:
+        rows = gate.gate_rows(tasks, runlog.latest_status(log, day, as_of)).collect()
+        for name in ("x", "y", "z", "v", "w"):
+            own = [r.passed for r in rows if r.set == name]
+            assert found[name, day] == (len(own), sum(own), all(own)), (name, day)
+
+
+def test_gate_calendar_of_one_set(spark):
+    log = log_frame(spark, [(88, 1, NOON)])
+    tasks = gate.prerequisite_frame(spark, {"a": {"log_task_id": 88, "allowed_status": [1]}})
+    references = spark.createDataFrame([(DAY + timedelta(days=n),) for n in range(-1, 2)], "ref_date date")
+    found = {r.ref_date: r.passed for r in gate.gate_calendar(log, tasks, references, as_of=True).collect()}
+    assert found == {DAY - timedelta(days=1): False, DAY: True, DAY + timedelta(days=1): True}
+    assert gate.gate_calendar(log, tasks.limit(0), references).filter("NOT passed").count() == 0
+    assert gate.gate_calendar(log, tasks, references.limit(0)).count() == 0
+
+
 def test_gate(spark):
     log = log_frame(spark, [(88, 2, NOON), (88, 3, NOON + timedelta(hours=1)), (89, 1, NOON - timedelta(days=1))])
     upload = {"log_task_id": 88, "allowed_status": [1, 3]}
