@@ -21,6 +21,10 @@ class DuplicateFileId(SlotmillError):
     """Two files of different names, or two copies of one, meet under one file id."""
 
 
+class FileClaimed(SlotmillError):
+    """Another load of the same import date and file id is under way."""
+
+
 class CountMismatch(SlotmillError):
     """Parsed rows and non-blank lines of a file disagree."""
 
@@ -31,3 +35,7 @@ class BadRequirement(SlotmillError):
 
 class UnknownLogId(SlotmillError):
     """An update names a log row that does not exist."""
+
+
+class BadCells(SlotmillError):
+    """A report was written with its faults listed beside it."""

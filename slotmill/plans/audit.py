@@ -16,10 +16,11 @@ SUCCESS, WARNING, ERROR = "success", "warning", "error"
 AUDIT_SCHEMA = (
     "run_id string, run_ts timestamp, file_name string, import_date date, outcome string, loaded_rows bigint, "
     "replaced_rows bigint, nonblank_lines bigint, short_rows bigint, long_rows bigint, matched boolean, "
-    "empty_files bigint, skipped_files bigint, batch_id bigint, message string"
+    "empty_files bigint, skipped_files bigint, mismatched_files bigint, mismatches string, batch_id bigint, message string"
 )
 _OF_LOAD = (
     "file_name", "loaded_rows", "replaced_rows", "nonblank_lines", "short_rows", "long_rows", "matched", "empty_files", "skipped_files",
+    "mismatched_files", "mismatches",
 )
 
 

@@ -1,9 +1,10 @@
-"""From drop files to the loaded table: list, read, stamp, type, count, replace, register.
+"""From drop files to the loaded table: list, claim, read, stamp, type, count, show, register.
 
-A load is written beside the table first. Its counts are taken by that one
-write, so everything that may be wrong with it is known before any row of the
-table is replaced. Then the folder of each file is put in place of its older
-one; a file that has no rows any more leaves none behind.
+A load is written beside the table first. Each line carries what it counts as,
+so that one write gives the counts of every file, and everything that may be
+wrong with the load is known before any row of the table is replaced. Then the
+load's folder is moved into the table, where it shows as soon as it is
+registered; a file that has no rows any more is registered without any.
 """
 
 from __future__ import annotations
@@ -11,30 +12,30 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.errors import CountMismatch, DuplicateFileId, EmptyLoad
-from slotmill.functions.names import id_text
-from slotmill.operators.newest import newest_by
+from slotmill.functions.names import file_id, id_text
 from slotmill.operators.rows import one_row
 from slotmill.operators.stamp import stamp, type_tx_date
+from slotmill.plans.claims import CLAIM_HOURS, claimed
 from slotmill.sources import storage
 from slotmill.sources.landing import find_latest_drop
-from slotmill.sources.prelog import parsed_lines, profile_columns, read_lines, read_loaded, read_prelog
+from slotmill.sources.loaded import REGISTER_SCHEMA, day_folder, read_register, superseded, write_register
+from slotmill.sources.prelog import ROW, flag_counts, line_flags, line_profile, parsed_lines, read_lines, read_prelog
 
 LOAD_SCHEMA = (
     "file_name string, import_date date, loaded_rows bigint, replaced_rows bigint, nonblank_lines bigint, "
-    "short_rows bigint, long_rows bigint, matched boolean, files bigint, empty_files bigint, skipped_files bigint"
+    "short_rows bigint, long_rows bigint, matched boolean, files bigint, empty_files bigint, skipped_files bigint, "
+    "mismatched_files bigint, mismatches string"
 )
-
-#: what each file id of the table was loaded from; below the table in a folder that readers pass over
-REGISTER = "_loads"
-REGISTER_SCHEMA = "file_name string, source_file string, folder date, rows bigint, seq bigint, import_date date"
+COUNTS = ("rows", "nonblank_lines", "short_rows", "long_rows")
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,10 @@ class Source:
 
 @dataclass(frozen=True)
 class Load:
-    """Counts of one load, over all of its files."""
+    """Counts of one load over all of its files; ``mismatches`` names those whose rows and lines differ, a few of many.
+
+    ``matched`` says that no file mismatches. The counts of each file are in the register.
+    """
 
     file_name: str
     import_date: date
@@ -63,6 +67,8 @@ class Load:
     files: int = 1
     empty_files: int = 0
     skipped_files: int = 0
+    mismatched_files: int = 0
+    mismatches: str | None = None
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return one_row(spark, LOAD_SCHEMA, asdict(self))
@@ -88,9 +94,21 @@ def _folder_day(path: str) -> date | None:
         return None
 
 
-def sources(spark: SparkSession, paths: Sequence[str], id_length: int | None = None) -> list[Source]:
-    """The files that ``paths`` (files or folders, not patterns) name, those without content included."""
-    found = [e for path in paths for e in storage.listing(spark, path)]
+def sources(spark: SparkSession, paths: Sequence[str], id_length: int | None = None, missing: str = "raise") -> list[Source]:
+    """The files that ``paths`` (files or folders, not patterns) name, those without content included.
+
+    A path that is not there raises, or is passed over with ``missing="skip"``.
+    """
+    def of(path: str) -> list[storage.Entry]:
+        try:
+            return storage.listing(spark, path)
+        except FileNotFoundError:
+            if missing == "raise":
+                raise
+            return []
+
+    with ThreadPoolExecutor(storage.THREADS) as pool:
+        found = [e for entries in pool.map(of, paths) for e in entries]
     return [
         Source(e.path, e.name, id_text(e.name, id_length), _folder_day(e.path), e.length)
         for e in found
@@ -98,18 +116,7 @@ def sources(spark: SparkSession, paths: Sequence[str], id_length: int | None = N
     ]
 
 
-def read_register(spark: SparkSession, target: str, import_date: date | None = None) -> DataFrame:
-    """The newest registration of each (import date, file id)."""
-    place = f"{target}/{REGISTER}"
-    if not storage.exists(spark, place):
-        return spark.createDataFrame([], REGISTER_SCHEMA)
-    rows = spark.read.schema(REGISTER_SCHEMA).parquet(place)
-    if import_date is not None:
-        rows = rows.filter(F.col("import_date") == F.lit(import_date))
-    return newest_by(rows, ["import_date", "file_name"], ["source_file", "folder", "rows"], ["seq"])
-
-
-def _chosen(spark: SparkSession, found: list[Source], target: str, import_date: date, skip_older: bool) -> list[Source]:
+def _chosen(found: list[Source], known: dict, skip_older: bool) -> list[Source]:
     """One source for each id, and only sources that may replace what the register has."""
     by_id: dict[str, Source] = {}
     for source in sorted(found, key=lambda s: (s.folder or date.min, s.path)):
@@ -117,22 +124,44 @@ def _chosen(spark: SparkSession, found: list[Source], target: str, import_date:
         if other and (other.name != source.name or not skip_older):
             raise DuplicateFileId(f"{source.file_id}: {other.path}, {source.path}")
         by_id[source.file_id] = source
-    # ids of this load only, so no more rows than it has files
-    ids = spark.createDataFrame([(i,) for i in by_id], "file_name string")
-    for row in read_register(spark, target, import_date).join(ids, "file_name", "left_semi").toLocalIterator():
-        source = by_id[row.file_name]
+    for name, row in known.items():
+        source = by_id[name]
         if source.name != row.source_file:
-            raise DuplicateFileId(f"{row.file_name}: loaded from {row.source_file}, not {source.name}")
+            raise DuplicateFileId(f"{name}: loaded from {row.source_file}, not {source.name}")
         if skip_older and row.folder is not None and (source.folder is None or source.folder < row.folder):
-            del by_id[row.file_name]
+            del by_id[name]
     return list(by_id.values())
 
 
-def rows_per_file(spark: SparkSession, target: str, import_date: date) -> DataFrame:
-    """(file_name, rows) of one import day, from partition values and file footers."""
-    if not storage.exists(spark, f"{target}/import_date={import_date.isoformat()}"):
-        return spark.createDataFrame([], "file_name string, rows bigint")
-    return read_loaded(spark, target, import_date).groupBy("file_name").agg(F.count("*").alias("rows"))
+def _of_ids(spark: SparkSession, rows: DataFrame, ids: Sequence[str]) -> list:
+    """Rows of the ids of one load, so a few for each of its files."""
+    names = spark.createDataFrame([(i,) for i in ids], "file_name string")
+    return list(rows.join(names, "file_name", "left_semi").toLocalIterator())
+
+
+def _write_counted(
+    spark: SparkSession, files: list[str], staging: str, import_date: date, load: str, one_scan: bool, quote: str, id_length: int | None, strict_dates: bool
+) -> dict[str, dict[str, int]]:
+    """Write the rows of all files below ``staging``; returns the counts of each file id."""
+    lines = read_lines(spark, files)
+    if one_scan:
+        flags = line_flags(F.col("value"))
+        raw = parsed_lines(lines.withColumn("line_flags", flags).filter("line_flags <> 0"), "line_flags")
+    else:
+        raw = read_prelog(spark, files, quote).withColumn("line_flags", F.lit(ROW).cast("tinyint"))
+    # a line that counts as one without being a row is written too, but left behind in the staging folder
+    place = F.when(F.col("line_flags").bitwiseAND(ROW) != 0, F.lit(load)).otherwise(f"{load}-lines")
+    rows = type_tx_date(stamp(raw, import_date, id_length=id_length), strict=strict_dates)
+    rows.withColumn("load", place).write.partitionBy("import_date", "load", "file_name").parquet(staging)
+
+    schema = "line_flags tinyint, import_date date, load string, file_name string"
+    written = spark.read.schema(schema).parquet(staging).groupBy("file_name").agg(*flag_counts(F.col("line_flags")))
+    counts = {r.file_name: r.asDict() for r in written.toLocalIterator()}
+    if not one_scan:
+        profile = line_profile(lines.withColumn("file_name", file_id(F.col("source_file"), id_length)), by=["file_name"])
+        for row in profile.toLocalIterator():
+            counts.setdefault(row.file_name, {"rows": 0}).update({c: row[c] for c in COUNTS[1:]})
+    return counts
 
 
 def load_files(
@@ -145,65 +174,80 @@ def load_files(
     strict: bool = False,
     strict_dates: bool = False,
     skip_older: bool = False,
+    missing: str = "raise",
+    owner: str | None = None,
+    claim_hours: float = CLAIM_HOURS,
 ) -> Load:
     """Load files so that each (import date, file id) holds exactly the rows of this load.
 
-    A file without rows, zero bytes among them, takes away what its id held; ``strict`` raises
-    ``EmptyLoad`` instead, and ``CountMismatch`` where rows and non-blank lines differ, before anything
-    is replaced. An id that another file name was loaded under raises ``DuplicateFileId``.
-    ``skip_older`` is for arrivals in any order: of copies in several day folders the newest counts,
-    and a copy from an older folder than the loaded one is passed over.
+    Readers see all of it or nothing. A file without rows, zero bytes among them, takes away what its id
+    held; ``strict`` raises ``EmptyLoad`` instead, and ``CountMismatch`` where rows and non-blank lines of
+    a file differ, before anything is replaced. An id that another file name was loaded under raises
+    ``DuplicateFileId``, one that is being loaded by another ``owner`` raises ``FileClaimed``.
+    ``skip_older`` is for arrivals in any order: of copies in several day folders the newest counts, and a
+    copy from an older folder than the loaded one is passed over.
     The files are read once; with quoting on, and with ``strict``, lines are counted in a second scan.
     """
-    found = sources(spark, paths, id_length)
-    chosen = _chosen(spark, found, target, import_date, skip_older)
-    staging = f"{target}/_staging-{uuid.uuid4().hex}"
-    day = f"import_date={import_date.isoformat()}"
-    filled = [storage.literal(s.path) for s in chosen if s.length]
-    counted, lined = Observation(), Observation()
-    totals = {"rows": 0, "nonblank_lines": 0, "short_rows": 0, "long_rows": 0}
-    ids = {s.file_id: 0 for s in chosen}
+    found = sources(spark, paths, id_length, missing)
+    seq = time.time_ns()
+    load = f"{seq}-{uuid.uuid4().hex[:8]}"
+    ids = sorted({s.file_id for s in found})
+    with claimed(spark, target, import_date, ids, owner or load, claim_hours):
+        known = {r.file_name: r for r in _of_ids(spark, read_register(spark, target, import_date), ids)}
+        chosen = _chosen(found, known, skip_older)
+        return _load_claimed(
+            spark, paths, found, chosen, known, target, import_date, seq, load, quote, id_length, strict, strict_dates
+        )
+
+
+def _load_claimed(
+    spark: SparkSession, paths: Sequence[str], found: list[Source], chosen: list[Source], known: dict, target: str, import_date: date,
+    seq: int, load: str, quote: str, id_length: int | None, strict: bool, strict_dates: bool,
+) -> Load:
+    staging = f"{target}/_staging-{load}"
+    nothing = dict.fromkeys(COUNTS, 0)
+    counts: dict[str, dict[str, int]] = {}
     try:
+        filled = [storage.literal(s.path) for s in chosen if s.length]
         if filled:
-            lines = read_lines(spark, filled)
-            alone = not quote and not strict
-            raw = parsed_lines(lines.observe(lined, *profile_columns())) if alone else read_prelog(spark, filled, quote)
-            rows = type_tx_date(stamp(raw, import_date, id_length=id_length), strict=strict_dates)
-            rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*fixed.LOAD_KEY).parquet(staging)
-            totals.update(counted.get)
-            totals.update(lined.get if alone else lines.agg(*profile_columns()).first().asDict())
-            for row in rows_per_file(spark, staging, import_date).toLocalIterator():
-                ids[row.file_name] = row.rows
-        empty = [i for i, n in ids.items() if not n]
+            counts = _write_counted(spark, filled, staging, import_date, load, not quote and not strict, quote, id_length, strict_dates)
+        per_file = {s.file_id: nothing | counts.get(s.file_id, {}) for s in chosen}
+        empty = sorted(i for i, n in per_file.items() if not n["rows"])
+        wrong = sorted(i for i, n in per_file.items() if n["rows"] != n["nonblank_lines"])
+        mismatches = "; ".join(f"{i}: {per_file[i]['rows']} rows, {per_file[i]['nonblank_lines']} lines" for i in wrong[:5])
         if strict and (empty or not chosen):
-            raise EmptyLoad(f"no rows in {', '.join(sorted(empty)[:5]) or paths}; nothing was replaced")
-        matched = totals["rows"] == totals["nonblank_lines"]
-        if strict and not matched:
-            raise CountMismatch(f"{_label(paths, chosen)}: {totals['rows']} rows, {totals['nonblank_lines']} lines")
-        names = spark.createDataFrame([(i,) for i in ids], "file_name string")
-        before = rows_per_file(spark, target, import_date).join(names, "file_name", "left_semi")
-        replaced = before.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-        storage.replace_folders(spark, staging, target, [f"{day}/file_name={_escaped(spark, i)}" for i in ids])
+            raise EmptyLoad(f"no rows in {', '.join(empty[:5]) or paths}; nothing was replaced")
+        if strict and wrong:
+            raise CountMismatch(mismatches)
+        if chosen:
+            if len(empty) < len(chosen):
+                storage.move_into(spark, f"{day_folder(staging, import_date)}/load={load}", f"{day_folder(target, import_date)}/load={load}")
+            register = [(s.file_id, s.name, s.folder, *[per_file[s.file_id][c] for c in COUNTS], seq, load, import_date) for s in chosen]
+            write_register(spark.createDataFrame(register, REGISTER_SCHEMA), target, import_date, load)
     finally:
         storage.remove(spark, staging)
-    if chosen:
-        seq = time.time_ns()
-        register = [(s.file_id, s.name, s.folder, ids[s.file_id], seq, import_date) for s in chosen]
-        frame = spark.createDataFrame(register, REGISTER_SCHEMA).coalesce(1)
-        frame.write.mode("append").partitionBy("import_date").parquet(f"{target}/{REGISTER}")
+    replaced = [known[i] for i in per_file if i in known]
+    _remove_old(spark, target, import_date, [r.file_name for r in replaced])
+    totals = {c: sum(n[c] for n in per_file.values()) for c in COUNTS}
     return Load(
-        _label(paths, chosen), import_date, totals["rows"], replaced, totals["nonblank_lines"], totals["short_rows"],
-        totals["long_rows"], matched, len(chosen), len(empty), len(found) - len(chosen),
+        _label(paths, chosen), import_date, totals["rows"], sum(r.rows for r in replaced), totals["nonblank_lines"], totals["short_rows"],
+        totals["long_rows"], not wrong, len(chosen), len(empty), len(found) - len(chosen), len(wrong), mismatches or None,
     )
 
 
-def _label(paths: Sequence[str], chosen: list[Source]) -> str:
-    return chosen[0].file_id if len(chosen) == 1 else f"{len(chosen)} files"
+def _remove_old(spark: SparkSession, target: str, import_date: date, ids: Sequence[str]) -> None:
+    """Remove what was replaced before; what this load replaced stays for those who are reading it."""
+    if not ids:
+        return
+    old = _of_ids(spark, superseded(spark, target, import_date), ids)
+    day = day_folder(target, import_date)
+    with ThreadPoolExecutor(storage.THREADS) as pool:
+        list(pool.map(lambda r: storage.remove(spark, f"{day}/load={r.load}/file_name={storage.partition_value(spark, r.file_name)}"), old))
 
 
-def _escaped(spark: SparkSession, value: str) -> str:
-    """A partition value as Spark writes it into a folder name."""
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+def _label(paths: Sequence[str], chosen: list[Source]) -> str:
+    """The file id, or how many files there were."""
+    return chosen[0].file_id if len(chosen) == 1 else f"{len(chosen)} files"
 
 
 def ingest(

@@ -46,14 +46,38 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return lines.select("value", plain_name(F.col("_metadata.file_name")).alias("source_file"))
 
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
+def is_row(line: Column) -> Column:
+    """The row reader makes a row of the line: it holds more than characters up to the space."""
+    return line.rlike(r"[^\x00-\x20]")
+
+
+def parsed_lines(lines: DataFrame, *others: str) -> DataFrame:
     """``read_prelog``'s rows out of ``read_lines``' lines, so that one scan gives both.
 
-    A line of nothing but characters up to the space is no row, as for the row reader.
+    With ``others``, further columns of ``lines``, every line is kept, and those that are no row are null.
     """
     options = {"sep": "\t", "quote": "", "mode": "PERMISSIVE"}
-    row = F.from_csv("value", RAW_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
-    return lines.filter(F.col("value").rlike(r"[^\x00-\x20]")).select(row.alias("_row"), "source_file").select("_row.*", "source_file")
+    row_type = RAW_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    value = F.when(is_row(F.col("value")), F.col("value"))
+    kept = lines if others else lines.filter(is_row(F.col("value")))
+    row = F.from_csv(value, row_type, options)
+    return kept.select(row.alias("_row"), "source_file", *others).select("_row.*", "source_file", *others)
+
+
+#: what ``line_flags`` says of a line: it is a row, it is not blank, it has too few fields, too many
+ROW, NONBLANK, SHORT, LONG = 1, 2, 4, 8
+
+
+def line_flags(line: Column, width: int = len(fixed.PRELOG_COLUMNS)) -> Column:
+    """The tests of ``profile_columns`` and of the row reader as one number for each line."""
+    filled, fields = is_nonblank(line), field_count(line)
+    tests = {ROW: is_row(line), NONBLANK: filled, SHORT: filled & (fields < width), LONG: filled & (fields > width)}
+    return sum((F.when(test, bit).otherwise(0) for bit, test in tests.items()), F.lit(0)).cast("tinyint")
+
+
+def flag_counts(flags: Column) -> list[Column]:
+    names = {"rows": ROW, "nonblank_lines": NONBLANK, "short_rows": SHORT, "long_rows": LONG}
+    return [F.count_if(flags.bitwiseAND(bit) != 0).alias(name) for name, bit in names.items()]
 
 
 def profile_columns(width: int = len(fixed.PRELOG_COLUMNS)) -> list[Column]:
@@ -71,10 +95,3 @@ def profile_columns(width: int = len(fixed.PRELOG_COLUMNS)) -> list[Column]:
 def line_profile(lines: DataFrame, by: Sequence[str] = (), width: int = len(fixed.PRELOG_COLUMNS)) -> DataFrame:
     """Total and non-blank lines, and non-blank lines with too few or too many fields."""
     return lines.groupBy(*by).agg(*profile_columns(width))
-
-
-def read_loaded(spark: SparkSession, target: str, import_date: date | None = None) -> DataFrame:
-    """The loaded table, or only one import day of it so that no other folder is listed."""
-    reader = spark.read.schema(PRELOG_SCHEMA).option("basePath", target)
-    table = reader.parquet(target if import_date is None else f"{target}/import_date={import_date.isoformat()}")
-    return table.select(PRELOG_SCHEMA.names)

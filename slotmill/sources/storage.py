@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 #: metadata calls that are under way at a time
@@ -19,6 +20,7 @@ class Entry:
     name: str
     is_folder: bool
     length: int
+    modified: int = 0
 
 
 def literal(path: str) -> str:
@@ -44,7 +46,7 @@ def listing(spark: SparkSession, location: str) -> list[Entry]:
     found = []
     for status in fs.listStatus(path):
         at = status.getPath()
-        found.append(Entry(at.toString(), at.getName(), status.isDirectory(), status.getLen()))
+        found.append(Entry(at.toString(), at.getName(), status.isDirectory(), status.getLen(), status.getModificationTime()))
     return found
 
 
@@ -91,3 +93,50 @@ def create_empty(spark: SparkSession, location: str) -> None:
     """A file of zero bytes."""
     fs, path = _file_system(spark, location)
     fs.create(path, True).close()
+
+
+def create_once(spark: SparkSession, location: str, text: str) -> bool:
+    """Write a small file unless there is one; whether it was written. One call of the file system."""
+    fs, path = _file_system(spark, location)
+    try:
+        out = fs.create(path, False)
+    except Py4JJavaError as error:
+        if not fs.exists(path):
+            raise OSError(f"could not create {location}") from error
+        return False
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, location: str) -> tuple[str, float] | None:
+    """The text of a small file and its time in seconds; None where there is none any more."""
+    fs, path = _file_system(spark, location)
+    try:
+        at = fs.getFileStatus(path).getModificationTime() / 1000
+        stream = fs.open(path)
+        try:
+            return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode(), at
+        finally:
+            stream.close()
+    except Py4JJavaError:
+        return None
+
+
+def move_into(spark: SparkSession, source: str, target: str) -> None:
+    """``move`` to a place whose folder may not be there yet."""
+    fs, path = _file_system(spark, target)
+    fs.mkdirs(path.getParent())
+    move(spark, source, target)
+
+
+def make_folder(spark: SparkSession, location: str) -> None:
+    fs, path = _file_system(spark, location)
+    fs.mkdirs(path)
+
+
+def partition_value(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

@@ -1,17 +1,22 @@
 """Incremental ingest of drop files.
 
-The stream carries file arrivals, not rows: each micro-batch is a bounded list
-of new paths, and the batch load then reads those files once, with the same
-plan as a scheduled run. The table's register says from which day folder a file
-was loaded, so the result does not depend on how arrivals fall into batches. A
-batch that is repeated after a failure replaces its own rows and its own run
-record.
+A drop may be corrected, emptied and filled again under its name, so what arrives
+is a version of a file: its path, time and length. A start lists the landing
+area, compares it with the versions that were noted before, and notes the new
+ones in small files of their own. Those notes, which never change, are the
+source of the stream. Each micro-batch is a bounded list of paths, and the batch
+load reads those files once, with the same plan as a scheduled run. The table's
+register says from which day folder a file was loaded, so the result does not
+depend on how arrivals fall into batches. A batch that is repeated after a
+failure replaces its own rows and its own run record.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable, Iterator
 from datetime import date
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,54 +24,67 @@ from pyspark.sql.streaming import StreamingQuery
 
 from slotmill.functions.names import base_name, parent_name
 from slotmill.plans.audit import SUCCESS, record_run
-from slotmill.plans.ingest import load_files, read_register, sources
+from slotmill.plans.ingest import load_files
 from slotmill.sources import storage
-from slotmill.sources.landing import candidate_files, day_folders, in_day_folder, landing_entries
+from slotmill.sources.landing import candidate_files, day_folders, landing_entries
 
-ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+ARRIVAL_SCHEMA = "path string, modified bigint, length bigint"
+#: versions of files, in folders below the checkpoint
+NOTES, LISTED = "arrivals", "listed"
+#: entries of the landing area that the driver holds at a time
+LISTED_AT_ONCE = 100_000
 
 
-def arrivals(
-    spark: SparkSession,
-    root: str,
-    year_prefix: str | None = None,
-    file_prefix: str | None = None,
-    files_per_batch: int = 1000,
-) -> DataFrame:
-    """Stream of new drop files in day folders below ``root``; contents are not read.
+def file_versions(spark: SparkSession, root: str, year_prefix: str | None = None) -> Iterator[tuple[str, int, int]]:
+    """(path, modified, length) of the files in day folders below ``root``, those of zero bytes too; folder by folder."""
+    for row in day_folders(landing_entries(spark, root), year_prefix).toLocalIterator():
+        for entry in storage.listing(spark, f"{root.rstrip('/')}/{row.folder}"):
+            if not entry.is_folder and not entry.name.startswith(("_", ".")):
+                yield entry.path, entry.modified, entry.length
 
-    Files of zero bytes do not show up here, see ``emptied_files``.
-    """
-    listing = (
-        spark.readStream.format("binaryFile")
-        .schema(ARRIVAL_SCHEMA)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(storage.literal(root))
-    )
-    path = F.col("path")
-    files = listing.select("path", base_name(path).alias("file"), parent_name(path).alias("folder"))
-    return candidate_files(files.filter(in_day_folder(F.col("folder"), year_prefix)), file_prefix)
 
+def _write_listing(spark: SparkSession, versions: Iterable[tuple[str, int, int]], place: str) -> DataFrame:
+    """The listing as a table, written in parts so that the driver holds few of its rows."""
+    rows, written = iter(versions), False
+    while part := list(islice(rows, LISTED_AT_ONCE)):
+        spark.createDataFrame(part, ARRIVAL_SCHEMA).write.mode("append").parquet(place)
+        written = True
+    return spark.read.schema(ARRIVAL_SCHEMA).parquet(place) if written else spark.createDataFrame([], ARRIVAL_SCHEMA)
 
-def emptied_files(
+
+def note_arrivals(
     spark: SparkSession,
     root: str,
-    target: str,
-    import_date: date,
+    checkpoint: str,
     year_prefix: str | None = None,
     file_prefix: str | None = None,
-    id_length: int | None = None,
-) -> list[str]:
-    """Drop files of zero bytes that the register does not have as empty yet."""
-    folders = [r.folder for r in day_folders(landing_entries(spark, root), year_prefix).toLocalIterator()]
-    empty = [s for f in folders for s in sources(spark, [f"{root.rstrip('/')}/{f}"], id_length) if not s.length]
-    if not empty:
-        return []
-    rows = [(s.path, s.name, s.file_id, s.folder) for s in empty]
-    files = candidate_files(spark.createDataFrame(rows, "path string, file string, file_name string, at date"), file_prefix)
-    known = read_register(spark, target, import_date).filter("rows = 0").select("file_name", F.col("folder").alias("at"))
-    return [r.path for r in files.join(known, ["file_name", "at"], "left_anti").toLocalIterator()]
+    files_per_batch: int = 1000,
+) -> str:
+    """Note the file versions that are there now and were not noted before; returns the folder of all notes.
+
+    A note is one Parquet file of at most ``files_per_batch`` versions. A note that was written although the
+    rest failed stands, and the next start notes the rest. Two versions of a file that agree in time
+    and length are taken for one.
+    """
+    notes, listed = f"{checkpoint.rstrip('/')}/{NOTES}", f"{checkpoint.rstrip('/')}/{LISTED}"
+    storage.make_folder(spark, notes)
+    storage.remove(spark, listed)
+    try:
+        found = _write_listing(spark, file_versions(spark, root, year_prefix), listed)
+        named = candidate_files(found.withColumn("file", base_name(F.col("path"))), file_prefix).drop("file")
+        known = spark.read.schema(ARRIVAL_SCHEMA).parquet(notes)
+        new = named.join(known, ["path", "modified", "length"], "left_anti")
+        # newest folders first, as far as a batch goes; the result does not depend on it
+        ordered = new.orderBy(F.desc(parent_name(F.col("path"))), "path")
+        ordered.write.mode("append").option("maxRecordsPerFile", files_per_batch).parquet(notes)
+    finally:
+        storage.remove(spark, listed)
+    return notes
+
+
+def arrivals(spark: SparkSession, notes: str) -> DataFrame:
+    """Stream of noted file versions, one note a batch."""
+    return spark.readStream.schema(ARRIVAL_SCHEMA).option("maxFilesPerTrigger", 1).parquet(notes)
 
 
 def start_ingest(
@@ -81,30 +99,30 @@ def start_ingest(
     audit: str | None = None,
     **load_options,
 ) -> StreamingQuery:
-    """Load everything that arrived since the last run over the same checkpoint, then stop.
+    """Load everything that arrived or changed since the last run over the same checkpoint, then stop.
 
     Copies of one name in several day folders count once, newest folder first, in whatever batches they
-    come. With ``audit`` every batch leaves one run record, however often it is repeated.
+    come. A file that is gone again by the time its batch runs is passed over. With ``audit`` every batch
+    leaves one run record, however often it is repeated.
     """
-    options = {"skip_older": True, **load_options}
-    emptied = emptied_files(spark, root, target, import_date, year_prefix, file_prefix, options.get("id_length"))
-    if emptied:
-        load_files(spark, emptied, target, import_date, **options)
+    options = {"skip_older": True, "missing": "skip", **load_options}
+    notes = note_arrivals(spark, root, checkpoint, year_prefix, file_prefix, files_per_batch)
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # at most files_per_batch paths
-        paths = [row.path for row in batch.select("path").collect()]
+        paths = sorted({row.path for row in batch.select("path").collect()})
         if not paths:
             return
-        load = load_files(batch.sparkSession, paths, target, import_date, **options)
+        run = f"stream-{stream}-{batch_id}"
+        load = load_files(batch.sparkSession, paths, target, import_date, owner=run, **options)
         if audit:
-            record_run(batch.sparkSession, audit, import_date, SUCCESS, load, run_id=f"stream-{stream}-{batch_id}", batch_id=batch_id)
+            record_run(batch.sparkSession, audit, import_date, SUCCESS, load, run_id=run, batch_id=batch_id)
 
     return (
-        arrivals(spark, root, year_prefix, file_prefix, files_per_batch)
+        arrivals(spark, notes)
         .writeStream.foreachBatch(load_batch)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream")
         .trigger(availableNow=True)
         .start()
     )

@@ -4,10 +4,14 @@ import pytest
 from helpers import programme, write_drop
 from pyspark.sql import functions as F
 
-from slotmill.errors import CountMismatch, DuplicateFileId, EmptyLoad
+from slotmill.errors import CountMismatch, DuplicateFileId, EmptyLoad, FileClaimed
 from slotmill.operators.replace import existing_rows, key_filter, replace_by_key, write_replacing
+from slotmill.plans import ingest as ingest_module
+from slotmill.plans.claims import claimed, release_claims
 from slotmill.plans.ingest import ingest, load_files
-from slotmill.sources.prelog import PRELOG_SCHEMA, parsed_lines, read_lines, read_loaded, read_prelog
+from slotmill.sources import loaded, storage
+from slotmill.sources.loaded import read_loaded, read_register
+from slotmill.sources.prelog import PRELOG_SCHEMA, parsed_lines, read_lines, read_prelog
 
 DAY = date(2024, 2, 26)
 NEXT_DAY = date(2024, 2, 27)
@@ -116,6 +120,137 @@ def test_strict_load_stops_before_replacing(spark, tmp_path):
     assert (loose.loaded_rows, loose.nonblank_lines, loose.matched) == (3, 2, False)
 
 
+def test_opposite_mismatches_of_two_files_do_not_cancel(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    first = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1), "\u00a0"])
+    second = write_drop(tmp_path, "d", "F240223B.TXT", [programme(2), "\u0001"])
+    other = write_drop(tmp_path, "d", "F240223C.TXT", [programme(3), " ", "short", programme(4) + "\tlong"])
+    load = load_files(spark, [first, second, other], target, DAY)
+    assert (load.loaded_rows, load.nonblank_lines, load.matched, load.mismatched_files) == (6, 6, False, 2)
+    assert load.mismatches == "F240223A: 2 rows, 1 lines; F240223B: 1 rows, 2 lines"
+    per_file = {r.file_name: (r.rows, r.nonblank_lines, r.short_rows, r.long_rows) for r in read_register(spark, target).collect()}
+    assert per_file == {"F240223A": (2, 1, 0, 0), "F240223B": (1, 2, 1, 0), "F240223C": (3, 3, 1, 1)}
+    assert counts(spark, target) == {("F240223A", DAY): 2, ("F240223B", DAY): 1, ("F240223C", DAY): 3}
+    for options in ({"strict": True}, {"strict": True, "quote": '"'}):
+        with pytest.raises(CountMismatch, match="F240223A: 2 rows, 1 lines; F240223B: 1 rows, 2 lines"):
+            load_files(spark, [first, second, other], str(tmp_path / "new"), DAY, **options)
+    again = load_files(spark, [first, second, other], target, DAY, quote='"')
+    assert (again.mismatched_files, again.replaced_rows, again.nonblank_lines) == (2, 6, 6)
+
+
+def test_strict_dates_look_at_rows_only(spark, tmp_path):
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1), "\u0001\t\u0001\t\u0001"])
+    load = load_files(spark, [path], str(tmp_path / "prelog"), DAY, strict_dates=True)
+    assert (load.loaded_rows, load.nonblank_lines) == (1, 2)
+
+
+@pytest.mark.parametrize("step", ["move_into", "write_register", "_write_counted"])
+def test_a_load_that_stops_leaves_the_old_rows(spark, tmp_path, monkeypatch, step):
+    target = str(tmp_path / "prelog")
+    paths = [write_drop(tmp_path, "d", f"F240223{v}.TXT", [programme(i) for i in range(3)]) for v in "ABC"]
+    load_files(spark, paths, target, DAY)
+    before = counts(spark, target)
+    for v in "ABC":
+        write_drop(tmp_path, "d", f"F240223{v}.TXT", [programme(9)])
+
+    def stop(*args):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ingest_module.storage if step == "move_into" else ingest_module, step, stop)
+        with pytest.raises(OSError, match="stopped"):
+            load_files(spark, paths, target, DAY)
+        assert counts(spark, target) == before
+    assert load_files(spark, paths, target, DAY).replaced_rows == 9
+    assert set(counts(spark, target).values()) == {1}
+    assert not [n for n, _ in storage.entries(spark, target) if n.startswith(("_staging", "_register"))]
+
+
+def test_a_load_shows_when_it_is_registered_and_not_before(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "prelog")
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(i) for i in range(3)])
+    load_files(spark, [path], target, DAY)
+    write_drop(tmp_path, "d", "F240223A.TXT", [programme(9)])
+    real, seen = loaded.write_register, []
+
+    def watched(*args):
+        seen.append(counts(spark, target))
+        real(*args)
+        seen.append(counts(spark, target))
+
+    monkeypatch.setattr(ingest_module, "write_register", watched)
+    reader = read_loaded(spark, target)
+    load_files(spark, [path], target, DAY)
+    assert seen == [{("F240223A", DAY): 3}, {("F240223A", DAY): 1}]
+    assert reader.count() == 3, "a reader that began before keeps what it saw"
+
+
+def test_replaced_rows_are_removed_by_the_load_after_next(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1)])
+    for _ in range(4):
+        load_files(spark, [path], target, DAY)
+    stored = list((tmp_path / "prelog" / f"import_date={DAY}").glob("load=*/file_name=F240223A"))
+    assert len(stored) == 2 and counts(spark, target) == {("F240223A", DAY): 1}
+
+
+def test_two_loads_of_one_id(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    one, two = (write_drop(tmp_path, place, "F240223A.TXT", [programme(1)]) for place in ("c", "d"))
+    other = write_drop(tmp_path, "d", "F240223B.TXT", [programme(1)])
+    with claimed(spark, target, DAY, ["F240223A"], "first"):
+        with pytest.raises(FileClaimed, match="F240223A is being loaded by first"):
+            load_files(spark, [two, other], target, DAY)
+        assert load_files(spark, [other], target, DAY).loaded_rows == 1
+        assert load_files(spark, [one], target, NEXT_DAY).loaded_rows == 1
+    assert load_files(spark, [two], target, DAY).loaded_rows == 1
+
+
+def test_simultaneous_loads(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    target, start = str(tmp_path / "prelog"), Barrier(2)
+    paths = [write_drop(tmp_path, place, "F240223A.TXT", [programme(i) for i in range(n)]) for n, place in ((2, "c"), (3, "d"))]
+    others = [write_drop(tmp_path, "e", f"F24022{n}B.TXT", [programme(1)]) for n in (1, 2)]
+
+    def load(path, other):
+        start.wait()
+        try:
+            return load_files(spark, [path, other], target, DAY).loaded_rows
+        except FileClaimed:
+            return 0
+
+    with ThreadPoolExecutor(2) as pool:
+        rows = sorted(pool.map(load, paths, others))
+    found = counts(spark, target)
+    # both at once: one raises; one after the other: the later one counts
+    assert rows in ([0, 3], [0, 4], [3, 4]) and found[("F240223A", DAY)] in (2, 3)
+    assert sum(found.values()) == (rows[1] if rows[0] == 0 else found[("F240223A", DAY)] + 2)
+
+
+def test_claims_left_behind(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    path = write_drop(tmp_path, "d", "F240223A.TXT", [programme(1)])
+    place = f"{target}/_claims/import_date={DAY}/F240223A"
+    assert storage.create_once(spark, place, "dead") and not storage.create_once(spark, place, "other")
+    with pytest.raises(FileClaimed):
+        load_files(spark, [path], target, DAY)
+    assert load_files(spark, [path], target, DAY, owner="dead").loaded_rows == 1
+    storage.create_once(spark, place, "dead")
+    assert load_files(spark, [path], target, DAY, claim_hours=0).loaded_rows == 1
+    storage.create_once(spark, place, "dead")
+    release_claims(spark, target, DAY)
+    assert load_files(spark, [path], target, DAY).replaced_rows == 1
+
+
+def test_a_table_without_a_register_is_read_as_it_is(spark, tmp_path):
+    rows = spark.createDataFrame([("F240223A", DAY)], "file_name string, import_date date")
+    full = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in PRELOG_SCHEMA.fields[2:]])
+    write_replacing(full, str(tmp_path / "plain"))
+    assert counts(spark, str(tmp_path / "plain")) == {("F240223A", DAY): 1}
+
+
 @pytest.mark.parametrize("name", ["F240223A [1].TXT", "F240223A*.TXT", "F240223A{x}.TXT", "F240223A\\b?.TXT"])
 def test_file_names_are_not_patterns(spark, tmp_path, name):
     root = str(tmp_path / "landing [old]")

@@ -10,7 +10,7 @@ from slotmill.plans.audit import read_audit
 from slotmill.plans.report import ReportSpec
 from slotmill.plans.weekly import weekly_run
 from slotmill.session import shared_root, work_folder
-from slotmill.sources.prelog import read_loaded
+from slotmill.sources.loaded import read_loaded
 from slotmill.streaming.arrivals import start_ingest
 
 DAY = date(2024, 2, 26)
@@ -141,6 +141,69 @@ def test_batches_do_not_change_the_table(spark, places, tmp_path, files_per_batc
         assert run_stream(spark, places, str(tmp_path / "one"), **options) == {"F240223AA": 1}
 
 
+@pytest.mark.parametrize("files_per_batch", [1000, 1])
+def test_corrected_emptied_and_refilled_drops(spark, places, tmp_path, files_per_batch):
+    checkpoint, options = str(tmp_path / "progress"), {"files_per_batch": files_per_batch}
+    write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(i) for i in range(3)])
+    write_drop(places["root"], "2024-02-26", "F240223B.TXT", [programme(i) for i in range(2)])
+    assert run_stream(spark, places, checkpoint, **options) == {"F240223A": 3, "F240223B": 2}
+    write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(i) for i in range(7)])
+    assert run_stream(spark, places, checkpoint, **options) == {"F240223A": 7, "F240223B": 2}
+    write_drop(places["root"], "2024-02-26", "F240223A.TXT", [])
+    assert run_stream(spark, places, checkpoint, **options) == {"F240223B": 2}
+    write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(i) for i in range(5)])
+    assert run_stream(spark, places, checkpoint, **options) == {"F240223A": 5, "F240223B": 2}
+    # an older copy that is corrected later changes nothing
+    write_drop(places["root"], "2024-02-25", "F240223A.TXT", [programme(1)])
+    assert run_stream(spark, places, checkpoint, **options) == {"F240223A": 5, "F240223B": 2}
+    write_drop(places["root"], "2024-02-25", "F240223A.TXT", [programme(1), programme(2)])
+    assert run_stream(spark, places, checkpoint, **options) == {"F240223A": 5, "F240223B": 2}
+
+
+def test_a_drop_that_is_gone_before_its_batch(spark, places, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from slotmill.streaming import arrivals
+
+    real = arrivals.note_arrivals
+    path = write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(1)])
+    write_drop(places["root"], "2024-02-26", "F240223B.TXT", [programme(1)])
+
+    def noted(*args):
+        notes = real(*args)
+        Path(path).unlink(missing_ok=True)
+        return notes
+
+    monkeypatch.setattr(arrivals, "note_arrivals", noted)
+    assert run_stream(spark, places, str(tmp_path / "progress")) == {"F240223B": 1}
+
+
+def test_nothing_is_noted_twice(spark, places, tmp_path, monkeypatch):
+    from slotmill.streaming import arrivals
+
+    monkeypatch.setattr(arrivals, "LISTED_AT_ONCE", 2)
+    checkpoint = str(tmp_path / "progress")
+    for n in range(5):
+        write_drop(places["root"], "2024-02-26", f"F24022{n}A.TXT", [programme(1)])
+    for expected in (3, 3):
+        notes = arrivals.note_arrivals(spark, places["root"], checkpoint, files_per_batch=2)
+        assert len(list((tmp_path / "progress" / "arrivals").glob("part-*"))) == expected
+    found = spark.read.parquet(notes)
+    assert found.count() == 5 and found.select("path").distinct().count() == 5
+
+
+def test_an_interrupted_batch_is_loaded_by_the_next_start(spark, places, tmp_path, monkeypatch):
+    from slotmill.streaming import arrivals
+
+    write_drop(places["root"], "2024-02-26", "F240223A.TXT", [programme(1)])
+    checkpoint = str(tmp_path / "progress")
+    with monkeypatch.context() as patched:
+        patched.setattr(arrivals, "load_files", lambda *a, **b: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run_stream(spark, places, checkpoint)
+    assert run_stream(spark, places, checkpoint) == {"F240223A": 1}
+
+
 def test_an_any_year_run_takes_the_newest_folder(spark, places):
     write_drop(places["root"], "2024-12-30", "F241229A.TXT", [programme(1)])
     write_drop(places["root"], "2026-11-30", "F261129A.TXT", [programme(1), programme(2)])
