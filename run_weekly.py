@@ -26,6 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--date-pattern", default=fixed.FILE_DATE_PATTERN)
     parser.add_argument("--main-sql", help="file with the main report's query over the view prelog")
     parser.add_argument("--strict", action="store_true", help="stop on a count mismatch before replacing rows")
+    parser.add_argument("--list-faults", action="store_true", help="write all bad report cells as datasets before the run fails")
     return parser.parse_args(argv)
 
 
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> str:
         file_prefix=args.file_prefix,
         date_pattern=args.date_pattern,
         strict=args.strict,
+        list_faults=args.list_faults,
     )
     print(outcome)
     return outcome

@@ -9,14 +9,19 @@ from pyspark.sql import types as T
 from slotmill.functions.checks import or_fail
 
 
+def whole_number(value: Column, dtype: T.DataType | None = None) -> Column:
+    """64-bit integer; null for anything else, including numbers with a fraction."""
+    parsed = value.try_cast("bigint")
+    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        parsed = F.when(parsed == value, parsed)
+    return parsed
+
+
 def strict_int(
     value: Column, dtype: T.DataType | None = None, label: str = "integer", null_fails: bool = False
 ) -> Column:
     """64-bit integer; fails on anything else, including numbers with a fraction."""
-    parsed = value.try_cast("bigint")
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        parsed = F.when(parsed == value, parsed)
-    return or_fail(value, parsed, f"not a whole number in {label}", null_fails)
+    return or_fail(value, whole_number(value, dtype), f"not a whole number in {label}", null_fails)
 
 
 def lenient_text(value: Column) -> Column:
