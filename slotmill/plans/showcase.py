@@ -8,7 +8,7 @@ whole tables, and returns a DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.errors import PySparkException
@@ -27,10 +27,12 @@ from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.sizing import gather_by
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.operators.titles import rows_with_titles
+from slotmill.plans import upkeep
 from slotmill.plans.audit import SUCCESS, read_audit, record_run
 from slotmill.plans.ingest import Load, load_files, typed_rows
 from slotmill.plans.report import (
     ReportSpec,
+    export_checked,
     export_datasets,
     run_report,
     secondary_spec,
@@ -38,11 +40,13 @@ from slotmill.plans.report import (
 from slotmill.plans.weekly import weekly_run
 from slotmill.session import work_folder
 from slotmill.sources import landing, prelog, storage
-from slotmill.sources.sql import query_table
+from slotmill.sources.loaded import read_loaded, read_register
+from slotmill.sources.sql import query_rows, query_table
 from slotmill.streaming.arrivals import start_ingest
 
 RUN_DAY = date(2024, 2, 26)
 REF_DAY = date(2024, 1, 15)
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "none")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -271,6 +275,42 @@ def load_counts(spark, sf_dir):
     )
 
 
+def reconcile_per_file(spark, sf_dir):
+    """Events by type as drop files: of some, lines that are rows but blank, or lines that are none but not blank.
+
+    The faults of two files are opposite, so that they cancel in the totals. Counts are those of the register.
+    """
+    line, kind, key = as_line(event_fields()), F.col("event_type"), F.col("event_id")
+    extra = (
+        F.when((kind == "click") & (key % 7 == 0), F.array(line, F.lit("\u00a0")))
+        .when((kind == "view") & (key % 7 == 0), F.array(line, F.lit("\u0001")))
+        .when(kind == "error", F.array(line, F.lit(" "), F.lit("")))
+        .otherwise(F.array(line))
+    )
+    target = work_folder(spark, "per_file")
+    lines = table(spark, sf_dir, "events").select(kind.alias("kind"), F.explode(extra).alias("value"))
+    load = load_files(spark, _keyed_drops(spark, lines, "kind"), target, RUN_DAY)
+    per_file = read_register(spark, target, RUN_DAY).select("file_name", "rows", "nonblank_lines", "short_rows")
+    return per_file.select(
+        F.substring_index("file_name", "-", 1).alias("event_type"),
+        "rows", "nonblank_lines", "short_rows", (F.col("rows") == F.col("nonblank_lines")).alias("matched"),
+        F.lit(load.matched).alias("load_matched"), F.lit(load.mismatched_files).cast("bigint").alias("mismatched_files"),
+    )
+
+
+def _keyed_drops(spark: SparkSession, lines: DataFrame, key: str) -> list[str]:
+    """``value`` as drop files, one for each key, named after it; every key is written by a task of its own."""
+    folder = work_folder(spark, "keyed")
+    lines.repartition(key).write.partitionBy(key).mode("overwrite").text(f"{folder}/parts")
+    placed = []
+    for entry in storage.listing(spark, f"{folder}/parts"):
+        if entry.is_folder and entry.name.startswith(f"{key}="):
+            part = next(e for e in storage.listing(spark, entry.path) if e.name.startswith("part-"))
+            placed.append(f"{folder}/drops/{entry.name.removeprefix(f'{key}=')}-A.TXT")
+            storage.move_into(spark, part.path, placed[-1])
+    return placed
+
+
 def keyed_replace_emptied(spark, sf_dir):
     """Orders as one file a status, of which a later drop has one without lines and one without bytes."""
     root, target = work_folder(spark, "emptied"), work_folder(spark, "kept")
@@ -287,7 +327,7 @@ def keyed_replace_emptied(spark, sf_dir):
     blank.repartition(1).write.mode("overwrite").text(second["O"])
     storage.create_empty(spark, second["P"])
     again = load_files(spark, [_as_file(spark, second["O"]), second["P"]], target, RUN_DAY)
-    return prelog.read_loaded(spark, target).groupBy("file_name").agg(F.count("*").alias("rows")).select(
+    return read_loaded(spark, target).groupBy("file_name").agg(F.count("*").alias("rows")).select(
         "file_name", "rows", F.lit(again.empty_files).alias("empty_files"), F.lit(again.loaded_rows).alias("loaded_rows"),
         F.lit(again.replaced_rows).alias("replaced_rows"),
     )
@@ -391,6 +431,40 @@ def report_param(spark, sf_dir):
     return run_report(spark, LINEITEM_REPORT, args, {"lineitem": table(spark, sf_dir, "lineitem")})
 
 
+FAULTY_REPORT = ReportSpec(
+    name="orders",
+    sql="SELECT o_orderkey, day, clerk, slots, price FROM faulty_orders",
+    date_columns=("day",),
+    int_columns=("slots", "price"),
+    lenient_columns=("clerk",),
+    key_columns=("o_orderkey",),
+)
+
+
+def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text with dates and numbers that are none, and nulls among them."""
+    key = F.col("o_orderkey")
+    day = F.when(key % 11 == 0, "30/02/2024").when(key % 13 != 0, F.col("o_orderdate").cast("date").cast("string"))
+    slots = F.when(key % 7 == 0, F.concat(key, F.lit(".5"))).when(key % 17 != 0, key.cast("string"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", day.alias("day"), F.col("o_orderstatus").alias("clerk"), slots.alias("slots"), F.col("o_custkey").alias("price")
+    )
+
+
+def report_faults(spark, sf_dir):
+    """All bad cells of a report, read back from the dataset beside it, and how many rows of the report are sound."""
+    checked = run_report(spark, FAULTY_REPORT, {}, {"faulty_orders": faulty_orders(spark, sf_dir)}, strict=False)
+    folders = export_checked({FAULTY_REPORT: checked}, work_folder(spark, "faulty"), on_fault="keep")
+    return spark.read.parquet(folders["orders faults"])
+
+
+def report_checked(spark, sf_dir):
+    """The report beside those faults: bad cells are null, all rows are there."""
+    checked = run_report(spark, FAULTY_REPORT, {}, {"faulty_orders": faulty_orders(spark, sf_dir)}, strict=False)
+    folders = export_checked({FAULTY_REPORT: checked}, work_folder(spark, "faulty"), on_fault="keep")
+    return spark.read.parquet(folders["orders"]).select("o_orderkey", "day", "clerk", "slots", "price")
+
+
 def report_export(spark, sf_dir):
     """Two datasets written out and read back, as counts and sums of each."""
     main, second = report_param(spark, sf_dir), stamped_load(spark, sf_dir)
@@ -409,7 +483,7 @@ def secondary_report(spark, sf_dir):
     raw = prelog.read_prelog(spark, order_lines(spark, sf_dir))
     write_replacing(type_tx_date(stamp(raw, RUN_DAY, F.lit("F240223B.TXT"))), target)
     args = {"file_name": "F240223B", "import_date": RUN_DAY}
-    report = run_report(spark, secondary_spec("F240223B"), args, {"prelog": prelog.read_loaded(spark, target, RUN_DAY)})
+    report = run_report(spark, secondary_spec("F240223B"), args, {"prelog": read_loaded(spark, target, RUN_DAY)})
     return report.select(
         "file_name", "import_date", "TX_DATE", "START_TIME", "SLOT_DURATION", "SLOT_NAME", "MAIN_TITLE",
         "PROGRAMME_ID", "PROGRAMME_ID_NUMBER", "LOADING_FACTOR", "REFERENCE_ID",
@@ -426,6 +500,16 @@ def top_log_rows(spark, sf_dir):
     return query_table(spark, sql, tables={"task_log": table(spark, sf_dir, "events")})
 
 
+def log_row_list(spark, sf_dir):
+    """The newest errors of a user as a list of rows, which is made a frame again."""
+    sql = """
+        SELECT event_id, ts, value FROM task_log WHERE event_type = :kind AND user_id <= :last
+        ORDER BY ts DESC, event_id DESC LIMIT 20
+    """
+    rows = list(query_rows(spark, sql, {"kind": "error", "last": 1000}, {"task_log": table(spark, sf_dir, "events")}))
+    return spark.createDataFrame([tuple(row) for row in rows], "event_id bigint, ts timestamp, value double")
+
+
 # --- run log, gate, calendar --------------------------------------------------
 
 
@@ -459,6 +543,28 @@ def log_append(spark, sf_dir):
     return runlog.current_log(runlog.read_log(spark, path)).select("log_id", "log_task_id", "status_flag", "log_msg")
 
 
+def log_upkeep(spark, sf_dir):
+    """Events appended in forty pieces, and again as newer versions of some; compacted, the log says the same in few files."""
+    path = work_folder(spark, "upkeep")
+    rows = event_log(spark, sf_dir).select(
+        F.col("seq").cast("string").alias("log_id"),
+        F.col("log_task_id").cast("int"),
+        "status_flag",
+        "log_msg",
+        F.col("event_ts").cast("timestamp"),
+        F.col("seq").alias("seq"),
+    )
+    newer = rows.filter("seq % 3 = 0").withColumns({"status_flag": F.lit(2), "seq": F.col("seq") + 10_000_000_000})
+    runlog.append_versions(rows.repartition(40), path)
+    runlog.append_versions(newer.repartition(20), path)
+    upkeep.compact_log(spark, path, date(2100, 1, 1), most_files=4, drop_superseded=True)
+    most = max(sum(e.name.endswith(".parquet") for e in storage.listing(spark, f"{path}/{name}")) for name, is_folder in storage.entries(spark, path) if is_folder)
+    log = runlog.read_log(spark, path)
+    return log.groupBy("log_id").agg(
+        F.max("log_task_id").alias("log_task_id"), F.max("status_flag").alias("status_flag"), F.count("*").alias("versions")
+    ).withColumn("few_files", F.lit(most <= 4))
+
+
 def latest_status(spark, sf_dir):
     return runlog.latest_status(event_log(spark, sf_dir), REF_DAY)
 
@@ -510,6 +616,29 @@ def task_gate(spark, sf_dir):
     return gate.task_gate(event_log(spark, sf_dir), customer_tasks(spark, sf_dir), REF_DAY, as_of=True)
 
 
+def versioned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log in which every fifth event is a later version of the row before it, with its own task and time."""
+    log = event_log(spark, sf_dir)
+    return log.withColumn("log_id", F.when(F.col("seq") % 5 == 0, F.col("seq") - 1).otherwise(F.col("seq")).cast("string"))
+
+
+def latest_status_versions(spark, sf_dir):
+    """Superseded versions do not count, on a day and up to it."""
+    log = versioned_log(spark, sf_dir)
+    on, up_to = (runlog.latest_status(log, REF_DAY, as_of).withColumn("as_of", F.lit(as_of)) for as_of in (False, True))
+    return on.union(up_to)
+
+
+def gate_calendar(spark, sf_dir):
+    """Customers by segment as sets of prerequisites, on every day that has an event."""
+    log, tasks = versioned_log(spark, sf_dir), customer_tasks(spark, sf_dir).select("c_mktsegment", "log_task_id", "allowed_status")
+    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("ref_date"), F.explode(F.array(*[F.lit(s) for s in SEGMENTS])).alias("c_mktsegment"))
+    on, up_to = (
+        gate.gate_calendar(log, tasks, days, ["c_mktsegment"], as_of).withColumn("as_of", F.lit(as_of)) for as_of in (False, True)
+    )
+    return on.union(up_to)
+
+
 def gate_faults(spark, sf_dir):
     """Customers as prerequisites of which some have no task id, no list, or a list with a null in it."""
     key = F.col("c_custkey")
@@ -551,7 +680,7 @@ def stream_ingest(spark, sf_dir):
             start_ingest(
                 spark, root, target, checkpoint, RUN_DAY, file_prefix="part-", files_per_batch=files_per_batch
             ).awaitTermination()
-        loaded.append(prelog.read_loaded(spark, target).withColumn("files_per_batch", F.lit(files_per_batch)))
+        loaded.append(read_loaded(spark, target).withColumn("files_per_batch", F.lit(files_per_batch)))
     return loaded[0].unionByName(loaded[1]).select(
         "files_per_batch",
         F.col("REFERENCE_ID").cast("bigint").alias("event_id"),
@@ -564,6 +693,46 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+def stream_corrections(spark, sf_dir):
+    """Events in eight drop files of which some are corrected, emptied, and filled again under their names.
+
+    Each state of the landing area is followed by a start of the stream, in batches of many files and of one.
+    """
+    events = table(spark, sf_dir, "events")
+    place, key = F.pmod("event_id", F.lit(8)), F.col("event_id")
+    line = as_line(event_fields()).alias("value")
+
+    def drops(root: str, state: str, kept: Column, files: Sequence[int]) -> None:
+        part = events.filter(place.isin(list(files)) & kept).select(line, place.alias("file"))
+        part.repartition("file").write.mode("overwrite").partitionBy("file").text(f"{root}.{state}")
+        for n in files:
+            path = f"{root}/2024-01-31/F240131{chr(65 + n)}.TXT"
+            storage.remove(spark, path)
+            source = f"{root}.{state}/file={n}"
+            parts = [e for e in storage.listing(spark, source)] if storage.exists(spark, source) else []
+            found = [e for e in parts if e.name.startswith("part-")]
+            if found:
+                storage.move_into(spark, found[0].path, path)
+            else:
+                storage.create_empty(spark, path)
+
+    loaded = []
+    for files_per_batch in (1000, 1):
+        root, target, checkpoint = (work_folder(spark, name) for name in ("corrected", "table", "progress"))
+        states = (
+            ("first", key % 2 == 0, range(8)),
+            ("corrected", key % 3 == 0, [1, 2, 4]),
+            ("emptied", F.lit(False), [2, 3]),
+            ("refilled", key % 5 == 0, [3]),
+        )
+        for state, kept, files in states:
+            drops(root, state, kept, files)
+            start_ingest(spark, root, target, checkpoint, RUN_DAY, files_per_batch=files_per_batch).awaitTermination()
+        loaded.append(read_loaded(spark, target).withColumn("files_per_batch", F.lit(files_per_batch)))
+    rows = loaded[0].unionByName(loaded[1])
+    return rows.select("files_per_batch", "file_name", F.col("REFERENCE_ID").cast("bigint").alias("event_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_folders": landing_folders,
     "latest_folder": latest_folder,
@@ -582,6 +751,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_replace_files": keyed_replace_files,
     "keyed_replace_emptied": keyed_replace_emptied,
     "load_counts": load_counts,
+    "reconcile_per_file": reconcile_per_file,
     "run_outcomes": run_outcomes,
     "null_sentinel": null_sentinel,
     "report_dates": report_dates,
@@ -589,12 +759,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strict_int": strict_int_cast,
     "lenient_numeric": lenient_numeric,
     "report_param": report_param,
+    "report_faults": report_faults,
+    "report_checked": report_checked,
     "report_export": report_export,
     "secondary_report": secondary_report,
     "title_semi": title_rows,
     "top_log_rows": top_log_rows,
+    "log_row_list": log_row_list,
     "log_current_state": log_current_state,
     "log_append": log_append,
+    "log_upkeep": log_upkeep,
     "latest_status": latest_status,
     "latest_status_as_of": latest_status_as_of,
     "missing_fields": missing_fields,
@@ -603,6 +777,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_total": gate_total,
     "task_gate": task_gate,
     "gate_faults": gate_faults,
+    "latest_status_versions": latest_status_versions,
+    "gate_calendar": gate_calendar,
     "holiday_flag": holiday_flag,
     "stream_ingest": stream_ingest,
+    "stream_corrections": stream_corrections,
 }

@@ -23,6 +23,19 @@ _GATE_ROWS = f"""
     FROM customer LEFT JOIN ({_AS_OF}) s ON s.log_task_id = c_custkey
 """
 
+# without the rows that a later version of the same log row replaces
+_CURRENT = f"""
+    SELECT user_id, ts, event_id, {_STATUS} AS status FROM events
+    WHERE (event_id + 1) % 5 <> 0 OR event_id + 1 NOT IN (SELECT event_id FROM events)
+"""
+
+_FAULTY = """
+    SELECT o_orderkey, o_orderdate, o_orderstatus AS clerk, o_custkey AS price,
+           CASE WHEN o_orderkey % 11 = 0 THEN '30/02/2024' WHEN o_orderkey % 13 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
+           CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey || '.5' WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS slots
+    FROM orders
+"""
+
 _NONBLANK = (
     r"[^\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
@@ -99,6 +112,18 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT DATE '2024-02-26', 'success', count(*), count(*), count(*) FROM orders
     """,
+    "reconcile_per_file": """
+        WITH files AS (
+            SELECT event_type, count(*) AS n, count(*) FILTER (WHERE event_id % 7 = 0) AS odd FROM events GROUP BY event_type
+        ), counts AS (
+            SELECT event_type, n + CASE WHEN event_type = 'click' THEN odd ELSE 0 END AS rows,
+                   n + CASE WHEN event_type = 'view' THEN odd ELSE 0 END AS nonblank_lines,
+                   CASE WHEN event_type = 'view' THEN odd ELSE 0 END AS short_rows FROM files
+        )
+        SELECT *, rows = nonblank_lines AS matched, bool_and(rows = nonblank_lines) OVER () AS load_matched,
+               count(*) FILTER (WHERE rows <> nonblank_lines) OVER () AS mismatched_files
+        FROM counts
+    """,
     "keyed_replace_emptied": """
         SELECT 'F240223F' AS file_name, count(*) FILTER (WHERE o_orderstatus = 'F') AS rows, 2 AS empty_files, 0 AS loaded_rows,
                count(*) FILTER (WHERE o_orderstatus IN ('O', 'P')) AS replaced_rows
@@ -146,6 +171,17 @@ ORACLE_SQL: dict[str, str] = {
                CAST(l_quantity AS BIGINT) AS l_quantity, l_extendedprice
         FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate >= DATE '1997-01-01'
     """,
+    "report_faults": f"""
+        SELECT o_orderkey, 'day' AS column, day AS value, CASE WHEN day IS NULL THEN 'null' ELSE 'not a date' END AS reason
+        FROM ({_FAULTY}) WHERE day IS NULL OR day LIKE '%/%'
+        UNION ALL
+        SELECT o_orderkey, 'slots', slots, CASE WHEN slots IS NULL THEN 'null' ELSE 'not a whole number' END
+        FROM ({_FAULTY}) WHERE slots IS NULL OR slots LIKE '%.%'
+    """,
+    "report_checked": f"""
+        SELECT o_orderkey, CASE WHEN day NOT LIKE '%/%' THEN strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') END AS day, clerk,
+               CASE WHEN slots NOT LIKE '%.%' THEN o_orderkey END AS slots, price FROM ({_FAULTY})
+    """,
     "secondary_report": """
         SELECT 'F240223B' AS file_name, '26/02/2024' AS import_date,
                strftime(o_orderdate, '%d/%m/%Y') AS TX_DATE,
@@ -158,6 +194,9 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "title_semi": "SELECT p_partkey, p_name FROM part WHERE p_name IN ('red plate', 'small widget', 'hot ring')",
     "top_log_rows": "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 10",
+    "log_row_list": """
+        SELECT event_id, ts, value FROM events WHERE event_type = 'error' AND user_id <= 1000 ORDER BY ts DESC, event_id DESC LIMIT 20
+    """,
     "log_current_state": f"""
         SELECT CAST(user_id AS VARCHAR) AS log_id, user_id AS log_task_id,
                arg_max({_STATUS}, (ts, event_id)) AS status_flag,
@@ -170,6 +209,11 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN event_type = 'error' THEN 'error again' ELSE event_type END AS log_msg
         FROM events
     """,
+    "log_upkeep": f"""
+        SELECT CAST(event_id AS VARCHAR) AS log_id, CAST(user_id AS INTEGER) AS log_task_id,
+               CASE WHEN event_id % 3 = 0 THEN 2 ELSE {_STATUS} END AS status_flag, 1 AS versions, true AS few_files
+        FROM events
+    """,
     "latest_status": f"""
         SELECT user_id AS log_task_id, arg_max({_STATUS}, (ts, event_id)) AS status
         FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15' GROUP BY user_id
@@ -191,12 +235,43 @@ ORACLE_SQL: dict[str, str] = {
                     ELSE coalesce(status, -1) IN (-1, 1, 3) END AS passed
         FROM customer LEFT JOIN ({_AS_OF}) s ON s.log_task_id = c_custkey
     """,
+    "latest_status_versions": f"""
+        SELECT user_id AS log_task_id, arg_max(status, (ts, event_id)) AS status, as_of
+        FROM ({_CURRENT}), (VALUES (false), (true)) AS kinds(as_of)
+        WHERE CAST(ts AS DATE) <= DATE '2024-01-15' AND (as_of OR CAST(ts AS DATE) = DATE '2024-01-15')
+        GROUP BY user_id, as_of
+    """,
+    "gate_calendar": f"""
+        WITH statuses AS (
+            SELECT user_id, CAST(ts AS DATE) AS day, arg_max(status, (ts, event_id)) AS status FROM ({_CURRENT}) GROUP BY ALL
+        ), days AS (
+            SELECT DISTINCT CAST(ts AS DATE) AS ref_date FROM events
+        ), per_task AS (
+            SELECT c_mktsegment, c_custkey, ref_date, as_of,
+                   coalesce(arg_max(status, day), -1) AS status
+            FROM customer CROSS JOIN days CROSS JOIN (VALUES (false), (true)) AS kinds(as_of)
+            LEFT JOIN statuses ON user_id = c_custkey AND day <= ref_date AND (as_of OR day = ref_date)
+            GROUP BY ALL
+        ), sets AS (
+            SELECT c_mktsegment, ref_date, as_of, count(*) AS tasks, count(*) FILTER (WHERE CASE c_mktsegment
+                WHEN 'HOUSEHOLD' THEN status = 1 WHEN 'MACHINERY' THEN status IN (1, 3) ELSE status IN (-1, 1, 3) END) AS passing
+            FROM per_task GROUP BY ALL
+        )
+        SELECT c_mktsegment, ref_date, as_of, tasks, passing, tasks = passing AS passed FROM sets
+        UNION ALL SELECT 'none', ref_date, as_of, 0, 0, true FROM days, (VALUES (false), (true)) AS kinds(as_of)
+    """,
     "holiday_flag": """
         SELECT event_id, CAST(ts AS DATE) AS day,
                CAST(ts AS DATE) IN (DATE '2024-01-01', DATE '2024-01-25') OR dayofweek(ts) IN (0, 6) AS is_holiday,
                CAST(ts AS DATE) IN (DATE '2024-01-01', DATE '2024-01-25') AS is_listed
         FROM events
     """,
+    "stream_corrections": """
+        SELECT n AS files_per_batch, 'F240131' || chr(CAST(65 + event_id % 8 AS INTEGER)) AS file_name, event_id
+        FROM events, (VALUES (1::INTEGER), (1000::INTEGER)) AS batches(n)
+        WHERE CASE WHEN event_id % 8 IN (1, 4) THEN event_id % 3 = 0 WHEN event_id % 8 = 2 THEN false
+                   WHEN event_id % 8 = 3 THEN event_id % 5 = 0 ELSE event_id % 2 = 0 END
+    """,
     "stream_ingest": """
         SELECT CAST(n AS INTEGER) AS files_per_batch, event_id, user_id, event_type, CAST(ts AS DATE) AS day,
                strftime(ts, '%H%M') AS start_time, props, value

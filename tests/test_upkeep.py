@@ -1,0 +1,89 @@
+"""Few files instead of many, with the same content."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import programme, write_drop
+
+from slotmill.operators import runlog
+from slotmill.plans import upkeep
+from slotmill.plans.audit import SUCCESS, read_audit, record_run
+from slotmill.plans.ingest import load_files
+from slotmill.sources import storage
+from slotmill.sources.loaded import read_loaded, read_register
+
+DAY = date(2024, 2, 26)
+NOON = datetime(2024, 2, 26, 12)
+
+
+def rows_of(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def files_in(folder):
+    return len(list(folder.glob("*.parquet")))
+
+
+@pytest.mark.parametrize("drop", [False, True])
+def test_a_log_of_single_appends(spark, tmp_path, drop):
+    path = str(tmp_path / "task_log")
+    for n in range(12):
+        _, log_id = runlog.append_log(spark, path, n % 3, 1 + n % 3, f"m{n}", NOON + timedelta(minutes=n))
+        if n % 4 == 0:
+            runlog.update_log(spark, path, log_id, n % 3, 1, "later", NOON + timedelta(days=n % 2, hours=-2))
+    log = runlog.read_log(spark, path)
+    before, current, status = rows_of(log), rows_of(runlog.current_log(log)), rows_of(runlog.latest_status(log, DAY))
+    assert upkeep.compact_log(spark, path, DAY) == 0, "the day is not over"
+    assert upkeep.compact_log(spark, path, DAY + timedelta(days=1), most_files=3, drop_superseded=drop) > 10
+    log = runlog.read_log(spark, path)
+    assert files_in(tmp_path / "task_log" / f"event_date={DAY}") <= 3
+    assert rows_of(runlog.current_log(log)) == current and rows_of(runlog.latest_status(log, DAY)) == status
+    assert rows_of(log) == before if not drop else log.count() == 12
+    assert upkeep.compact_log(spark, path, DAY + timedelta(days=1), most_files=3) == 0
+
+
+def test_a_stop_between_writing_and_removing_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "task_log")
+    for n in range(6):
+        runlog.append_log(spark, path, n, 1, "a", NOON)
+    current = rows_of(runlog.current_log(runlog.read_log(spark, path)))
+    real = storage.remove
+
+    def stop(session, place):
+        if place.endswith(".parquet"):
+            raise OSError("stopped")
+        real(session, place)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upkeep.storage, "remove", stop)
+        with pytest.raises(OSError):
+            upkeep.compact_log(spark, path, date(2100, 1, 1), most_files=2)
+    assert rows_of(runlog.current_log(runlog.read_log(spark, path))) == current
+    upkeep.compact_log(spark, path, date(2100, 1, 1), most_files=2, drop_superseded=True)
+    assert rows_of(runlog.current_log(runlog.read_log(spark, path))) == current
+
+
+def test_run_records(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    for n in range(9):
+        record_run(spark, path, DAY, SUCCESS, message=str(n), run_id=f"run-{n % 6}")
+    before = rows_of(read_audit(spark, path))
+    assert upkeep.compact_audit(spark, path, most_files=4) == 9
+    assert rows_of(read_audit(spark, path)) == before and len(before) == 6
+    assert files_in(tmp_path / "audit") == 1 and spark.read.parquet(path).count() == 6
+
+
+def test_register_and_replaced_loads(spark, tmp_path):
+    target = str(tmp_path / "prelog")
+    for n in range(5):
+        paths = [write_drop(tmp_path, "d", f"F240223{v}.TXT", [programme(i) for i in range(n + 1)]) for v in "AB"]
+        load_files(spark, paths if n else paths[:1], target, DAY)
+    (tmp_path / "prelog" / f"import_date={DAY}" / "load=never" / "file_name=X").mkdir(parents=True)
+    table, register = rows_of(read_loaded(spark, target)), rows_of(read_register(spark, target))
+    assert upkeep.remove_unused_loads(spark, target, DAY) == 0, "all are too young"
+    assert upkeep.remove_unused_loads(spark, target, DAY, hours=0) == 3
+    assert upkeep.compact_register(spark, target, most_files=2) == 5
+    assert rows_of(read_loaded(spark, target)) == table and rows_of(read_register(spark, target)) == register
+    assert len(list((tmp_path / "prelog" / f"import_date={DAY}").glob("load=*/file_name=*/*.parquet"))) == 2
+    assert load_files(spark, paths, target, DAY).replaced_rows == 10
+    assert upkeep.compact_register(spark, str(tmp_path / "nothing")) == 0
