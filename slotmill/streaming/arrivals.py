@@ -74,9 +74,11 @@ def note_arrivals(
         named = candidate_files(found.withColumn("file", base_name(F.col("path"))), file_prefix).drop("file")
         known = spark.read.schema(ARRIVAL_SCHEMA).parquet(notes)
         new = named.join(known, ["path", "modified", "length"], "left_anti")
-        # newest folders first, as far as a batch goes; the result does not depend on it
-        ordered = new.orderBy(F.desc(parent_name(F.col("path"))), "path")
-        ordered.write.mode("append").option("maxRecordsPerFile", files_per_batch).parquet(notes)
+        count = new.count()
+        if count:
+            # a note holds neighbours; the result does not depend on it
+            parts = new.repartitionByRange(-(-count // files_per_batch), F.desc(parent_name(F.col("path"))), "path")
+            parts.write.mode("append").option("maxRecordsPerFile", files_per_batch).parquet(notes)
     finally:
         storage.remove(spark, listed)
     return notes

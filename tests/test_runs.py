@@ -185,9 +185,11 @@ def test_nothing_is_noted_twice(spark, places, tmp_path, monkeypatch):
     checkpoint = str(tmp_path / "progress")
     for n in range(5):
         write_drop(places["root"], "2024-02-26", f"F24022{n}A.TXT", [programme(1)])
-    for expected in (3, 3):
+    written = []
+    for _ in range(2):
         notes = arrivals.note_arrivals(spark, places["root"], checkpoint, files_per_batch=2)
-        assert len(list((tmp_path / "progress" / "arrivals").glob("part-*"))) == expected
+        written.append(sorted((tmp_path / "progress" / "arrivals").glob("part-*")))
+    assert written[0] == written[1] and all(spark.read.parquet(str(note)).count() <= 2 for note in written[0])
     found = spark.read.parquet(notes)
     assert found.count() == 5 and found.select("path").distinct().count() == 5
 
