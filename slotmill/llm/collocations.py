@@ -21,7 +21,6 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -304,31 +303,34 @@ def vertical_groups(suffixes: DataFrame, budget: int) -> DataFrame:
     return deep.join(groups, ["lang", "prefix"]).drop("prefix")
 
 
-def subtree_counts(frame: pd.DataFrame, min_count: int) -> pd.DataFrame:
+def subtree_counts(leaves: pa.Table, min_count: int) -> pa.Table:
     """(lang, phrase, f) of the nodes of a group's subtrees: those frequent enough, and those above a prefix's depth.
 
-    The rows (lang, phrase, f, depth) are put in the order of a walk through the tree. A node of some depth
-    is a run of rows that agree so far, and its count is the total of their leaves. A node above the depth
-    of its prefix may have leaves in other groups, so it is handed on whatever its count.
+    The leaves (lang, phrase, f, depth) are put in the order of a walk through the tree. A node of some depth
+    is a run of leaves that agree so far, and its count is their total. A node above the depth of its prefix
+    may have leaves in other groups, so it is handed on whatever its count.
     """
-    paths = [phrase.split(" ") for phrase in frame["phrase"]]
+    langs, paths = leaves.column("lang").to_pylist(), [phrase.split(" ") for phrase in leaves.column("phrase").to_pylist()]
     numbers: dict[str, int] = {}
     codes = np.full((len(paths), DEPTH + 1), -1, np.int64)
-    codes[:, 0] = [numbers.setdefault(lang, len(numbers)) for lang in frame["lang"]]
+    codes[:, 0] = [numbers.setdefault(lang, len(numbers)) for lang in langs]
     for row, path in enumerate(paths):
         codes[row, 1 : len(path) + 1] = [numbers.setdefault(word, len(numbers)) for word in path]
     order = np.lexsort(codes.T[::-1])
-    codes, leaves, depths = codes[order], frame["f"].to_numpy()[order], frame["depth"].to_numpy()[order]
+    codes, counts, depths = codes[order], leaves.column("f").to_numpy()[order], leaves.column("depth").to_numpy()[order]
     turns = np.cumsum(codes[1:] != codes[:-1], axis=1) > 0
-    langs, out = frame["lang"].to_numpy()[order], []
+    found: tuple[list, list, list] = ([], [], [])
     for depth in range(2, DEPTH + 1):
         first = np.flatnonzero(np.concatenate([[True], turns[:, depth]]))
-        f = np.add.reduceat(leaves, first)
+        f = np.add.reduceat(counts, first)
         node = codes[first, depth] >= 0
         node &= (f >= min_count) | (np.maximum.reduceat(depths, first) > depth)
-        phrase = [" ".join(paths[order[i]][:depth]) for i in first[node]]
-        out.append(pd.DataFrame({"lang": langs[first[node]], "phrase": phrase, "f": f[node]}))
-    return pd.concat(out)
+        at = order[first[node]].tolist()
+        found[0].extend(langs[i] for i in at)
+        found[1].extend(" ".join(paths[i][:depth]) for i in at)
+        found[2].extend(f[node].tolist())
+    kinds = {"lang": pa.string(), "phrase": pa.string(), "f": pa.int64()}
+    return pa.Table.from_pydict(dict(zip(kinds, found)), schema=pa.schema(kinds))
 
 
 def phrase_counts(docs: DataFrame, min_count: int, budget: int, held_words: int = HELD_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -341,10 +343,10 @@ def phrase_counts(docs: DataFrame, min_count: int, budget: int, held_words: int
     suffixes = materialise(counted(docs, count_suffixes(pairs_filter), words_filter, held_words), "suffixes")
     grouped = vertical_groups(suffixes, budget).groupBy("lot", "number")
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        return subtree_counts(frame, min_count)
+    def build(leaves: pa.Table) -> pa.Table:
+        return subtree_counts(leaves, min_count)
 
-    nodes = grouped.applyInPandas(build, "lang string, phrase string, f long")
+    nodes = grouped.applyInArrow(build, "lang string, phrase string, f long")
     phrases = nodes.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
     both = frequent.select("lang", "phrase", "f").union(phrases)
     return totals, materialise(both.withColumn("k", F.size(F.split("phrase", " "))), "phrases")
