@@ -28,12 +28,22 @@ from slotmill.plans.claims import CLAIM_HOURS, claimed
 from slotmill.sources import storage
 from slotmill.sources.landing import find_latest_drop
 from slotmill.sources.loaded import REGISTER_SCHEMA, day_folder, read_register, superseded, write_register
-from slotmill.sources.prelog import ROW, flag_counts, line_flags, line_profile, parsed_lines, read_lines, read_prelog
+from slotmill.sources.prelog import (
+    ROW,
+    damaged_lines,
+    flag_counts,
+    line_flags,
+    line_profile,
+    parsed_lines,
+    quote_damage,
+    read_lines,
+    read_prelog,
+)
 
 LOAD_SCHEMA = (
     "file_name string, import_date date, loaded_rows bigint, replaced_rows bigint, nonblank_lines bigint, "
     "short_rows bigint, long_rows bigint, matched boolean, files bigint, empty_files bigint, skipped_files bigint, "
-    "mismatched_files bigint, mismatches string"
+    "mismatched_files bigint, mismatches string, damaged_lines bigint"
 )
 COUNTS = ("rows", "nonblank_lines", "short_rows", "long_rows")
 
@@ -54,6 +64,7 @@ class Load:
     """Counts of one load over all of its files; ``mismatches`` names those whose rows and lines differ, a few of many.
 
     ``matched`` says that no file mismatches. The counts of each file are in the register.
+    ``damaged_lines`` were set aside; they count as lines that are accounted for.
     """
 
     file_name: str
@@ -69,6 +80,7 @@ class Load:
     skipped_files: int = 0
     mismatched_files: int = 0
     mismatches: str | None = None
+    damaged_lines: int = 0
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return one_row(spark, LOAD_SCHEMA, asdict(self))
@@ -139,28 +151,48 @@ def _of_ids(spark: SparkSession, rows: DataFrame, ids: Sequence[str]) -> list:
     return list(rows.join(names, "file_name", "left_semi").toLocalIterator())
 
 
-def _write_counted(
-    spark: SparkSession, files: list[str], staging: str, import_date: date, load: str, one_scan: bool, quote: str, id_length: int | None, strict_dates: bool
-) -> dict[str, dict[str, int]]:
+@dataclass(frozen=True)
+class _Reading:
+    """How the files of a load are read."""
+
+    quote: str
+    id_length: int | None
+    strict: bool
+    strict_dates: bool
+    set_aside: str | None
+
+    @property
+    def one_scan(self) -> bool:
+        return not self.quote and not self.strict
+
+
+def _write_counted(spark: SparkSession, files: list[str], staging: str, import_date: date, load: str, how: _Reading) -> dict[str, dict[str, int]]:
     """Write the rows of all files below ``staging``; returns the counts of each file id."""
     lines = read_lines(spark, files)
-    if one_scan:
+    if how.one_scan:
         flags = line_flags(F.col("value"))
         raw = parsed_lines(lines.withColumn("line_flags", flags).filter("line_flags <> 0"), "line_flags")
     else:
-        raw = read_prelog(spark, files, quote).withColumn("line_flags", F.lit(ROW).cast("tinyint"))
+        sound = how.quote and how.set_aside
+        rows = parsed_lines(lines.filter(~quote_damage(F.col("value"), how.quote)), quote=how.quote) if sound else read_prelog(spark, files, how.quote)
+        raw = rows.withColumn("line_flags", F.lit(ROW).cast("tinyint"))
     # a line that counts as one without being a row is written too, but left behind in the staging folder
     place = F.when(F.col("line_flags").bitwiseAND(ROW) != 0, F.lit(load)).otherwise(f"{load}-lines")
-    rows = type_tx_date(stamp(raw, import_date, id_length=id_length), strict=strict_dates)
+    rows = type_tx_date(stamp(raw, import_date, id_length=how.id_length), strict=how.strict_dates)
     rows.withColumn("load", place).write.partitionBy("import_date", "load", "file_name").parquet(staging)
 
     schema = "line_flags tinyint, import_date date, load string, file_name string"
     written = spark.read.schema(schema).parquet(staging).groupBy("file_name").agg(*flag_counts(F.col("line_flags")))
     counts = {r.file_name: r.asDict() for r in written.toLocalIterator()}
-    if not one_scan:
-        profile = line_profile(lines.withColumn("file_name", file_id(F.col("source_file"), id_length)), by=["file_name"])
-        for row in profile.toLocalIterator():
+    if not how.one_scan:
+        named = lines.withColumn("file_name", file_id(F.col("source_file"), how.id_length))
+        for row in line_profile(named, by=["file_name"]).toLocalIterator():
             counts.setdefault(row.file_name, {"rows": 0}).update({c: row[c] for c in COUNTS[1:]})
+        if sound:
+            aside = f"{how.set_aside}/import_date={import_date.isoformat()}/load={load}"
+            damaged_lines(lines, how.quote).withColumn("file_name", file_id(F.col("source_file"), how.id_length)).write.parquet(aside)
+            for row in spark.read.parquet(aside).groupBy("file_name").count().toLocalIterator():
+                counts[row.file_name]["damaged"] = row["count"]
     return counts
 
 
@@ -177,6 +209,7 @@ def load_files(
     missing: str = "raise",
     owner: str | None = None,
     claim_hours: float = CLAIM_HOURS,
+    set_aside: str | None = None,
 ) -> Load:
     """Load files so that each (import date, file id) holds exactly the rows of this load.
 
@@ -186,38 +219,39 @@ def load_files(
     ``DuplicateFileId``, one that is being loaded by another ``owner`` raises ``FileClaimed``.
     ``skip_older`` is for arrivals in any order: of copies in several day folders the newest counts, and a
     copy from an older folder than the loaded one is passed over.
+    With quoting on, an unbalanced sign shifts the fields behind it. ``set_aside`` names a folder for such
+    lines: they are written there as they are, by import date and load, instead of being loaded.
     The files are read once; with quoting on, and with ``strict``, lines are counted in a second scan.
     """
     found = sources(spark, paths, id_length, missing)
+    how = _Reading(quote, id_length, strict, strict_dates, set_aside)
     seq = time.time_ns()
     load = f"{seq}-{uuid.uuid4().hex[:8]}"
     ids = sorted({s.file_id for s in found})
     with claimed(spark, target, import_date, ids, owner or load, claim_hours):
         known = {r.file_name: r for r in _of_ids(spark, read_register(spark, target, import_date), ids)}
         chosen = _chosen(found, known, skip_older)
-        return _load_claimed(
-            spark, paths, found, chosen, known, target, import_date, seq, load, quote, id_length, strict, strict_dates
-        )
+        return _load_claimed(spark, paths, found, chosen, known, target, import_date, seq, load, how)
 
 
 def _load_claimed(
     spark: SparkSession, paths: Sequence[str], found: list[Source], chosen: list[Source], known: dict, target: str, import_date: date,
-    seq: int, load: str, quote: str, id_length: int | None, strict: bool, strict_dates: bool,
+    seq: int, load: str, how: _Reading,
 ) -> Load:
     staging = f"{target}/_staging-{load}"
-    nothing = dict.fromkeys(COUNTS, 0)
+    nothing = dict.fromkeys([*COUNTS, "damaged"], 0)
     counts: dict[str, dict[str, int]] = {}
     try:
         filled = [storage.literal(s.path) for s in chosen if s.length]
         if filled:
-            counts = _write_counted(spark, filled, staging, import_date, load, not quote and not strict, quote, id_length, strict_dates)
+            counts = _write_counted(spark, filled, staging, import_date, load, how)
         per_file = {s.file_id: nothing | counts.get(s.file_id, {}) for s in chosen}
         empty = sorted(i for i, n in per_file.items() if not n["rows"])
-        wrong = sorted(i for i, n in per_file.items() if n["rows"] != n["nonblank_lines"])
+        wrong = sorted(i for i, n in per_file.items() if n["rows"] + n["damaged"] != n["nonblank_lines"])
         mismatches = "; ".join(f"{i}: {per_file[i]['rows']} rows, {per_file[i]['nonblank_lines']} lines" for i in wrong[:5])
-        if strict and (empty or not chosen):
+        if how.strict and (empty or not chosen):
             raise EmptyLoad(f"no rows in {', '.join(empty[:5]) or paths}; nothing was replaced")
-        if strict and wrong:
+        if how.strict and wrong:
             raise CountMismatch(mismatches)
         if chosen:
             if len(empty) < len(chosen):
@@ -232,6 +266,7 @@ def _load_claimed(
     return Load(
         _label(paths, chosen), import_date, totals["rows"], sum(r.rows for r in replaced), totals["nonblank_lines"], totals["short_rows"],
         totals["long_rows"], not wrong, len(chosen), len(empty), len(found) - len(chosen), len(wrong), mismatches or None,
+        sum(n["damaged"] for n in per_file.values()),
     )
 
 

@@ -275,6 +275,29 @@ def load_counts(spark, sf_dir):
     )
 
 
+def damaged_rows(spark, sf_dir):
+    """Orders as lines with quoted fields, balanced and not; loaded with quoting on, the damaged lines are set aside.
+
+    Both halves come back: what was loaded, and what was set aside with its plain number of fields.
+    """
+    key, fields = F.col("o_orderkey"), order_fields()
+    title = (
+        F.when(key % 10 == 0, F.concat(F.lit('"open '), key))
+        .when(key % 10 == 1, F.concat(F.lit('"closed '), key, F.lit('"')))
+        .when(key % 10 == 2, F.concat(F.lit('in "the middle '), key))
+        .otherwise(F.concat(F.lit("plain "), key))
+    )
+    line = as_line({**fields, "MAIN_TITLE": title})
+    folder, target, aside = (work_folder(spark, name) for name in ("quoted", "quoted_table", "quoted_aside"))
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.mode("overwrite").text(folder)
+    load = load_files(spark, [folder], target, RUN_DAY, quote='"', set_aside=aside)
+    loaded = read_loaded(spark, target).select(F.col("REFERENCE_ID").cast("bigint").alias("o_orderkey"), F.col("MAIN_TITLE").alias("title"), F.lit(None).cast("int").alias("fields"))
+    kept = spark.read.parquet(aside).select(
+        F.split("value", "\t")[20].cast("bigint").alias("o_orderkey"), F.split("value", "\t")[6].alias("title"), F.col("fields").cast("int")
+    )
+    return loaded.union(kept).withColumns({"matched": F.lit(load.matched), "damaged": F.lit(load.damaged_lines).cast("bigint")})
+
+
 def reconcile_per_file(spark, sf_dir):
     """Events by type as drop files: of some, lines that are rows but blank, or lines that are none but not blank.
 
@@ -752,6 +775,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_replace_emptied": keyed_replace_emptied,
     "load_counts": load_counts,
     "reconcile_per_file": reconcile_per_file,
+    "damaged_rows": damaged_rows,
     "run_outcomes": run_outcomes,
     "null_sentinel": null_sentinel,
     "report_dates": report_dates,

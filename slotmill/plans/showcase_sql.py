@@ -112,6 +112,13 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT DATE '2024-02-26', 'success', count(*), count(*), count(*) FROM orders
     """,
+    "damaged_rows": """
+        SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN '"open ' || o_orderkey WHEN 1 THEN 'closed ' || o_orderkey
+                   WHEN 2 THEN 'in "the middle ' || o_orderkey ELSE 'plain ' || o_orderkey END AS title,
+               CASE WHEN o_orderkey % 10 = 0 THEN 25 END::INTEGER AS fields, true AS matched,
+               count(*) FILTER (WHERE o_orderkey % 10 = 0) OVER () AS damaged
+        FROM orders
+    """,
     "reconcile_per_file": """
         WITH files AS (
             SELECT event_type, count(*) AS n, count(*) FILTER (WHERE event_id % 7 = 0) AS odd FROM events GROUP BY event_type

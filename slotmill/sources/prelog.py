@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,17 +51,40 @@ def is_row(line: Column) -> Column:
     return line.rlike(r"[^\x00-\x20]")
 
 
-def parsed_lines(lines: DataFrame, *others: str) -> DataFrame:
+def _fields_of(value: Column, quote: str, corrupt: str | None = None) -> Column:
+    fields = [f"{f.name} string" for f in RAW_SCHEMA.fields] + ([f"{corrupt} string"] if corrupt else [])
+    options = {"sep": "\t", "quote": quote, "mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": corrupt} if corrupt else {})
+    return F.from_csv(value, ", ".join(fields), options)
+
+
+def parsed_lines(lines: DataFrame, *others: str, quote: str = "") -> DataFrame:
     """``read_prelog``'s rows out of ``read_lines``' lines, so that one scan gives both.
 
     With ``others``, further columns of ``lines``, every line is kept, and those that are no row are null.
     """
-    options = {"sep": "\t", "quote": "", "mode": "PERMISSIVE"}
-    row_type = RAW_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
     value = F.when(is_row(F.col("value")), F.col("value"))
     kept = lines if others else lines.filter(is_row(F.col("value")))
-    row = F.from_csv(value, row_type, options)
-    return kept.select(row.alias("_row"), "source_file", *others).select("_row.*", "source_file", *others)
+    return kept.select(_fields_of(value, quote).alias("_row"), "source_file", *others).select("_row.*", "source_file", *others)
+
+
+def quote_damage(line: Column, quote: str = '"', width: int = len(fixed.PRELOG_COLUMNS)) -> Column:
+    """Whether the row reader, when it honours the quote sign, takes other fields from a line than its tabs make.
+
+    A line of the right number of tabs is damaged where the reader finds another number of fields. One of
+    too few or too many is damaged where a field begins with a sign that has no end.
+    """
+    corrupt = "_corrupt"
+    shifted = _fields_of(line, quote, corrupt).getField(corrupt).isNotNull()
+    sign = re.escape(quote)
+    closed = rf"(^|\t){sign}([^{sign}\\]|\\.|{sign}{sign})*{sign}(?=\t|$)"
+    opened = F.regexp_replace(line, closed, "$1").rlike(rf"(^|\t){sign}")
+    return is_row(line) & F.when(field_count(line) == width, shifted).otherwise(opened)
+
+
+def damaged_lines(lines: DataFrame, quote: str = '"') -> DataFrame:
+    """(source_file, value, fields): the lines that quoting damages, whole, with the fields that their tabs make."""
+    value = F.col("value")
+    return lines.filter(quote_damage(value, quote)).select("source_file", "value", field_count(value).alias("fields"))
 
 
 #: what ``line_flags`` says of a line: it is a row, it is not blank, it has too few fields, too many

@@ -8,8 +8,11 @@ from slotmill import fixed
 from slotmill.functions.names import id_text
 from slotmill.operators.reconcile import reconcile
 from slotmill.operators.stamp import stamp, type_tx_date
-from slotmill.plans.ingest import typed_rows
+from slotmill.plans.ingest import load_files, typed_rows
 from slotmill.sources import prelog
+from slotmill.sources.loaded import read_loaded
+
+DAY = date(2024, 2, 26)
 
 LINES = [
     programme(1),
@@ -130,3 +133,25 @@ def test_counting_reads_no_columns(spark, drop):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
     assert len(fixed.PRELOG_COLUMNS) == len(set(fixed.PRELOG_COLUMNS))
+
+
+def test_lines_that_quoting_damages(spark, tmp_path):
+    full = lambda title, **more: programme(1, MAIN_TITLE=title, **more)
+    damaged = [full('"open'), '"short\tx', programme(2) + '\t"long']
+    sound = [full('"closed"'), full('"a "b'), full('in "the middle'), full('end"'), full('"a ""b"" c"'), full(""), "short", '"short"\tx', programme(3) + "\tlong", full('"two"', GENRE='"x"')]
+    path = write_drop(tmp_path, "d", "F240223A.TXT", damaged + sound + [" ", ""])
+    found = prelog.damaged_lines(prelog.read_lines(spark, path))
+    assert {r.value for r in found.collect()} == set(damaged)
+    assert {r.fields for r in found.filter("value LIKE '%open%'").collect()} == {25}
+
+
+def test_damaged_lines_are_set_aside(spark, tmp_path):
+    lines = [programme(1, MAIN_TITLE='"open'), programme(2, MAIN_TITLE='"closed"'), programme(3)]
+    path, clean = write_drop(tmp_path, "d", "F240223A.TXT", lines), write_drop(tmp_path, "d", "F240223B.TXT", lines[1:])
+    target, aside = str(tmp_path / "prelog"), str(tmp_path / "aside")
+    load = load_files(spark, [path, clean], target, DAY, quote='"', set_aside=aside, strict=True)
+    assert (load.loaded_rows, load.nonblank_lines, load.damaged_lines, load.matched) == (4, 5, 1, True)
+    assert [(r.file_name, r.value) for r in spark.read.parquet(aside).select("file_name", "value").collect()] == [("F240223A", lines[0])]
+    assert {r.MAIN_TITLE for r in read_loaded(spark, target).collect()} == {"closed", "Programme 3"}
+    plain = load_files(spark, [path], target, DAY, set_aside=aside)
+    assert (plain.loaded_rows, plain.damaged_lines) == (3, 0)

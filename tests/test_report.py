@@ -11,7 +11,18 @@ from slotmill.functions.numbers import lenient_double, lenient_number, lenient_t
 from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.titles import exclusive_titles, rows_with_titles
 from slotmill.plans.ingest import load_files
-from slotmill.plans.report import ReportSpec, clean_report, export_datasets, main_spec, register_loaded, run_report, secondary_spec
+from slotmill.errors import BadCells
+from slotmill.plans.report import (
+    ReportSpec,
+    checked_report,
+    clean_report,
+    export_checked,
+    export_datasets,
+    main_spec,
+    register_loaded,
+    run_report,
+    secondary_spec,
+)
 from slotmill.sources.prelog import read_prelog
 
 DAY = date(2024, 2, 26)
@@ -140,3 +151,50 @@ def test_export_one_folder_per_dataset(spark, tmp_path):
 def test_empty_strings_survive_the_reader_as_null(spark, tmp_path):
     path = write_drop(tmp_path, "d", "F240223A.TXT", [schedule_row(CHANNEL_ID="1")])
     assert read_prelog(spark, path).first().GENRE is None
+
+
+FAULTY = ReportSpec("faulty", "", ("day",), ("n", "d"), ("mixed",), key_columns=("day", "my key"))
+
+
+def faulty_rows(spark):
+    rows = [
+        ("2024-02-03", "7", 2.0, "0600", 1, "k"), ("NULL", "1.5", 2.5, "x", 2, None), (None, None, None, None, 3, "c"), ("2024-13-01", " 8 ", 1.0, "", 4, "d"),
+    ]
+    return spark.createDataFrame(rows, "day string, n string, d double, mixed string, `my key` int, t string")
+
+
+def test_all_bad_cells_are_listed_and_the_rest_is_clean(spark, tmp_path):
+    checked = checked_report(faulty_rows(spark), FAULTY)
+    with pytest.raises(BadCells, match="7 bad cells in faulty"):
+        export_checked({FAULTY: checked}, str(tmp_path))
+    faults = {(r["my key"], r.day, r.column, r.value, r.reason) for r in spark.read.parquet(f"{tmp_path}/faulty faults").collect()}
+    assert faults == {
+        (2, "NULL", "day", "NULL", "not a date"), (2, "NULL", "n", "1.5", "not a whole number"), (2, "NULL", "d", "2.5", "not a whole number"),
+        (3, None, "day", None, "null"), (3, None, "n", None, "null"), (3, None, "d", None, "null"),
+        (4, "2024-13-01", "day", "2024-13-01", "not a date"),
+    }
+    report = spark.read.parquet(f"{tmp_path}/faulty")
+    assert report.columns == clean_report(faulty_rows(spark), FAULTY).columns
+    rows = {r["my key"]: (r.day, r.n, r.d, r.mixed, r.t) for r in report.collect()}
+    assert rows == {1: ("03/02/2024", 7, 2, "600", "k"), 2: (None, None, None, "x", "NULL"), 3: (None, None, None, "NULL", "c"), 4: (None, 8, 1, "", "d")}
+    sound = faulty_rows(spark).filter("`my key` = 1")
+    same = checked_report(sound, FAULTY).select(clean_report(sound, FAULTY).columns)
+    assert same.collect() == clean_report(sound, FAULTY).collect()
+
+
+def test_kept_nulls_are_no_faults(spark, tmp_path):
+    spec = ReportSpec("kept", "", ("day",), ("n",), on_null="keep")
+    rows = spark.createDataFrame([(None, None), ("2024-01-01", "1")], "day string, n string")
+    folders = export_checked({spec: checked_report(rows, spec)}, str(tmp_path))
+    assert spark.read.parquet(folders["kept faults"]).columns == ["column", "value", "reason"]
+    assert spark.read.parquet(folders["kept faults"]).count() == 0 and spark.read.parquet(folders["kept"]).count() == 2
+    with pytest.raises(ValueError):
+        export_checked({}, str(tmp_path), on_fault="ignore")
+    with pytest.raises(ValueError, match="no column missing"):
+        checked_report(rows, ReportSpec("x", "", key_columns=("missing",)))
+
+
+def test_a_report_without_typed_columns_has_no_faults(spark):
+    spec = ReportSpec("plain", "")
+    checked = checked_report(spark.createDataFrame([("a",)], "t string"), spec)
+    assert checked.first()["_faults"] == []

@@ -6,6 +6,7 @@ import pytest
 from helpers import programme, write_drop
 
 from slotmill import fixed
+from slotmill.errors import BadCells
 from slotmill.plans.audit import read_audit
 from slotmill.plans.report import ReportSpec
 from slotmill.plans.weekly import weekly_run
@@ -51,6 +52,19 @@ def test_other_failures_are_recorded_and_raised(spark, places):
     assert [o[:3] for o in outcomes(spark, places)] == [("error", None, None), ("error", "F240223B", 1)]
 
 
+def test_all_faults_of_a_run_are_written_before_it_fails(spark, places):
+    lines = [programme(1, START_TIME="six"), programme(2), programme(3, LOADING_FACTOR="", SLOT_DURATION="1.5")]
+    write_drop(places["root"], "2024-02-26", "F240223B.TXT", lines)
+    with pytest.raises(BadCells, match="3 bad cells in F240223B"):
+        weekly_run(spark, **places, import_date=DAY, list_faults=True)
+    faults = {(r.column, r.value) for r in spark.read.parquet(f"{places['out']}/F240223B faults").collect()}
+    assert faults == {("START_TIME", "six"), ("LOADING_FACTOR", None), ("SLOT_DURATION", "1.5")}
+    report = spark.read.parquet(f"{places['out']}/F240223B")
+    assert report.count() == 3 and "TX_DATE_DATE" in report.columns
+    assert spark.read.parquet(f"{places['out']}/{fixed.TITLE_DATASET}").count() == 15
+    assert [o[0] for o in outcomes(spark, places)] == ["error"]
+
+
 def test_own_report_specs(spark, places):
     write_drop(places["root"], "2024-02-26", "F240223B.TXT", [programme(1), programme(2, GENRE="News")])
     sql = "SELECT GENRE, MAIN_TITLE FROM prelog WHERE file_name = :file_name AND import_date = :import_date"
