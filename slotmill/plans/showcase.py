@@ -8,6 +8,7 @@ whole tables, and returns a DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
@@ -27,7 +28,7 @@ from slotmill.operators.retype import retype_date_columns
 from slotmill.operators.sizing import gather_by
 from slotmill.operators.stamp import stamp, type_tx_date
 from slotmill.operators.titles import rows_with_titles
-from slotmill.plans import upkeep
+from slotmill.plans import stored, upkeep
 from slotmill.plans.audit import SUCCESS, read_audit, record_run
 from slotmill.plans.ingest import Load, load_files, typed_rows
 from slotmill.plans.report import (
@@ -488,6 +489,22 @@ def report_checked(spark, sf_dir):
     return spark.read.parquet(folders["orders"]).select("o_orderkey", "day", "clerk", "slots", "price")
 
 
+def report_function(spark, sf_dir):
+    """``report_param`` as a stored report, called by name with typed arguments."""
+    view, name = f"lineitem_{uuid.uuid4().hex}", f"by_flag_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView(view)
+    sql = f"""
+        SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, l_extendedprice
+        FROM {view} WHERE l_returnflag = flag AND l_shipdate >= since
+    """
+    try:
+        stored.store_report(spark, name, sql, (stored.Parameter("flag", "STRING"), stored.Parameter("since", "DATE", "DATE'1997-01-01'")))
+        return stored.run_stored(spark, name, LINEITEM_REPORT, {"flag": "R"})
+    finally:
+        stored.drop_report(spark, name)
+        spark.catalog.dropTempView(view)
+
+
 def report_export(spark, sf_dir):
     """Two datasets written out and read back, as counts and sums of each."""
     main, second = report_param(spark, sf_dir), stamped_load(spark, sf_dir)
@@ -785,6 +802,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_param": report_param,
     "report_faults": report_faults,
     "report_checked": report_checked,
+    "report_function": report_function,
     "report_export": report_export,
     "secondary_report": secondary_report,
     "title_semi": title_rows,

@@ -290,3 +290,4 @@ ORACLE_SQL["report_export"] = f"""
     UNION ALL
     SELECT 'second', count(*), sum(o_orderkey), max(file_name) FROM ({ORACLE_SQL["stamped_load"]})
 """
+ORACLE_SQL["report_function"] = ORACLE_SQL["report_param"]
