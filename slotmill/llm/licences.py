@@ -250,8 +250,7 @@ class Scanner:
         possible = held[np.minimum(at + high, len(pairs))] - held[at] >= self.needed[number]
         if n >= TRIMMED:  # a run that begins without a hit is better without its first word
             possible &= hit
-        starts = np.flatnonzero(possible)
-        if not len(starts):
+        if not possible.any():
             return
         # a hit counts in runs that begin after the occurrence which already used up the template's
         spent, seen = np.full(len(pairs), -1), {}
@@ -260,6 +259,11 @@ class Scanner:
             places.append(i)
             if len(places) > count[i]:
                 spent[i] = places[-1 - count[i]]
+        # what the longest run from a start shares: a hit counts for the starts behind the occurrence that it would be too many with
+        hits = np.flatnonzero(hit)
+        turn = np.bincount(np.maximum(np.maximum(spent[hits], hits - high) + 1, 0), minlength=len(pairs) + 1)
+        reach = np.cumsum(turn - np.bincount(hits + 1, minlength=len(pairs) + 1))[: len(pairs)]
+        starts = np.flatnonzero(possible & (reach >= self.needed[number]))
         for a in starts.tolist():
             stop = min(a + high, len(pairs))
             shared = np.cumsum(hit[a:stop] & (spent[a:stop] < a))

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from slotmill.llm import licences as lic
 
 SF = "/root/testdata/sf0.01"
@@ -127,3 +129,36 @@ def test_full_texts_and_headers_within_a_document():
             assert [(f["licence"], round(f["dice"], 9)) for f in found] == [(name, 1.0)], name
     for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC0-1.0", "Unlicense"):
         assert max(len(lic.normal_words(t)) for t in lic.TEMPLATES[name]) > 100
+
+
+def test_words_of_a_template_over_and_over_are_passed_by():
+    """Many hits of few bigrams: no start of a run can reach a template, and none is summed."""
+    import time
+
+    scanner = lic.Scanner(lic.TEMPLATES, 0.8)
+    phrase = " ".join(lic.normal_words(max(lic.TEMPLATES["GPL-3.0"], key=len))[100:107])
+    text = f"{phrase} stop " * 17_500
+    started = time.perf_counter()
+    assert scanner.scan(text) == [] and len(text.split()) == 140_000
+    assert time.perf_counter() - started < 8
+    notice = lic.TEMPLATES["MIT"][2]
+    assert [f["licence"] for f in scanner.scan(f"{phrase} stop " * 2000 + notice + f" {phrase} stop" * 2000)] == ["MIT"]
+
+
+def test_the_reach_of_a_start_is_what_its_longest_run_shares():
+    rng = random.Random(11)
+    for _ in range(25):
+        template = tuple(rng.choices("abcdef", k=rng.randint(25, 40)))
+        scanner = lic.Scanner({"x": (" ".join(template),)}, 0.8)
+        words = rng.choices("abcdefgh", k=rng.randint(30, 120))
+        at = rng.randrange(len(words))
+        words[at:at] = list(template[: rng.randint(20, len(template))])
+        doc = lic.Words(" ".join(words), scanner.known)
+        doc.place()
+        n, _, grams = scanner.rows[0]
+        best = 0.0
+        for a in range(len(words)):
+            for b in range(a + 1, len(words)):
+                best = max(best, lic.dice(lic.bigrams(words[a : b + 1]), grams))
+        found = [value for value, _, _ in scanner._windows(0, doc, 0, len(doc.pairs))]
+        assert (max(found) if found else 0.0) == (pytest.approx(best) if best >= 0.8 - 1e-12 else 0.0)
