@@ -41,3 +41,8 @@ def lenient_double(value: Column) -> Column:
 def lenient_number(value: Column) -> Column:
     """The 64-bit integer behind ``lenient_text``, null where the text is not one."""
     return value.try_cast("bigint")
+
+
+def lenient_variant(value: Column) -> Column:
+    """The value of each cell by itself: a whole number, a number, or text. Null stays null."""
+    return F.coalesce(lenient_number(value).cast("variant"), lenient_double(value).cast("variant"), value.cast("variant"))

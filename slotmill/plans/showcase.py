@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from slotmill import fixed
 from slotmill.functions.dates import display_date, strict_date
-from slotmill.functions.numbers import lenient_double, lenient_number, lenient_text, strict_int
+from slotmill.functions.numbers import lenient_double, lenient_number, lenient_text, lenient_variant, strict_int
 from slotmill.operators import gate, runlog
 from slotmill.operators.calendar import holiday_flags
 from slotmill.operators.reconcile import reconcile as reconcile_files
@@ -439,6 +439,33 @@ def lenient_numeric(spark, sf_dir):
     )
 
 
+def mixed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with text that is a whole number, a fraction, or no number."""
+    key = F.col("p_partkey")
+    mixed = (
+        F.when(key % 5 == 0, F.concat(F.lit("AG"), key))
+        .when(key % 5 == 1, F.concat(key, F.lit(".5")))
+        .when(key % 5 != 2, F.lpad(key.cast("string"), 9, "0"))
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", mixed.alias("mixed"))
+
+
+def lenient_variants(spark, sf_dir):
+    """A mixed column as one value a cell, written and read back, and taken apart by type."""
+    folder = work_folder(spark, "variants")
+    mixed_parts(spark, sf_dir).select("p_partkey", lenient_variant(F.col("mixed")).alias("cell")).write.mode("overwrite").parquet(folder)
+    cells = spark.read.schema("p_partkey bigint, cell variant").parquet(folder)
+    kind = F.schema_of_variant("cell")
+    kind = F.when(kind.startswith("DECIMAL"), "DOUBLE").otherwise(kind)
+    return cells.select(
+        "p_partkey",
+        F.when(F.col("cell").isNotNull(), kind).alias("kind"),
+        F.try_variant_get("cell", "$", "bigint").alias("whole"),
+        F.when(kind != "STRING", F.try_variant_get("cell", "$", "double")).alias("number"),
+        F.try_variant_get("cell", "$", "string").alias("shown"),
+    )
+
+
 LINEITEM_REPORT = ReportSpec(
     name=fixed.MAIN_DATASET,
     sql="""
@@ -799,6 +826,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retype_dates": retype_dates,
     "strict_int": strict_int_cast,
     "lenient_numeric": lenient_numeric,
+    "lenient_variant": lenient_variants,
     "report_param": report_param,
     "report_faults": report_faults,
     "report_checked": report_checked,

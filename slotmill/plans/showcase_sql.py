@@ -173,6 +173,13 @@ ORACLE_SQL: dict[str, str] = {
                         WHEN 3 THEN '9' || lpad(CAST(p_partkey AS VARCHAR), 20, '0')
                         ELSE lpad(CAST(p_partkey AS VARCHAR), 12, '0') END AS t FROM part))
     """,
+    "lenient_variant": """
+        SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'STRING' WHEN 1 THEN 'DOUBLE' WHEN 2 THEN NULL ELSE 'BIGINT' END AS kind,
+               CASE WHEN p_partkey % 5 = 1 THEN p_partkey WHEN p_partkey % 5 IN (3, 4) THEN p_partkey END AS whole,
+               CASE WHEN p_partkey % 5 = 1 THEN p_partkey + 0.5::DOUBLE WHEN p_partkey % 5 IN (3, 4) THEN p_partkey::DOUBLE END AS number,
+               CASE p_partkey % 5 WHEN 0 THEN 'AG' || p_partkey WHEN 1 THEN p_partkey || '.5' WHEN 2 THEN NULL ELSE p_partkey::VARCHAR END AS shown
+        FROM part
+    """,
     "report_param": """
         SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%d/%m/%Y') AS l_shipdate,
                CAST(l_quantity AS BIGINT) AS l_quantity, l_extendedprice
