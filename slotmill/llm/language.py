@@ -181,13 +181,18 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
 
 
 def in_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows whose language is determined and not ambiguous, with their columns as they are."""
+    """The rows whose language is determined and not ambiguous, with their columns as they are.
+
+    Null and empty texts and those without a letter go; so does a text between two languages that are about
+    as likely. Repeated rows stay or go together, ids and other columns are not looked at and may have any
+    names, long texts are read whole, and an empty table stays empty.
+    """
     name = fresh_name(docs, "_language")
     return with_language(docs, model, text_col, name).filter(~F.col(f"{name}.ambiguous")).select(docs.columns)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """Rows that may be learned from: crc32 of the id modulo 4 is not 2."""
+    """Rows that may be learned from: crc32 of the id modulo 4 is not 2. A null id is of no fold, so its row is left out."""
     return docs.filter(fold(F.col("doc_id"), 4) != 2)
 
 

@@ -207,7 +207,12 @@ def judged(
 
 
 def well_made(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns as they are."""
+    """The rows of ``docs`` that pass, with their columns as they are.
+
+    Null and empty texts and all of fewer than fifty words fail the base rules and go. Repeated rows stay or go
+    together, and each counts where accuracies are estimated; at a posterior of just the threshold a row stays.
+    Ids and other columns are not looked at and may have any names; an empty table stays empty.
+    """
     name = fresh_name(docs, "_quality")
     return judged(docs, text_col, name=name, **options).filter(F.col(f"{name}.kept")).select(docs.columns)
 
