@@ -611,7 +611,7 @@ def log_append(spark, sf_dir):
 
 
 def log_upkeep(spark, sf_dir):
-    """Events appended in forty pieces, and again as newer versions of some; compacted, the log says the same in few files."""
+    """Events appended in a dozen pieces, and again as newer versions of some; compacted, the log says the same in few files."""
     path = work_folder(spark, "upkeep")
     rows = event_log(spark, sf_dir).select(
         F.col("seq").cast("string").alias("log_id"),
@@ -622,8 +622,8 @@ def log_upkeep(spark, sf_dir):
         F.col("seq").alias("seq"),
     )
     newer = rows.filter("seq % 3 = 0").withColumns({"status_flag": F.lit(2), "seq": F.col("seq") + 10_000_000_000})
-    runlog.append_versions(rows.repartition(40), path)
-    runlog.append_versions(newer.repartition(20), path)
+    runlog.append_versions(rows.repartition(12), path)
+    runlog.append_versions(newer.repartition(6), path)
     upkeep.compact_log(spark, path, date(2100, 1, 1), most_files=4, drop_superseded=True)
     most = max(sum(e.name.endswith(".parquet") for e in storage.listing(spark, f"{path}/{name}")) for name, is_folder in storage.entries(spark, path) if is_folder)
     log = runlog.read_log(spark, path)
