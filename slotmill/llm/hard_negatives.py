@@ -37,7 +37,7 @@ SHELF_ROWS = 16 * BLOCK_ROWS
 #: zone maps that one task holds at a time
 ZONES = 1024
 #: rows that the axes of the curve are fitted on; they do not change a result
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 5_000
 #: axes of the curve and bits of each
 AXES, BITS = 8, 7
 #: ranges of the curve that parts are made within
@@ -359,7 +359,8 @@ def hard_negatives(
     """
     rows = usable(vectors, id_col, F.col("label") if label is None else label, vector_col)
     sample = bounded_sample(rows, sample_rows, F.col("id"))
-    key = curve_key([np.array(r.vector, np.float64) for r in sample.select("vector").collect()])
+    column = sample.select("vector").toArrow().column("vector")
+    key = curve_key([np.asarray(v.values, np.float64) for chunk in column.chunks for v in chunk])
     keyed = materialise(rows.withColumns({"key": key(F.col("vector")), "uid": F.monotonically_increasing_id()}), "keyed")
     anchors = keyed.filter(is_anchor)
     count = anchors.count()
