@@ -761,12 +761,12 @@ def stream_ingest(spark, sf_dir):
 
 
 def stream_corrections(spark, sf_dir):
-    """Events in eight drop files of which some are corrected, emptied, and filled again under their names.
+    """Events in four drop files of which some are corrected, emptied, and filled again under their names.
 
     Each state of the landing area is followed by a start of the stream, in batches of many files and of one.
     """
     events = table(spark, sf_dir, "events")
-    place, key = F.pmod("event_id", F.lit(8)), F.col("event_id")
+    place, key = F.pmod("event_id", F.lit(4)), F.col("event_id")
     line = as_line(event_fields()).alias("value")
 
     def drops(root: str, state: str, kept: Column, files: Sequence[int]) -> None:
@@ -787,8 +787,8 @@ def stream_corrections(spark, sf_dir):
     for files_per_batch in (1000, 1):
         root, target, checkpoint = (work_folder(spark, name) for name in ("corrected", "table", "progress"))
         states = (
-            ("first", key % 2 == 0, range(8)),
-            ("corrected", key % 3 == 0, [1, 2, 4]),
+            ("first", key % 7 != 0, range(4)),
+            ("corrected", key % 3 == 0, [1, 2]),
             ("emptied", F.lit(False), [2, 3]),
             ("refilled", key % 5 == 0, [3]),
         )

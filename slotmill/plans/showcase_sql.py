@@ -281,10 +281,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM events
     """,
     "stream_corrections": """
-        SELECT n AS files_per_batch, 'F240131' || chr(CAST(65 + event_id % 8 AS INTEGER)) AS file_name, event_id
+        SELECT n AS files_per_batch, 'F240131' || chr(CAST(65 + event_id % 4 AS INTEGER)) AS file_name, event_id
         FROM events, (VALUES (1::INTEGER), (1000::INTEGER)) AS batches(n)
-        WHERE CASE WHEN event_id % 8 IN (1, 4) THEN event_id % 3 = 0 WHEN event_id % 8 = 2 THEN false
-                   WHEN event_id % 8 = 3 THEN event_id % 5 = 0 ELSE event_id % 2 = 0 END
+        WHERE CASE event_id % 4 WHEN 1 THEN event_id % 3 = 0 WHEN 2 THEN false WHEN 3 THEN event_id % 5 = 0
+                   ELSE event_id % 7 <> 0 END
     """,
     "stream_ingest": """
         SELECT CAST(n AS INTEGER) AS files_per_batch, event_id, user_id, event_type, CAST(ts AS DATE) AS day,
