@@ -50,13 +50,14 @@ COUNTS = ("rows", "nonblank_lines", "short_rows", "long_rows")
 
 @dataclass(frozen=True)
 class Source:
-    """One file of a load."""
+    """One file of a load; ``files`` are its path, or those of its parts."""
 
     path: str
     name: str
     file_id: str
     folder: date | None
     length: int
+    files: tuple[str, ...]
 
 
 @dataclass(frozen=True)
@@ -106,26 +107,36 @@ def _folder_day(path: str) -> date | None:
         return None
 
 
-def sources(spark: SparkSession, paths: Sequence[str], id_length: int | None = None, missing: str = "raise") -> list[Source]:
+def _is_hidden(name: str) -> bool:
+    return name.startswith(("_", "."))
+
+
+def sources(
+    spark: SparkSession, paths: Sequence[str], id_length: int | None = None, missing: str = "raise", parts: bool = False
+) -> list[Source]:
     """The files that ``paths`` (files or folders, not patterns) name, those without content included.
 
-    A path that is not there raises, or is passed over with ``missing="skip"``.
+    A path that is not there raises, or is passed over with ``missing="skip"``. With ``parts`` every path
+    is a folder and one file, whose parts are the files directly in it.
     """
-    def of(path: str) -> list[storage.Entry]:
+    def of(path: str) -> list[Source]:
         try:
-            return storage.listing(spark, path)
+            entries = storage.listing(spark, path)
         except FileNotFoundError:
             if missing == "raise":
                 raise
             return []
+        files = [e for e in entries if not e.is_folder and not _is_hidden(e.name)]
+        if not parts:
+            return [Source(e.path, e.name, id_text(e.name, id_length), _folder_day(e.path), e.length, (e.path,)) for e in files]
+        if not storage.is_folder(spark, path):
+            raise NotADirectoryError(path)
+        name, filled = path.rstrip("/").rsplit("/", 1)[-1], [e for e in files if e.length]
+        length = sum(e.length for e in filled)
+        return [Source(path, name, id_text(name, id_length), _folder_day(path), length, tuple(e.path for e in filled))]
 
     with ThreadPoolExecutor(storage.THREADS) as pool:
-        found = [e for entries in pool.map(of, paths) for e in entries]
-    return [
-        Source(e.path, e.name, id_text(e.name, id_length), _folder_day(e.path), e.length)
-        for e in found
-        if not e.is_folder and not e.name.startswith(("_", "."))
-    ]
+        return [source for found in pool.map(of, paths) for source in found if not _is_hidden(source.name)]
 
 
 def _chosen(found: list[Source], known: dict, skip_older: bool) -> list[Source]:
@@ -160,6 +171,7 @@ class _Reading:
     strict: bool
     strict_dates: bool
     set_aside: str | None
+    parts: bool = False
 
     @property
     def one_scan(self) -> bool:
@@ -168,13 +180,13 @@ class _Reading:
 
 def _write_counted(spark: SparkSession, files: list[str], staging: str, import_date: date, load: str, how: _Reading) -> dict[str, dict[str, int]]:
     """Write the rows of all files below ``staging``; returns the counts of each file id."""
-    lines = read_lines(spark, files)
+    lines = read_lines(spark, files, how.parts)
     if how.one_scan:
         flags = line_flags(F.col("value"))
         raw = parsed_lines(lines.withColumn("line_flags", flags).filter("line_flags <> 0"), "line_flags")
     else:
         sound = how.quote and how.set_aside
-        rows = parsed_lines(lines.filter(~quote_damage(F.col("value"), how.quote)), quote=how.quote) if sound else read_prelog(spark, files, how.quote)
+        rows = parsed_lines(lines.filter(~quote_damage(F.col("value"), how.quote)), quote=how.quote) if sound else read_prelog(spark, files, how.quote, how.parts)
         raw = rows.withColumn("line_flags", F.lit(ROW).cast("tinyint"))
     # a line that counts as one without being a row is written too, but left behind in the staging folder
     place = F.when(F.col("line_flags").bitwiseAND(ROW) != 0, F.lit(load)).otherwise(f"{load}-lines")
@@ -210,6 +222,7 @@ def load_files(
     owner: str | None = None,
     claim_hours: float = CLAIM_HOURS,
     set_aside: str | None = None,
+    parts: bool = False,
 ) -> Load:
     """Load files so that each (import date, file id) holds exactly the rows of this load.
 
@@ -222,9 +235,11 @@ def load_files(
     With quoting on, an unbalanced sign shifts the fields behind it. ``set_aside`` names a folder for such
     lines: they are written there as they are, by import date and load, instead of being loaded.
     The files are read once; with quoting on, and with ``strict``, lines are counted in a second scan.
+    With ``parts`` each path is a folder that holds one file in parts, as many tasks write it, and is named
+    like that file.
     """
-    found = sources(spark, paths, id_length, missing)
-    how = _Reading(quote, id_length, strict, strict_dates, set_aside)
+    found = sources(spark, paths, id_length, missing, parts)
+    how = _Reading(quote, id_length, strict, strict_dates, set_aside, parts)
     seq = time.time_ns()
     load = f"{seq}-{uuid.uuid4().hex[:8]}"
     ids = sorted({s.file_id for s in found})
@@ -242,7 +257,7 @@ def _load_claimed(
     nothing = dict.fromkeys([*COUNTS, "damaged"], 0)
     counts: dict[str, dict[str, int]] = {}
     try:
-        filled = [storage.literal(s.path) for s in chosen if s.length]
+        filled = [storage.literal(file) for s in chosen if s.length for file in s.files]
         if filled:
             counts = _write_counted(spark, filled, staging, import_date, load, how)
         per_file = {s.file_id: nothing | counts.get(s.file_id, {}) for s in chosen}
@@ -293,8 +308,9 @@ def ingest(
     year_prefix: str | None = None,
     file_prefix: str | None = None,
     date_pattern: str = fixed.FILE_DATE_PATTERN,
+    parts: bool = False,
     **load_options,
 ) -> Load:
-    """Load the newest file version of the newest day folder, where it lies."""
-    drop = find_latest_drop(spark, root, year_prefix, file_prefix, date_pattern)
-    return load_files(spark, [drop.path], target, import_date, **load_options)
+    """Load the newest file version of the newest day folder, where it lies; with ``parts`` it may be a file in parts."""
+    drop = find_latest_drop(spark, root, year_prefix, file_prefix, date_pattern, parts=parts)
+    return load_files(spark, [drop.path], target, import_date, parts=drop.in_parts, **load_options)

@@ -313,7 +313,7 @@ def reconcile_per_file(spark, sf_dir):
     )
     target = work_folder(spark, "per_file")
     lines = table(spark, sf_dir, "events").select(kind.alias("kind"), F.explode(extra).alias("value"))
-    load = load_files(spark, _keyed_drops(spark, lines, "kind"), target, RUN_DAY)
+    load = load_files(spark, _keyed_drops(spark, lines, "kind"), target, RUN_DAY, parts=True)
     per_file = read_register(spark, target, RUN_DAY).select("file_name", "rows", "nonblank_lines", "short_rows")
     return per_file.select(
         F.substring_index("file_name", "-", 1).alias("event_type"),
@@ -323,15 +323,14 @@ def reconcile_per_file(spark, sf_dir):
 
 
 def _keyed_drops(spark: SparkSession, lines: DataFrame, key: str) -> list[str]:
-    """``value`` as drop files, one for each key, named after it; every key is written by a task of its own."""
+    """``value`` as drop files in parts, one file for each key, named after it; a hot key is written by several tasks."""
     folder = work_folder(spark, "keyed")
-    lines.repartition(key).write.partitionBy(key).mode("overwrite").text(f"{folder}/parts")
+    gather_by(lines, [key]).write.partitionBy(key).mode("overwrite").text(f"{folder}/parts")
     placed = []
     for entry in storage.listing(spark, f"{folder}/parts"):
         if entry.is_folder and entry.name.startswith(f"{key}="):
-            part = next(e for e in storage.listing(spark, entry.path) if e.name.startswith("part-"))
             placed.append(f"{folder}/drops/{entry.name.removeprefix(f'{key}=')}-A.TXT")
-            storage.move_into(spark, part.path, placed[-1])
+            storage.move_into(spark, entry.path, placed[-1])
     return placed
 
 
@@ -343,14 +342,13 @@ def keyed_replace_emptied(spark, sf_dir):
     kinds = ("F", "O", "P")
     first, second = ({k: f"{root}/{day}/F240223{k}.TXT" for k in kinds} for day in ("2024-02-26", "2024-02-27"))
     for kind in kinds:
-        # folders of part files stand for the drop files; the loads are given the files in them
-        orders.filter(status == kind).select(line.alias("value")).repartition(1).write.mode("overwrite").text(first[kind])
-    names = {k: _as_file(spark, first[k]) for k in kinds}
-    load_files(spark, list(names.values()), target, RUN_DAY)
+        # drop files in parts, so that none of them goes through one task
+        orders.filter(status == kind).select(line.alias("value")).write.mode("overwrite").text(first[kind])
+    load_files(spark, list(first.values()), target, RUN_DAY, parts=True)
     blank = orders.filter(status == "O").select(F.lit(" ").alias("value"))
-    blank.repartition(1).write.mode("overwrite").text(second["O"])
-    storage.create_empty(spark, second["P"])
-    again = load_files(spark, [_as_file(spark, second["O"]), second["P"]], target, RUN_DAY)
+    blank.write.mode("overwrite").text(second["O"])
+    storage.create_empty(spark, f"{second['P']}/part-00000")
+    again = load_files(spark, [second["O"], second["P"]], target, RUN_DAY, parts=True)
     return read_loaded(spark, target).groupBy("file_name").agg(F.count("*").alias("rows")).select(
         "file_name", "rows", F.lit(again.empty_files).alias("empty_files"), F.lit(again.loaded_rows).alias("loaded_rows"),
         F.lit(again.replaced_rows).alias("replaced_rows"),
@@ -381,10 +379,10 @@ def run_outcomes(spark, sf_dir):
         "2024-02-26/F240226A.TXT": orders.select(as_line({**order_fields(), "START_TIME": F.lit("six")}).alias("value")),
     }
     for place, lines in drops.items():
-        lines.repartition(1).write.mode("overwrite").text(f"{root}/{place}")
-        _as_file(spark, f"{root}/{place}")
+        # a drop file in parts, so that it does not go through one task
+        lines.write.mode("overwrite").text(f"{root}/{place}")
         try:
-            weekly_run(spark, **places, import_date=date.fromisoformat(place[:10]))
+            weekly_run(spark, **places, import_date=date.fromisoformat(place[:10]), parts=True)
         except PySparkException:
             pass  # recorded as an error, then raised
     return read_audit(spark, audit).select(

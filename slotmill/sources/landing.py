@@ -22,12 +22,13 @@ from slotmill.sources import storage
 
 @dataclass(frozen=True)
 class Drop:
-    """The file a run works on."""
+    """The file a run works on; one ``in_parts`` is a folder that holds them."""
 
     path: str
     file: str
     file_id: str
     folder: date
+    in_parts: bool = False
 
 
 def landing_entries(spark: SparkSession, root: str) -> DataFrame:
@@ -54,9 +55,12 @@ def latest_folder(folders: DataFrame, year_prefix: str | None = None, by: Sequen
     return kept.groupBy(*by).agg(F.max(day).alias("latest_folder"))
 
 
-def folder_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files directly in one folder, those without content too; contents are not read."""
-    files = [(e.name, e.path, e.length) for e in storage.listing(spark, folder) if not e.is_folder]
+def folder_files(spark: SparkSession, folder: str, parts: bool = False) -> DataFrame:
+    """Files directly in one folder, those without content too; contents are not read.
+
+    With ``parts`` its folders are listed too, each as a file in parts; their ``length`` says nothing.
+    """
+    files = [(e.name, e.path, e.length) for e in storage.listing(spark, folder) if parts or not e.is_folder]
     return spark.createDataFrame(files, "file string, path string, length long")
 
 
@@ -103,14 +107,16 @@ def find_latest_drop(
     file_prefix: str | None = None,
     date_pattern: str = fixed.FILE_DATE_PATTERN,
     id_length: int | None = None,
+    parts: bool = False,
 ) -> Drop:
-    """The newest file of the newest day folder, or ``MissingInput``."""
+    """The newest file of the newest day folder, or ``MissingInput``; with ``parts`` it may be a file in parts."""
     folder = latest_folder(day_folders(landing_entries(spark, root), year_prefix), year_prefix).first()[0]
     if folder is None:
         raise NoDayFolder(f"no day folder{f' starting with {year_prefix}' if year_prefix else ''} in {root}")
     location = f"{root.rstrip('/')}/{folder.isoformat()}"
-    candidates = candidate_files(folder_files(spark, location), file_prefix)
+    candidates = candidate_files(folder_files(spark, location, parts), file_prefix)
     newest = newest_version(candidates, date_pattern=date_pattern).first()[0]
     if newest is None:
         raise MissingInput(f"no {file_prefix or fixed.FILE_PREFIX} file in {location}")
-    return Drop(f"{location}/{newest}", newest, id_text(newest, id_length), folder)
+    path = f"{location}/{newest}"
+    return Drop(path, newest, id_text(newest, id_length), folder, parts and storage.is_folder(spark, path))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotmill import fixed
-from slotmill.functions.names import plain_name
+from slotmill.functions.names import parent_name, plain_name
 from slotmill.functions.text import field_count, is_nonblank
 
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in fixed.PRELOG_COLUMNS])
@@ -24,11 +24,17 @@ PRELOG_SCHEMA = T.StructType(
 )
 
 
-def read_prelog(spark: SparkSession, paths: str | Sequence[str], quote: str = "") -> DataFrame:
+def _source_file(parts: bool) -> Column:
+    """The name on disk of the file that a row is from; of a file in parts, which is a folder, the name of that."""
+    return plain_name(parent_name(F.col("_metadata.file_path")) if parts else F.col("_metadata.file_name"))
+
+
+def read_prelog(spark: SparkSession, paths: str | Sequence[str], quote: str = "", parts: bool = False) -> DataFrame:
     """The 25 raw columns and ``source_file``.
 
     Blank lines are skipped, short rows padded with null, extra fields dropped.
     With the default ``quote`` a quote sign is plain text; ``'"'`` turns quoting on.
+    With ``parts`` the paths are parts of files, and ``source_file`` names the folder they lie in.
     """
     rows = (
         spark.read.schema(RAW_SCHEMA)
@@ -37,13 +43,13 @@ def read_prelog(spark: SparkSession, paths: str | Sequence[str], quote: str = ""
         .option("quote", quote)
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    return rows.select("*", plain_name(F.col("_metadata.file_name")).alias("source_file"))
+    return rows.select("*", _source_file(parts).alias("source_file"))
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Raw lines as ``value``, with ``source_file``."""
+def read_lines(spark: SparkSession, paths: str | Sequence[str], parts: bool = False) -> DataFrame:
+    """Raw lines as ``value``, with ``source_file``; ``parts`` as in ``read_prelog``."""
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return lines.select("value", plain_name(F.col("_metadata.file_name")).alias("source_file"))
+    return lines.select("value", _source_file(parts).alias("source_file"))
 
 
 def is_row(line: Column) -> Column:

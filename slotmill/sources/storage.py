@@ -38,6 +38,11 @@ def exists(spark: SparkSession, location: str) -> bool:
     return fs.exists(path)
 
 
+def is_folder(spark: SparkSession, location: str) -> bool:
+    fs, path = _file_system(spark, location)
+    return fs.exists(path) and fs.getFileStatus(path).isDirectory()
+
+
 def listing(spark: SparkSession, location: str) -> list[Entry]:
     """Everything directly below a folder, files without content included; of a file, the file itself."""
     fs, path = _file_system(spark, location)

@@ -80,6 +80,76 @@ def test_folders_are_named_by_their_files(spark, tmp_path):
         assert load_files(spark, [place], str(tmp_path / "prelog"), DAY).file_name == "F240223A"
 
 
+def write_parts(folder, name, parts):
+    for n, lines in enumerate(parts):
+        write_drop(folder, name, f"part-{n:05d}", lines)
+    return f"{folder}/{name}"
+
+
+@pytest.mark.parametrize("options", [{}, {"quote": '"'}, {"strict": True}])
+def test_a_file_in_parts_loads_as_one_file(spark, tmp_path, options):
+    """Under the name of its folder, whatever else lies there, and counted as a whole."""
+    name, target = "F240223A+ é%41.TXT", str(tmp_path / "prelog")
+    path = write_parts(f"{tmp_path}/2024-02-26", name, [[programme(1), " "], [], [programme(2), programme(3) + "\tlong"]])
+    write_drop(path, "below", "part-00000", [programme(9)])
+    write_drop(path, "", "_SUCCESS", [programme(9)])
+    other = write_parts(f"{tmp_path}/2024-02-26", "F240223B.TXT", [[programme(4)]])
+    for place, replaced in ((path, 0), (f"{path}/", 4)):
+        load = load_files(spark, [place, other], target, DAY, parts=True, **options)
+        assert (load.files, load.loaded_rows, load.nonblank_lines, load.long_rows, load.replaced_rows) == (2, 4, 4, 1, replaced)
+        assert load.matched
+    stem = name.removesuffix(".TXT")
+    assert counts(spark, target) == {(stem, DAY): 3, ("F240223B", DAY): 1}
+    register = {r.file_name: (r.source_file, r.folder) for r in read_register(spark, target, DAY).collect()}
+    assert register == {stem: (name, DAY), "F240223B": ("F240223B.TXT", DAY)}
+
+
+def test_a_file_in_parts_and_the_same_file_whole_agree(spark, tmp_path):
+    lines = [programme(1), "\u00a0", " ", programme(2), programme(3), "short"]
+    whole = write_drop(tmp_path, "whole", "F240223A.TXT", lines)
+    parts = write_parts(f"{tmp_path}/parts", "F240223A.TXT", [lines[:3], lines[3:4], lines[4:]])
+    loads = [load_files(spark, [path], f"{tmp_path}/table{n}", DAY, parts=bool(n)) for n, path in enumerate((whole, parts))]
+    assert loads[0] == loads[1] and not loads[0].matched
+    rows = [sorted(map(str, read_loaded(spark, f"{tmp_path}/table{n}").collect())) for n in range(2)]
+    assert rows[0] == rows[1]
+
+
+@pytest.mark.parametrize("parts", [[], [[]], [[], [" "]]])
+def test_an_emptied_file_in_parts_leaves_no_rows(spark, tmp_path, parts):
+    target = str(tmp_path / "prelog")
+    load_files(spark, [write_parts(f"{tmp_path}/a", "F240223A.TXT", [[programme(1)], [programme(2)]])], target, DAY, parts=True)
+    (tmp_path / "b/F240223A.TXT").mkdir(parents=True)
+    load = load_files(spark, [write_parts(f"{tmp_path}/b", "F240223A.TXT", parts)], target, DAY, parts=True)
+    assert (load.loaded_rows, load.replaced_rows, load.empty_files, load.matched) == (0, 2, 1, True)
+    assert counts(spark, target) == {}
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_hidden_names_are_no_drops(spark, tmp_path, parts):
+    """Neither as a file nor as a file in parts, whose parts have plain names."""
+    names = ("_F240223A.TXT", ".F240223B.TXT", "F240223C.TXT")
+    paths = [write_parts(tmp_path, n, [[programme(1)]]) if parts else write_drop(tmp_path, "", n, [programme(1)]) for n in names]
+    load = load_files(spark, paths, str(tmp_path / "prelog"), DAY, parts=parts)
+    assert (load.file_name, load.files, load.loaded_rows) == ("F240223C", 1, 1)
+
+
+def test_parts_have_to_be_asked_for(spark, tmp_path):
+    """Without, a folder is no drop and its files are files of their own; with them, a plain file is none in parts."""
+    root, target = str(tmp_path / "landing"), str(tmp_path / "prelog")
+    write_drop(root, "2024-02-26", "F240223A.TXT", [programme(1)])
+    write_parts(f"{root}/2024-02-26", "F240223B.TXT", [[programme(2)], [programme(3)]])
+    assert ingest(spark, root, target, DAY).file_name == "F240223A"
+    load = ingest(spark, root, target, DAY, parts=True)
+    assert (load.file_name, load.loaded_rows) == ("F240223B", 2)
+    write_drop(root, "2024-02-26", "F240223C.TXT", [programme(4)])
+    assert ingest(spark, root, target, DAY, parts=True).file_name == "F240223C"
+    with pytest.raises(NotADirectoryError):
+        load_files(spark, [f"{root}/2024-02-26/F240223A.TXT"], target, DAY, parts=True)
+    with pytest.raises(FileNotFoundError):
+        load_files(spark, [f"{root}/absent.TXT"], target, DAY, parts=True)
+    assert load_files(spark, [f"{root}/absent.TXT"], target, DAY, parts=True, missing="skip").files == 0
+
+
 def test_a_load_reads_its_files_once(spark, tmp_path, monkeypatch):
     from slotmill.plans import ingest as module
 

@@ -9,6 +9,9 @@ from slotmill.operators import gate, runlog
 from slotmill.operators.calendar import holiday_flags
 from slotmill.operators.replace import existing_rows, replace_by_key
 from slotmill.plans import showcase
+from slotmill.plans.ingest import load_files
+from slotmill.plans.weekly import weekly_run
+from slotmill.sources import storage
 
 SF_DIR = "/root/testdata/sf0.001"
 DAY = date(2024, 1, 5)
@@ -88,3 +91,43 @@ def test_counting_a_key_needs_one_row_per_task(spark):
     frame = existing_rows(showcase.keyed_events(spark, SF_DIR), file_name="click", import_date=DAY)
     assert "partial_count" in plan_of(frame)
     assert frame.filter(F.col("existing_rows") < 0).count() == 0
+
+
+@pytest.mark.parametrize("name, loads", [("run_outcomes", 4), ("keyed_replace_emptied", 2), ("reconcile_per_file", 1)])
+def test_made_up_drops_do_not_go_through_one_task(spark, tmp_path, monkeypatch, name, loads):
+    """Tables of four files give drops of several part files each, none of which holds most of the lines."""
+    sf_dir, key, spread = str(tmp_path / "tables"), F.col("id"), []
+    kinds, statuses = (F.array(*map(F.lit, names)) for names in (("click", "view", "error"), ("F", "O", "P")))
+    spark.range(0, 2000, 1, 4).select(
+        key.alias("o_orderkey"), (key % 50).alias("o_custkey"), F.get(statuses, (key % 3).cast("int")).alias("o_orderstatus"), F.lit(DAY).alias("o_orderdate"),
+        F.when(key % 10 == 0, "1-URGENT").otherwise("5-LOW").alias("o_orderpriority"), (key + 0.5).alias("o_totalprice"),
+    ).write.parquet(f"{sf_dir}/orders.parquet")
+    spark.range(0, 2000, 1, 4).select(
+        key.alias("event_id"), (key % 50).alias("user_id"), F.get(kinds, (key % 3).cast("int")).alias("event_type"), F.lit(DAY).cast("timestamp").alias("ts"),
+        F.sha2(key.cast("string"), 256).alias("props"), (key + 0.5).alias("value"),
+    ).write.parquet(f"{sf_dir}/events.parquet")
+
+    def lengths(path):
+        return [e.length for e in storage.listing(spark, path) if e.name.startswith(("part-", "F", "click", "view", "error"))]
+
+    def run(session, root, **options):
+        folder = f"{root}/{options['import_date'].isoformat()}"
+        spread.append([lengths(e.path) for e in storage.listing(spark, folder) if not e.name.startswith(".")])
+        return weekly_run(session, root, **options)
+
+    def load(session, paths, *rest, **options):
+        spread.append([lengths(path) for path in paths])
+        return load_files(session, paths, *rest, **options)
+
+    monkeypatch.setattr(showcase, "weekly_run", run)
+    monkeypatch.setattr(showcase, "load_files", load)
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    previous = spark.conf.get(setting)
+    spark.conf.set(setting, "10k")
+    try:
+        rows = showcase.QUERIES[name](spark, sf_dir).collect()
+    finally:
+        spark.conf.set(setting, previous)
+    assert len(spread) == loads and rows
+    for parts in (p for drops in spread for p in drops if sum(p)):
+        assert max(parts) < 0.75 * sum(parts), parts
